@@ -37,17 +37,37 @@ HALF_SEMI_VOICED_MARK = "ﾟ"
 FULL_WIDTH_ASCII = "".join(chr(0xFF01 + i) for i in range(94))
 ASCII = "".join(chr(0x21 + i) for i in range(94))
 
-CJK_CHAR = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}ーｦ-ﾟ々]"
-CJK_RUN_OR_WORD = rf"({CJK_CHAR}+|[\p{{L}}\p{{N}}&&[^\p{{IsHan}}\p{{IsHiragana}}\p{{IsKatakana}}ーｦ-ﾟ々]]+)"
+# Character ranges of the Japanese scripts. Ranges, as looking up the script of
+# every character is slow.
+HAN = r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}々〇"
+HIRAGANA = r"\x{3041}-\x{3096}\x{309D}-\x{309F}"
+KATAKANA = r"\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{FF66}-\x{FF9F}"
+CJK = f"[{HAN}{HIRAGANA}{KATAKANA}]"
+OTHER_WORD = rf"[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}{KATAKANA}]]+"
+
+#: Stands between tokens while a whole token list is handled as one text. It is white space,
+#: so no token of a splitting analyzer holds it.
+JOINT = "\x1f"
 
 
 def _matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
 
 
+def lower_text(text: Column) -> Column:
+    """Lower case character by character: İ gives i, and Σ gives σ wherever it stands."""
+    return F.lower(F.translate(text, "İΣ", "iσ"))
+
+
+def _as_text(tokens: Column, step) -> Column:
+    """Apply a text function to all tokens at once, which is cheaper than to each."""
+    changed = F.split(step(F.array_join(tokens, JOINT)), JOINT)
+    return F.when(F.size(tokens) == 0, tokens).otherwise(changed)
+
+
 def lowercase_tokens(tokens: Column) -> Column:
     """Every token in lower case."""
-    return F.transform(tokens, F.lower)
+    return F.transform(tokens, lower_text)
 
 
 def drop_tokens(tokens: Column, stop_words: list[str]) -> Column:
@@ -62,7 +82,7 @@ def tok_whitespace(text: Column) -> Column:
 
 def tok_simple(text: Column) -> Column:
     """Runs of letters, lower-cased."""
-    return lowercase_tokens(_matches(text, r"\p{L}+"))
+    return _matches(lower_text(text), r"\p{L}+")
 
 
 def tok_stop(text: Column) -> Column:
@@ -77,7 +97,7 @@ def tok_keyword(text: Column) -> Column:
 
 def tok_pattern(text: Column) -> Column:
     """Split on runs of characters outside ``[A-Za-z0-9_]``, lower-cased."""
-    return lowercase_tokens(_matches(text, r"[A-Za-z0-9_]+"))
+    return _matches(F.lower(text), r"[a-z0-9_]+")
 
 
 def tok_standard(text: Column) -> Column:
@@ -85,22 +105,17 @@ def tok_standard(text: Column) -> Column:
 
     Near the Unicode word-break rules: apostrophes and dots inside a word split it here.
     """
-    return lowercase_tokens(
-        _matches(text, r"[\p{IsHan}\p{IsHiragana}]|[\p{L}\p{N}&&[^\p{IsHan}\p{IsHiragana}]]+")
-    )
+    return _matches(lower_text(text), rf"[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}]]+|[{HAN}{HIRAGANA}]")
 
 
 def tok_cjk_bigram(text: Column) -> Column:
     """Overlapping character pairs inside Chinese/Japanese runs, other words whole.
 
-    A run of one character is a token by itself.
+    A run of one character is a token by itself. The look-ahead captures the token at a
+    character, the rest of the pattern then moves on by one character or one word.
     """
-    runs = F.regexp_extract_all(text, F.lit(CJK_RUN_OR_WORD), F.lit(1))
-    pairs = lambda run: F.transform(
-        F.sequence(F.lit(1), F.char_length(run) - 1), lambda i: F.substr(run, i, F.lit(2))
-    )
-    is_pairable = lambda run: run.rlike(f"^{CJK_CHAR}{{2,}}$")
-    return F.flatten(F.transform(runs, lambda run: F.when(is_pairable(run), pairs(run)).otherwise(F.array(run))))
+    token = rf"(?=({CJK}{{2}}|(?<!{CJK}){CJK}(?!{CJK})|{OTHER_WORD}))(?:{CJK}|{OTHER_WORD})"
+    return F.regexp_extract_all(text, F.lit(token), F.lit(1))
 
 
 def drop_punctuation(tokens: Column) -> Column:
@@ -113,6 +128,7 @@ def width_fold(text: Column) -> Column:
 
     A half-width voicing mark joins the letter before it, or else becomes the combining mark.
     """
+    affected = text.rlike("[！-～･-ﾟ]")
     folded = F.translate(text, FULL_WIDTH_ASCII + HALF_KATAKANA, ASCII + FULL_KATAKANA)
     joined = folded
     for base in VOICED_BASES:
@@ -122,7 +138,7 @@ def width_fold(text: Column) -> Column:
     for base in SEMI_VOICED_BASES:
         joined = F.replace(joined, F.lit(base + HALF_SEMI_VOICED_MARK), F.lit(chr(ord(base) + 2)))
     joined = F.translate(joined, HALF_VOICED_MARK + HALF_SEMI_VOICED_MARK, "゙゚")
-    return F.when(text.rlike("[ﾞﾟ]"), joined).otherwise(folded)
+    return F.when(~affected, text).when(text.rlike("[ﾞﾟ]"), joined).otherwise(folded)
 
 
 def ja_stopwords(tokens: Column, stop_words: list[str] | None = None) -> Column:
@@ -130,15 +146,22 @@ def ja_stopwords(tokens: Column, stop_words: list[str] | None = None) -> Column:
     return drop_tokens(tokens, JAPANESE_STOP_WORDS if stop_words is None else stop_words)
 
 
+def _stem_text(text: Column) -> Column:
+    return F.regexp_replace(text, f"(?<=^|{JOINT})([ァ-ヺー]{{3,}})ー(?={JOINT}|$)", "$1")
+
+
 def katakana_stem(tokens: Column) -> Column:
     """Drop the final long-vowel mark of katakana tokens of four or more characters."""
-    return F.transform(tokens, lambda token: F.regexp_replace(token, "^([ァ-ヺー]{3,})ー$", "$1"))
+    return _as_text(tokens, _stem_text)
 
 
-def analyze_japanese(text: Column) -> Column:
-    """The analyzer chain: bigrams, punctuation, width, stop words, stem, lower case."""
-    tokens = drop_punctuation(tok_cjk_bigram(text))
-    return lowercase_tokens(katakana_stem(ja_stopwords(F.transform(tokens, width_fold))))
+def analyze_japanese(text: Column, stop_words: list[str] | None = None) -> Column:
+    """The analyzer chain: bigrams, width, stop words, stem, lower case.
+
+    Bigrams hold letters and digits only, so punctuation is gone from the start.
+    """
+    kept = ja_stopwords(_as_text(tok_cjk_bigram(text), width_fold), stop_words)
+    return _as_text(kept, lambda joined: lower_text(_stem_text(joined)))
 
 
 ANALYZERS = {

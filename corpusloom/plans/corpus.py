@@ -10,6 +10,7 @@ from corpusloom.operators.filters import filter_articles
 from corpusloom.operators.hierarchy import category_edges, resolve_hierarchy
 from corpusloom.operators.taxonomy import classify_taxonomy
 from corpusloom.schemas import ARTICLES
+from corpusloom.session import materialize
 
 
 def article_categories(pages: DataFrame) -> DataFrame:
@@ -30,16 +31,20 @@ def build_articles(
 ) -> DataFrame:
     """The twelve-field article table of stored pages, articles and category pages together.
 
-    Hierarchy and taxonomy run on ids, titles and category names; bodies join once at the end.
-    Both sides of that join are unique by page.
+    Texts are cleaned once and stored; hierarchy and taxonomy then read ids, titles and
+    category names only, and bodies join once at the end. Both sides of that join are unique
+    by page.
     """
-    articles = filter_articles(pages).select(
-        "page_id",
-        "title",
-        tx.truncate_body(F.col("body"), chars).alias("body"),
-        tx.wiki_url(F.col("title"), url_base).alias("url"),
-        now.alias("fetched_at"),
+    articles = materialize(
+        filter_articles(pages).select(
+            "page_id",
+            "title",
+            tx.truncate_body(F.col("body"), chars).alias("body"),
+            tx.wiki_url(F.col("title"), url_base).alias("url"),
+            tx.extract_categories(F.col("text")).alias("categories_direct"),
+        ),
+        "articles",
     )
-    narrow = article_categories(pages)
-    classified = classify(narrow, category_edges(pages), rules).drop("title")
-    return articles.join(classified, "page_id").select(*ARTICLES.names)
+    narrow = articles.select("page_id", "title", "categories_direct")
+    classified = classify(narrow, category_edges(pages), rules).drop("title", "categories_direct")
+    return articles.withColumn("fetched_at", now).join(classified, "page_id").select(*ARTICLES.names)

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.session import spread_scan
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -95,9 +97,14 @@ FIXTURES = {
 }
 
 
+#: Tables of texts, which are heavy per row, and their keys.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_scan(scan, TEXT_KEYS[name]) if name in TEXT_KEYS else scan
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -61,6 +61,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_scan(scan: DataFrame, key: str) -> DataFrame:
+    """A file scan with at least one partition per core.
+
+    Files of few row groups feed few tasks, too few for work that is heavy per row; only then
+    are rows moved, by key. ``scan`` must be a plain scan, whose partitions are known unrun.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
