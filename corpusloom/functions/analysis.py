@@ -61,8 +61,8 @@ def lower_text(text: Column) -> Column:
 
 def _as_text(tokens: Column, step) -> Column:
     """Apply a text function to all tokens at once, which is cheaper than to each."""
-    changed = F.split(step(F.array_join(tokens, JOINT)), JOINT)
-    return F.when(F.size(tokens) == 0, tokens).otherwise(changed)
+    # No token is empty; the empty list alone splits into an empty token.
+    return F.array_remove(F.split(step(F.array_join(tokens, JOINT)), JOINT), "")
 
 
 def lowercase_tokens(tokens: Column) -> Column:

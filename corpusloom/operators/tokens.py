@@ -12,8 +12,13 @@ WORD_TYPE = "word"
 
 
 def analyze_corpus(docs: DataFrame, text: str, analyzer: str = "japanese", key: str = "doc_id") -> DataFrame:
-    """``(key, position, token)`` rows; no shuffle."""
-    return docs.select(key, F.posexplode(ANALYZERS[analyzer](F.col(text))).alias("position", "token"))
+    """``(key, position, token)`` rows; no shuffle.
+
+    The outer form of explode: for the inner form Spark adds a filter on the list's size and
+    so analyzes every text again.
+    """
+    exploded = docs.select(key, F.posexplode_outer(ANALYZERS[analyzer](F.col(text))).alias("position", "token"))
+    return exploded.filter(F.col("token").isNotNull())
 
 
 def token_table(docs: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
@@ -26,7 +31,7 @@ def token_table(docs: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
     runs = F.regexp_extract_all(text, F.lit(r"([^\p{javaWhitespace}]+|\p{javaWhitespace}+)"), F.lit(1))
     in_doc = Window.partitionBy(key).orderBy("run")
     length = F.char_length("piece")
-    pieces = docs.select(key, text).repartition(key).select(key, F.posexplode(runs).alias("run", "piece"))
+    pieces = docs.select(key, text).repartition(key).select(key, F.posexplode_outer(runs).alias("run", "piece"))
     end = F.sum(length).over(in_doc.rowsBetween(Window.unboundedPreceding, 0))
     is_token = ~F.rlike("piece", F.lit(r"^\p{javaWhitespace}"))
     return (
@@ -83,8 +88,12 @@ def build_postings(docs: DataFrame, text: str, analyzer: str = "simple", key: st
     All tokens of a document sit in one task, so map-side counting already yields final
     counts and the shuffle moves one row per document and distinct term.
     """
-    analyzed = docs.select(key, ANALYZERS[analyzer](F.col(text)).alias("tokens"))
-    terms = analyzed.select(key, F.size("tokens").cast("long").alias("doc_len"), F.explode("tokens").alias("term"))
-    return terms.groupBy("term", key).agg(
-        F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len")
+    analyzed = docs.select(key, ANALYZERS[analyzer](F.col(text)).alias("tokens")).select(
+        key, F.size("tokens").cast("long").alias("doc_len"), "tokens"
+    )
+    terms = analyzed.select(key, "doc_len", F.explode_outer("tokens").alias("term"))
+    return (
+        terms.filter(F.col("term").isNotNull())
+        .groupBy("term", key)
+        .agg(F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"))
     )

@@ -6,15 +6,18 @@ from pyspark.sql import types as T
 
 _strings = T.ArrayType(T.StringType())
 
+#: One page element. A page has its own id first and may carry several revisions.
 DUMP_PAGE = T.StructType(
     [
         T.StructField("title", T.StringType()),
         T.StructField("ns", T.StringType()),
-        T.StructField("id", T.StringType()),
+        T.StructField("id", _strings),
         T.StructField("redirect", T.StructType([T.StructField("_title", T.StringType())])),
         T.StructField(
             "revision",
-            T.StructType([T.StructField("text", T.StructType([T.StructField("_VALUE", T.StringType())]))]),
+            T.ArrayType(
+                T.StructType([T.StructField("text", T.StructType([T.StructField("_VALUE", T.StringType())]))])
+            ),
         ),
     ]
 )

@@ -12,26 +12,28 @@ OPEN_TAG = "<page>"
 CLOSE_TAG = "</page>"
 
 
-def scan_dump(spark: SparkSession, path: str) -> DataFrame:
+def scan_dump(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """One row per ``<page>`` of an XML dump, plain or bzip2.
 
     The text reader cuts at the closing tag, which also works from the middle of a compressed
     file, so one large file feeds many tasks. Escaping keeps the tag out of page text. What
-    precedes the first page, and the tail after the last, hold no page.
+    precedes the first page, and the tail after the last, hold no page. The text is that of
+    the last revision. A page that is not well-formed stops the job, or in lenient mode comes
+    out empty.
     """
     pieces = spark.read.option("lineSep", CLOSE_TAG).text(path)
     start = F.instr("value", OPEN_TAG)
     xml = F.concat(F.substr("value", start), F.lit(CLOSE_TAG))
-    page = F.from_xml(xml, DUMP_PAGE.simpleString(), {"ignoreSurroundingSpaces": "false"})
+    page = F.from_xml(xml, DUMP_PAGE.simpleString(), {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST" if strict else "PERMISSIVE"})
     return (
         pieces.filter(start > 0)
         .select(page.alias("p"))
         .select(
-            F.expr("try_cast(p.id as bigint)").alias("page_id"),
+            F.try_element_at("p.id", F.lit(1)).try_cast("long").alias("page_id"),
             F.coalesce("p.title", F.lit("")).alias("title"),
-            F.expr("try_cast(p.ns as int)").alias("ns"),
+            F.col("p.ns").try_cast("int").alias("ns"),
             F.col("p.redirect").isNotNull().alias("redirect"),
-            F.coalesce("p.revision.text._VALUE", F.lit("")).alias("text"),
+            F.coalesce(F.try_element_at("p.revision", F.lit(-1))["text"]["_VALUE"], F.lit("")).alias("text"),
         )
     )
 
