@@ -116,10 +116,9 @@ def render_strategy(source: Column, values: Column) -> Column:
     searched for placeholders again.
     """
     pieces = F.regexp_extract_all(source, F.lit(r"(\{\{\w+\}\}|[^{]+|\{)"), F.lit(1))
-    filled = F.transform(
-        pieces,
-        lambda piece: F.coalesce(F.try_element_at(values, F.regexp_extract(piece, r"^\{\{(\w+)\}\}$", 1)), piece),
-    )
+    name = lambda piece: F.regexp_extract(piece, r"^\{\{(\w+)\}\}$", 1)
+    value = lambda piece: F.when(name(piece) != "", F.try_element_at(values, name(piece)))
+    filled = F.transform(pieces, lambda piece: F.coalesce(value(piece), piece))
     return F.array_join(filled, "")
 
 

@@ -62,10 +62,12 @@ def token_graph_nodes(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
     return nodes.withColumn("index", F.row_number().over(Window.partitionBy(key).orderBy("node")) - 1)
 
 
-def token_graph_edges(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
+def token_graph_edges(
+    tokens: DataFrame, key: str = "doc_id", order: tuple[str, ...] = ("start_offset", "end_offset", "token")
+) -> DataFrame:
     """``(key, token, src, dst, span, is_multi, parallel)``: one edge per token.
 
-    ``parallel`` numbers the tokens between the same two nodes in token order.
+    ``parallel`` numbers the tokens between the same two nodes in the ``order`` of the tokens.
     """
     span = _span("position_length")
     edges = tokens.select(
@@ -75,11 +77,10 @@ def token_graph_edges(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
         (F.col("position") + span).alias("dst"),
         span.alias("span"),
         (span > 1).alias("is_multi"),
-        "start_offset",
-        "end_offset",
+        F.struct(*order).alias("_order"),
     )
-    same = Window.partitionBy(key, "src", "dst").orderBy("start_offset", "end_offset", "token")
-    return edges.withColumn("parallel", F.row_number().over(same) - 1).drop("start_offset", "end_offset")
+    same = Window.partitionBy(key, "src", "dst").orderBy("_order")
+    return edges.withColumn("parallel", F.row_number().over(same) - 1).drop("_order")
 
 
 def build_postings(docs: DataFrame, text: str, analyzer: str = "simple", key: str = "doc_id") -> DataFrame:
