@@ -18,8 +18,8 @@ def _counts(df: DataFrame, field: str) -> DataFrame:
 
 
 def _values(df: DataFrame, field: str) -> DataFrame:
-    """One row per document and distinct value of a list field."""
-    return df.select(F.explode(F.array_distinct(field)).alias(field))
+    """One row per document and distinct value of a list field; counting drops the nulls."""
+    return df.select(F.explode_outer(F.array_distinct(field)).alias(field))
 
 
 def _largest(counts: DataFrame, n: int) -> DataFrame:

@@ -62,13 +62,14 @@ def categories_all(direct: Column, level1: Column, level2: Column) -> Column:
     return F.array_distinct(F.concat(direct, level1, level2))
 
 
-def resolve_hierarchy(articles: DataFrame, edges: DataFrame, salts: int = 8) -> DataFrame:
+def resolve_hierarchy(articles: DataFrame, edges: DataFrame, salts: int = 8, carry: tuple[str, ...] = ()) -> DataFrame:
     """``page_id`` with its direct, level 1, level 2 and all categories.
 
-    Takes ``(page_id, categories_direct)``; other columns do not travel and are joined back by
-    ``page_id``. The regrouping by page gathers only what the page itself lists.
+    Takes ``(page_id, categories_direct)`` and the short columns in ``carry``, which spare a
+    join when they are needed next; longer ones are joined back by ``page_id``. The regrouping
+    by page gathers only what the page itself lists.
     """
-    links = articles.select("page_id", F.posexplode_outer("categories_direct").alias("pos", "child"))
+    links = articles.select("page_id", *carry, F.posexplode_outer("categories_direct").alias("pos", "child"))
     found = salted_join(links, category_lookup(edges), ["child"], spread=["page_id"], salts=salts)
     item = F.struct(
         "pos",
@@ -77,7 +78,7 @@ def resolve_hierarchy(articles: DataFrame, edges: DataFrame, salts: int = 8) ->
         _or_none("grandparents").alias("grandparents"),
     )
     grouped = (
-        found.groupBy("page_id")
+        found.groupBy("page_id", *carry)
         .agg(F.array_sort(F.collect_list(item)).alias("found"))
         .withColumn("categories_direct", F.array_compact(F.transform("found", lambda f: f["child"])))
     )
@@ -92,6 +93,7 @@ def resolve_hierarchy(articles: DataFrame, edges: DataFrame, salts: int = 8) ->
         .withColumn("categories_level2", level2)
         .select(
             "page_id",
+            *carry,
             "categories_direct",
             "categories_level1",
             "categories_level2",

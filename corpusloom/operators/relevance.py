@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import salted_join
 from corpusloom.sources.records import delete_by_key, stamp_upsert
 
 # The fields that identify a judgement, and their separator in the id.
@@ -74,32 +75,30 @@ def select_candidates(scenarios: DataFrame, strategies: DataFrame) -> DataFrame:
     """``(workspace_id, strategy_id, scenario_id)`` where the scenario gives every parameter.
 
     Records with the same parameter list behave alike, so lists are compared first: a
-    strategy list fits a scenario list that shares all its parameters, counted over an
-    equi-join on the parameter. Records then meet through the fitting lists. A parameter
-    everyone has stands for the strategies without any.
+    strategy list fits a scenario list that holds all its parameters, counted over an
+    equi-join on the parameter. Records then meet through the fitting lists. Strategies
+    without parameters join on a mark that every scenario list carries. A parameter list that
+    very many scenarios share is a hot key and is spread.
     """
-    everyone = F.lit("")
-    def listed(records: DataFrame, name: str) -> DataFrame:
-        params = F.array_sort(F.array_distinct(F.concat(F.array(everyone), "params")))
-        return records.withColumn(name, params)
+    mark = F.array(F.lit(""))
+    given = F.array_sort(F.array_distinct("params"))
+    sc = scenarios.select("workspace_id", "scenario_id", given.alias("sc_params"))
+    st = strategies.select("workspace_id", "strategy_id", given.alias("st_params"))
 
-    sc, st = listed(scenarios, "sc_params"), listed(strategies, "st_params")
-    def lists(df: DataFrame, name: str) -> DataFrame:
-        return df.select("workspace_id", name).distinct().withColumn("param", F.explode(name))
+    def each(records: DataFrame, name: str, params: Column) -> DataFrame:
+        return records.select("workspace_id", name).distinct().withColumn("param", F.explode(params))
 
+    needed = F.when(F.size("st_params") == 0, mark).otherwise(F.col("st_params"))
     fits = (
-        lists(st, "st_params")
-        .join(lists(sc, "sc_params"), ["workspace_id", "param"])
+        each(st, "st_params", needed)
+        .join(each(sc, "sc_params", F.concat(mark, "sc_params")), ["workspace_id", "param"])
         .groupBy("workspace_id", "st_params", "sc_params")
         .agg(F.count(F.lit(1)).alias("shared"))
-        .filter(F.col("shared") == F.size("st_params"))
-        .drop("shared")
+        .filter(F.col("shared") == F.greatest(F.size("st_params"), F.lit(1)))
     )
-    runnable = st.select("workspace_id", "strategy_id", "st_params").join(fits, ["workspace_id", "st_params"])
-    return (
-        sc.select("workspace_id", "scenario_id", "sc_params")
-        .join(runnable.drop("st_params"), ["workspace_id", "sc_params"])
-        .select("workspace_id", "strategy_id", "scenario_id")
+    runnable = st.join(fits, ["workspace_id", "st_params"]).select("workspace_id", "sc_params", "strategy_id")
+    return salted_join(sc, runnable, ["workspace_id", "sc_params"], spread=["scenario_id"], how="inner").select(
+        "workspace_id", "strategy_id", "scenario_id"
     )
 
 

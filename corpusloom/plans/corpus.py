@@ -22,8 +22,7 @@ def article_categories(pages: DataFrame) -> DataFrame:
 
 def classify(articles: DataFrame, edges: DataFrame, rules: DataFrame) -> DataFrame:
     """``(page_id, title, four category lists, three taxonomy levels)`` for narrow articles."""
-    hierarchy = resolve_hierarchy(articles, edges)
-    return classify_taxonomy(articles.select("page_id", "title").join(hierarchy, "page_id"), rules)
+    return classify_taxonomy(resolve_hierarchy(articles, edges, carry=("title",)), rules)
 
 
 def build_articles(

@@ -516,6 +516,11 @@ ORACLES["validate_workspace"] = """
         WHEN scale IS NULL THEN 'scale_max is not an integer' ELSE '' END AS problem FROM r)
     SELECT record_id, CASE WHEN problem = '' THEN coalesce(ws, 'w0') ELSE ws END AS workspace_id,
       CASE WHEN problem = '' THEN 0 END AS scale_min, CASE WHEN problem = '' THEN scale END AS scale_max, problem FROM p"""
+ORACLES["read_records"] = with_fixtures(
+    """SELECT scenario_id AS _id, workspace_id, replace(params, ',', '|') AS params, replace(tags, ',', '|') AS tags, text,
+      'ann' AS created_by, turn AS note, CAST(1 AS BIGINT) AS extras FROM fx_scenarios""",
+    "fx_scenarios",
+)
 _PAIRS = """c AS (SELECT sc.workspace_id, strategy_id, scenario_id, sc.text, sc.turn, st.source, sc.tags AS sc_tags, st.tags AS st_tags
     FROM fx_scenarios sc JOIN fx_strategies st ON st.workspace_id = sc.workspace_id
       AND list_has_all(string_split(sc.params, ','), string_split(st.params, ',')))"""

@@ -482,7 +482,7 @@ def _(spark, sf):
     root = fresh_path(spark, "stream")
     custom = fixture(spark, sf, "fx_custom")
     custom.write.json(f"{root}/in")
-    query = ingest.stream_custom_docs(spark, f"{root}/in", f"{root}/deltas", f"{root}/checkpoint", 2, now())
+    query = ingest.stream_custom_docs(spark, f"{root}/in", f"{root}/deltas", f"{root}/checkpoint", 4, now())
     query.awaitTermination()
     return ingest.merge_deltas(fixture(spark, sf, "fx_corpus"), f"{root}/deltas").select(*CORPUS)
 
@@ -726,6 +726,36 @@ def _(spark, sf):
     )
 
 
+def _scenario_lines(spark, sf) -> str:
+    """Scenarios as JSON lines, with a field that no schema knows."""
+    path = fresh_path(spark, "scenarios")
+    record = F.struct(
+        F.col("scenario_id").alias("_id"),
+        "workspace_id",
+        "params",
+        "tags",
+        F.create_map(F.lit("text"), F.col("text"), F.lit("turn"), F.col("turn")).alias("values"),
+        F.struct(F.lit("ann").alias("created_by")).alias("@meta"),
+        F.col("turn").alias("note"),
+    )
+    _listed(spark, sf, "fx_scenarios").select(F.to_json(record).alias("value")).write.text(path)
+    return path
+
+
+@register("read_records")
+def _(spark, sf):
+    found, _ = records.read_records(spark, _scenario_lines(spark, sf), "scenarios")
+    return found.select(
+        "_id",
+        "workspace_id",
+        *joined("params", "tags"),
+        F.col("values")["text"].alias("text"),
+        F.col("@meta.created_by").alias("created_by"),
+        F.col("extra")["note"].alias("note"),
+        F.size("extra").cast("long").alias("extras"),
+    )
+
+
 @register("select_candidates")
 def _(spark, sf):
     scenarios = relevance.choose(_listed(spark, sf, "fx_scenarios"), "scenario_id", tags=["long", "system"])

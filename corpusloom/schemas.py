@@ -67,3 +67,44 @@ TAXONOMY_RULE = T.StructType(
         T.StructField("keyword", T.StringType()),
     ]
 )
+
+_META = (
+    "`@meta` struct<created_at:timestamp,created_by:string,created_via:string,"
+    "updated_at:timestamp,updated_by:string,updated_via:string>"
+)
+_TASK = (
+    "task struct<metrics:array<string>,k:smallint,requests:int,"
+    "strategies:struct<_ids:array<string>,tags:array<string>,docs:string>,"
+    "scenarios:struct<_ids:array<string>,tags:array<string>,sample_size:int,sample_seed:string>>"
+)
+
+#: Records of relevance evaluation. Opaque objects are kept as JSON text; fields of a record
+#: that are not listed go to a map, see ``read_records``.
+RECORDS = {
+    "workspaces": f"_id string, {_META}, name string, index_pattern string, params array<string>,"
+    " rating_scale struct<min:tinyint,max:tinyint>, tags array<string>, description string",
+    "displays": f"_id string, {_META}, workspace_id string, index_pattern string, fields array<string>,"
+    " template struct<body:string,image:struct<position:string,url:string>>",
+    "scenarios": f"_id string, {_META}, workspace_id string, name string, params array<string>, tags array<string>,"
+    " values map<string,string>",
+    "strategies": f"_id string, {_META}, workspace_id string, name string, params array<string>, tags array<string>,"
+    " template struct<lang:string,source:string>",
+    "judgements": f"_id string, {_META}, workspace_id string, scenario_id string, index string, doc_id string,"
+    " rating tinyint",
+    "benchmarks": f"_id string, {_META}, workspace_id string, name string, description string, tags array<string>, {_TASK}",
+    "evaluations": "_id string, `@meta` struct<status:string,created_at:timestamp,created_by:string,created_via:string,"
+    "started_at:timestamp,started_by:string,stopped_at:timestamp>, workspace_id string, benchmark_id string,"
+    f" scenario_id array<string>, strategy_id array<string>, summary string, {_TASK},"
+    " results array<struct<strategy_id:string,searches:array<struct<scenario_id:string,"
+    "metrics:struct<dcg:double,err:double,mrr:double,ndcg:double,precision:double,recall:double>,"
+    "hits:array<struct<hit:struct<_id:string,_index:string,_score:double>,rating:tinyint>>>>,failures:string>>,"
+    " runtime struct<indices:string,scenarios:string,strategies:string,judgements:string>,"
+    " unrated_docs array<struct<_id:string,_index:string,count:int,strategies:array<string>,scenarios:array<string>>>,"
+    " error struct<type:string,message:string,traceback:string>, took int",
+    "conversations": f"_id string, {_META}, title string, conversation_id string,"
+    " rounds array<struct<id:string,status:string,input:struct<message:string>,"
+    "steps:array<struct<type:string,reasoning:string,tool_id:string,params:string,tool_call_id:string,"
+    "results:array<struct<type:string,data:string>>>>,started_at:timestamp,time_to_first_token:int,"
+    "time_to_last_token:int,model_usage:struct<inference_id:string,llm_calls:int,input_tokens:int,output_tokens:int>,"
+    "response:struct<message:string>>>",
+}

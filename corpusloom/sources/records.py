@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.schemas import ARTICLES
+from corpusloom.schemas import ARTICLES, RECORDS
 
 # Fixed value: how a date is written in a document.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -123,6 +123,23 @@ def contract_violations(df: DataFrame, schema: T.StructType = ARTICLES) -> DataF
     return counted.unpivot([], [f.name for f in schema], "field", "violations")
 
 
+def read_records(spark: SparkSession, path: str, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Evaluation records as JSON lines: ``(records, unreadable lines)``.
+
+    The columns are those of ``kind``; unlisted fields are kept as text in the map ``extra``.
+    """
+    known = T.StructType.fromDDL(RECORDS[kind])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    fields = F.from_json("value", "map<string,string>")
+    parsed = lines.select(
+        "value",
+        F.from_json("value", RECORDS[kind]).alias("r"),
+        F.map_filter(fields, lambda name, _: ~name.isin(known.names)).alias("extra"),
+    )
+    readable = F.col("extra").isNotNull()
+    return parsed.filter(readable).select("r.*", "extra"), parsed.filter(~readable).select("value")
+
+
 def read_pages_table(spark: SparkSession, path: str, after: int | None = None, ordered: bool = False) -> DataFrame:
     """The article table; keys after ``after`` are cut at the scan, order is by key on demand."""
     df = spark.read.parquet(path)
