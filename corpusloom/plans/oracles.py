@@ -33,9 +33,13 @@ def _templates(text: str) -> str:
 
 
 def _entities(text: str) -> str:
-    """The entities that occur in the given pages; the ampersand comes last."""
-    for entity, char in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = f"replace({text}, '{entity}', '{char}')"
+    """The entities that occur in the given pages.
+
+    These old ones also count without their semicolon, as in a title cut off inside one. The
+    ampersand comes last, so that nothing is replaced twice.
+    """
+    for entity, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = _re(text, f"&{entity};?", char)
     return text
 
 
