@@ -53,9 +53,14 @@ def strip_tags(c: Column) -> Column:
     return F.regexp_replace(c, TAG, " ")
 
 
+def strip_template_pass(c: Column) -> Column:
+    """Innermost templates become a space, once."""
+    return F.regexp_replace(c, INNERMOST_TEMPLATE, " ")
+
+
 def strip_templates(c: Column) -> Column:
     """Innermost templates become a space, three times; deeper nesting leaves a remainder."""
-    return reduce(lambda text, _: F.regexp_replace(text, INNERMOST_TEMPLATE, " "), range(TEMPLATE_PASSES), c)
+    return reduce(lambda text, _: strip_template_pass(text), range(TEMPLATE_PASSES), c)
 
 
 def strip_media_category_links(c: Column) -> Column:
@@ -110,39 +115,35 @@ def collapse_ws(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"{SPACE}{{2,}}|[{SPACE}&&[^ ]]", " "))
 
 
-#: Markup steps before entities are replaced; their order is part of the contract.
+#: Markup steps before entities are replaced, in the order that is part of the contract, and a
+#: piece of text without which a step changes nothing.
 MARKUP_STEPS = (
-    strip_comments,
-    strip_paired_refs,
-    strip_selfclosing_refs,
-    strip_tags,
-    strip_templates,
-    strip_media_category_links,
-    unwrap_external_links,
-    unwrap_piped_links,
-    unwrap_links,
-    unwrap_headings,
-    strip_emphasis,
+    (strip_comments, "<!--"),
+    (strip_paired_refs, "</ref>"),
+    (strip_selfclosing_refs, "/>"),
+    (strip_tags, "<"),
+    *[(strip_template_pass, "}}")] * TEMPLATE_PASSES,
+    (strip_media_category_links, "[["),
+    (unwrap_external_links, "[http"),
+    (unwrap_piped_links, "[["),
+    (unwrap_links, "[["),
+    (unwrap_headings, "="),
+    (strip_emphasis, "''"),
 )
 
 
-def strip_markup(c: Column) -> Column:
-    """All JVM-side cleaning steps up to entity replacement."""
-    return reduce(lambda text, step: step(text), MARKUP_STEPS, c)
-
-
 def strip_wikitext(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``, the plain text of the wikitext column ``text``.
 
-    A frame transform rather than a Column: the markup chain is projected once and then
-    referenced, so the patterns run once per row although the entity step reads them twice.
+    A frame transform rather than a Column: each step is projected once and then referenced.
+    So a step's pattern runs only on texts that hold its mark, for which a plain search is
+    enough, and the entity step, which reads its input twice, does not repeat the others.
     """
-    stripped = "_stripped"
-    return (
-        df.withColumn(stripped, strip_markup(F.col(text)))
-        .withColumn(out, collapse_ws(html_unescape(F.col(stripped))))
-        .drop(stripped)
-    )
+    work = "_stripped"
+    df = df.withColumn(work, F.col(text))
+    for step, mark in MARKUP_STEPS:
+        df = df.withColumn(work, F.when(F.contains(work, F.lit(mark)), step(F.col(work))).otherwise(F.col(work)))
+    return df.withColumn(out, collapse_ws(html_unescape(F.col(work)))).drop(work)
 
 
 def truncate_body(c: Column, chars: int = BODY_CHARS) -> Column:
