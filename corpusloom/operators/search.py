@@ -5,7 +5,7 @@ BM25 after Robertson and Zaragoza (2009) with exact document lengths.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.tokens import build_postings
@@ -73,8 +73,15 @@ def search(
 def metadata_search(
     records: DataFrame, queries: DataFrame, fields: list[str], k: int, key: str = "record_id", query: str = "query_id"
 ) -> DataFrame:
-    """Full-text search over the searchable fields of records; lists count as their joined values."""
-    arrays = {name for name, kind in records.dtypes if kind.startswith("array")}
-    parts = [F.array_join(f, " ") if f in arrays else F.col(f).cast("string") for f in fields]
+    """Full-text search over the searchable fields of records; of lists and maps, over the values."""
+    kinds = dict(records.dtypes)
+
+    def searchable(name: str) -> Column:
+        kind = kinds.get(name, "")
+        if kind.startswith("map"):
+            return F.array_join(F.map_values(name), " ")
+        return F.array_join(name, " ") if kind.startswith("array") else F.col(name).cast("string")
+
+    parts = [searchable(f) for f in fields]
     shadow = records.select(key, F.concat_ws(" ", *parts).alias("_search"))
     return search(shadow, queries, k, doc_text="_search", analyzer="standard", key=key, query=query)

@@ -93,6 +93,10 @@ FIXTURES = {
         SELECT event_id AS evaluation_id, event_type AS benchmark_id, ts AS created_at FROM events""",
     "fx_ja": f"""
         SELECT doc_id, translate(lower(text), '{LATIN}', '{JAPANESE}') AS text FROM documents""",
+    # One scenario per language: its shortest proper text is the query.
+    "fx_lang_queries": """
+        SELECT lang AS query_id, min_by(text, n_chars * 1000000000 + doc_id) AS text
+        FROM documents WHERE n_chars >= 200 GROUP BY lang""",
     "fx_queries": "SELECT item_id AS query_id, text FROM benchmark",
 }
 

@@ -347,6 +347,9 @@ ORACLES["encode_list_columns"] = r"""
 # --- text analysis ---
 
 
+LETTERS = r"\p{L}+"
+
+
 def _tokens(expression: str, source: str = "documents") -> str:
     query = f"""SELECT doc_id, CAST(len(t) AS BIGINT) AS n, array_to_string(t, '|') AS tokens
         FROM (SELECT doc_id, {expression} AS t FROM {source})"""
@@ -421,14 +424,17 @@ ORACLES["build_postings"] = r"""
     FROM (SELECT doc_id, len(t) AS doc_len, unnest(t) AS term FROM t) GROUP BY term, doc_id"""
 
 
-def _bm25(docs: str, queries: str, key: str, pattern: str) -> str:
-    return rf"""d AS (SELECT {key}, regexp_extract_all(lower(text), '{pattern}') AS t FROM {docs}),
+def _bm25(docs: str, queries: str, key: str, pattern: str, stop: list[str] = ()) -> str:
+    words = f"regexp_extract_all(lower(text), '{pattern}')"
+    if stop:
+        words = f"list_filter({words}, lambda w: w NOT IN ({_quoted(stop)}))"
+    return rf"""d AS (SELECT {key}, {words} AS t FROM {docs}),
       n AS (SELECT count(*) AS n, avg(len(t)) AS mean FROM d WHERE len(t) > 0),
       tf AS (SELECT {key}, term, count(*) AS tf, any_value(dl) AS dl
         FROM (SELECT {key}, len(t) AS dl, unnest(t) AS term FROM d) GROUP BY {key}, term),
       df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
       q AS (SELECT query_id, term, count(*) AS qtf
-        FROM (SELECT query_id, unnest(regexp_extract_all(lower(text), '{pattern}')) AS term FROM {queries}) GROUP BY query_id, term),
+        FROM (SELECT query_id, unnest({words}) AS term FROM {queries}) GROUP BY query_id, term),
       s AS (SELECT query_id, {key}, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {K1 + 1}
           / (tf + {K1} * (1 - {B} + {B} * dl / mean))), 6) AS score
         FROM q JOIN tf USING (term) JOIN df USING (term), n GROUP BY query_id, {key}),
@@ -451,8 +457,8 @@ _HITS = f"""hits AS (SELECT strategy_id, scenario_id, 'documents' AS idx, doc_id
       SELECT strategy_id, lang AS scenario_id, doc_id, score,
         row_number() OVER (PARTITION BY strategy_id, lang ORDER BY score DESC, doc_id) AS rank FROM (
           SELECT 'longest' AS strategy_id, lang, doc_id, CAST(n_chars AS DOUBLE) AS score FROM documents
-          UNION ALL SELECT 'oldest', lang, doc_id, CAST(-doc_id AS DOUBLE) FROM documents)) WHERE rank <= {K}),
-    rated AS (SELECT h.*, j.rating, coalesce(j.rating, 0) AS g FROM hits h
+          UNION ALL SELECT 'oldest', lang, doc_id, CAST(-doc_id AS DOUBLE) FROM documents)) WHERE rank <= {K})"""
+_METRICS = f"""rated AS (SELECT h.*, j.rating, coalesce(j.rating, 0) AS g FROM hits h
       LEFT JOIN fx_judgements j USING (scenario_id, idx, doc_id)),
     total AS (SELECT scenario_id, count(*) FILTER (WHERE rating >= 1) AS total FROM fx_judgements GROUP BY scenario_id),
     ideal AS (SELECT scenario_id, sum((power(2, rating) - 1) / log2(r + 1)) AS ideal FROM (
@@ -472,22 +478,34 @@ _HITS = f"""hits AS (SELECT strategy_id, scenario_id, 'documents' AS idx, doc_id
 
 
 def _eval(body: str) -> str:
-    return with_fixtures(f"WITH {_HITS} {body}", "fx_judgements")
+    return with_fixtures(f"WITH {_HITS}, {_METRICS} {body}", "fx_judgements")
 
 
 ORACLES["ranked_hits"] = _eval("SELECT strategy_id, scenario_id, idx, doc_id, score, rank FROM hits")
 ORACLES["hits_left_judgements"] = _eval("SELECT strategy_id, scenario_id, doc_id, rank, rating FROM rated")
 ORACLES["unrated_hits"] = _eval("SELECT strategy_id, scenario_id, doc_id, rank FROM rated WHERE rating IS NULL")
-ORACLES["unrated_docs"] = _eval(
-    """SELECT idx, doc_id, count(*) AS count, string_agg(DISTINCT strategy_id, '|' ORDER BY strategy_id) AS strategies,
-      string_agg(DISTINCT scenario_id, '|' ORDER BY scenario_id) AS scenarios FROM rated WHERE rating IS NULL GROUP BY idx, doc_id"""
-)
+_UNRATED = """SELECT idx, doc_id, count(*) AS count,
+      string_agg(DISTINCT strategy_id, '|' ORDER BY strategy_id) AS strategies,
+      string_agg(DISTINCT scenario_id, '|' ORDER BY scenario_id) AS scenarios
+    FROM rated WHERE rating IS NULL GROUP BY idx, doc_id"""
+ORACLES["unrated_docs"] = _eval(_UNRATED)
 for _metric in ("precision", "recall", "mrr", "dcg", "ndcg", "err"):
     ORACLES[f"{_metric}_at_k"] = _eval(f"SELECT strategy_id, scenario_id, round({_metric}, 6) AS {_metric} FROM m")
 _ROUNDED = "round(precision, 6) AS precision, round(recall, 6) AS recall, round(mrr, 6) AS mrr, round(dcg, 6) AS dcg, round(ndcg, 6) AS ndcg, round(err, 6) AS err"
 ORACLES["evaluation_metrics"] = _eval(f"SELECT strategy_id, scenario_id, {_ROUNDED} FROM m")
 _MEANS = ", ".join(f"round(avg({m}), 6) AS {m}" for m in ("precision", "recall", "mrr", "dcg", "ndcg", "err"))
 ORACLES["evaluation_summary"] = _eval(f"SELECT strategy_id, count(*) AS searches, {_MEANS} FROM m GROUP BY ROLLUP (strategy_id)")
+_BOTH = f"""hits AS (
+    SELECT 'plain' AS strategy_id, query_id AS scenario_id, 'documents' AS idx, doc_id, score, rank
+      FROM (WITH {_bm25('documents', 'fx_lang_queries', 'doc_id', LETTERS)})
+    UNION ALL SELECT 'without_stop_words', query_id, 'documents', doc_id, score, rank
+      FROM (WITH {_bm25('documents', 'fx_lang_queries', 'doc_id', LETTERS, an.ENGLISH_STOP_WORDS)}))"""
+ORACLES["evaluation_run"] = with_fixtures(
+    f"WITH {_BOTH}, {_METRICS} SELECT strategy_id, scenario_id, {_ROUNDED} FROM m", "fx_judgements", "fx_lang_queries"
+)
+ORACLES["evaluation_run_unrated"] = with_fixtures(
+    f"WITH {_BOTH}, {_METRICS} {_UNRATED}", "fx_judgements", "fx_lang_queries"
+)
 _JID = "sha256(concat_ws('|', workspace_id, scenario_id, idx, CAST(doc_id AS VARCHAR)))"
 _SET = f"""stored AS (SELECT {_JID} AS _id, * FROM fx_judgements),
     fresh AS (SELECT {_JID} AS _id, *, CASE WHEN n_chars > 1000 THEN 3 ELSE 1 END AS new_rating,

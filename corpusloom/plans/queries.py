@@ -16,6 +16,7 @@ from corpusloom.functions import analysis as an
 from corpusloom.functions import text as tx
 from corpusloom.operators import facets, filters, hierarchy, relevance, search, taxonomy, tokens
 from corpusloom.plans.corpus import article_categories, build_articles, classify
+from corpusloom.plans.evaluation import run_evaluation, search_hits
 from corpusloom.plans.fixtures import fixture, tables
 from corpusloom.session import fresh_path
 from corpusloom.sources import dump, ndjson, packing, publish, records
@@ -566,8 +567,9 @@ def _(spark, sf):
 
 @register("metadata_search")
 def _(spark, sf):
-    scenarios = _listed(spark, sf, "fx_scenarios").withColumnRenamed("scenario_id", "record_id")
-    return search.metadata_search(scenarios, fixture(spark, sf, "fx_queries"), ["params", "tags", "text"], K)
+    scenarios = _listed(spark, sf, "fx_scenarios").withColumn("values", F.create_map(F.lit("text"), F.col("text")))
+    records_ = scenarios.withColumnRenamed("scenario_id", "record_id")
+    return search.metadata_search(records_, fixture(spark, sf, "fx_queries"), ["params", "tags", "values"], K)
 
 
 # --- relevance evaluation ------------------------------------------------------------------
@@ -653,6 +655,24 @@ def _(spark, sf):
     return _rounded(relevance.evaluation_summary(per_list), *relevance.METRICS)
 
 
+def _evaluation(spark, sf) -> dict[str, DataFrame]:
+    """Two search strategies over a scenario per language."""
+    docs = tables(spark, sf, "documents").select("doc_id", "text")
+    scenarios = fixture(spark, sf, "fx_lang_queries").withColumnRenamed("query_id", "scenario_id")
+    hits = search_hits(docs, scenarios, {"plain": "simple", "without_stop_words": "stop"}, K, "documents")
+    return run_evaluation(hits, _judgements(spark, sf), K, MAX_RATING)
+
+
+@register("evaluation_run")
+def _(spark, sf):
+    return _rounded(_evaluation(spark, sf)["metrics"], *relevance.METRICS)
+
+
+@register("evaluation_run_unrated")
+def _(spark, sf):
+    return _evaluation(spark, sf)["unrated"].select(F.col("index").alias("idx"), "doc_id", "count", *joined("strategies", "scenarios"))
+
+
 STAMPS = ["created_at", "created_by", "created_via", "updated_at", "updated_by", "updated_via"]
 
 

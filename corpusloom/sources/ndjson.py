@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +108,21 @@ def _numbered_pairs(spark: SparkSession, paths) -> DataFrame:
     )
 
 
+def bulk_paths(spark: SparkSession, path: str) -> str:
+    """The path itself if it is there, else the pattern of its numbered parts."""
+    root, dot, extension = path.rpartition(".")
+    if not dot or "/" in extension:
+        root, extension = path, "ndjson"
+    parts = f"{root}.part*.{extension}"
+    for candidate in (path, parts):
+        try:
+            spark.read.text(candidate)
+            return candidate
+        except AnalysisException:
+            continue
+    raise FileNotFoundError(f"bulk file not found: {path} (also tried {parts})")
+
+
 def read_bulk_ndjson(
     spark: SparkSession, paths, strict: bool = True, by_line_number: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -80,7 +80,8 @@ def publish_snapshot(
     """Load ``df`` into a new snapshot and, if it holds rows, point the alias to it.
 
     The row count comes from the write itself. ``cluster_by`` range-partitions and sorts the
-    files, so that min/max statistics skip them for filters on those columns.
+    files, so that min/max statistics skip them for filters on those columns; finding the
+    ranges reads ``df`` once more, so it should be a stored table then.
     """
     spark = df.sparkSession
     name = snapshot_name(spark, root, prefix, day)

@@ -135,6 +135,17 @@ def test_export_then_import_is_identity(spark, tmp_path, by_line, split):
     assert keys == sorted(keys) and len(keys) == 200
 
 
+def test_bulk_paths(spark, tmp_path):
+    base = str(tmp_path / "x.ndjson")
+    with pytest.raises(FileNotFoundError):
+        ndjson.bulk_paths(spark, base)
+    bulk(tmp_path, *GOOD)
+    assert ndjson.read_bulk_ndjson(spark, ndjson.bulk_paths(spark, base))[0].count() == 1
+    assert ndjson.bulk_paths(spark, str(tmp_path / "x")).endswith("x.part*.ndjson")
+    (tmp_path / "x.ndjson").write_text("\n".join(GOOD))
+    assert ndjson.bulk_paths(spark, base) == base
+
+
 @pytest.mark.parametrize("cap", [0, -1, 1, 50, 100, 10**9])
 def test_packing_against_the_rule(spark, cap):
     sizes = [(i * 7919 % 61) + 1 for i in range(500)]
