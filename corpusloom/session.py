@@ -62,14 +62,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A file scan that gives most cores something to do.
+    """A file scan with at least one partition per core.
 
-    A file of few row groups feeds few tasks, too few for work that is heavy per row. Only a
-    scan that would leave three quarters of the cores idle is moved, by key: such a scan is
-    small for the cluster. ``scan`` must be a plain scan, whose partitions are known unrun.
+    Files of few row groups feed few tasks, too few for work that is heavy per row. Only then
+    are rows moved, by key; a scan of fewer splits than cores holds at most one split of data
+    per core, so the move is short. ``scan`` must be a plain scan, whose partitions are known
+    unrun.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() * 4 > cores else scan.repartition(cores, key)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
 def salted_join(
