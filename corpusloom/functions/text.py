@@ -93,18 +93,19 @@ def strip_emphasis(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("'''"), F.lit(" ")), F.lit("''"), F.lit(" "))
 
 
-def _unescape_series(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
-
+def html_unescape(c: Column) -> Column:
+    """Replace HTML entities; only texts that hold ``&`` travel to Python.
 
-# Declared non-deterministic so that a filter on the result is not pushed below it, which
-# would run the Python stage twice.
-_unescape = F.pandas_udf(_unescape_series, T.StringType()).asNondeterministic()
+    The function is local, so that it travels by value and workers need no copy of this
+    package. It is declared non-deterministic so that a filter on the result is not pushed
+    below it, which would run the Python stage twice.
+    """
 
+    def unescape(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
 
-def html_unescape(c: Column) -> Column:
-    """Replace HTML entities; only texts that hold ``&`` travel to Python."""
-    return F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)
+    udf = F.pandas_udf(unescape, T.StringType()).asNondeterministic()
+    return F.coalesce(udf(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def collapse_ws(c: Column) -> Column:

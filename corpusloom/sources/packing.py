@@ -15,28 +15,28 @@ REQUEST_CAP = 10 * 1024 * 1024
 BUCKET_KEYS = 1 << 18
 
 
-def _part_starts(sizes: np.ndarray, cap: int) -> list[int]:
-    """Positions where next-fit opens a part: where a row no longer fits the open one."""
-    ends = np.cumsum(sizes)
-    starts = [0]
-    while True:
-        used = ends[starts[-1] - 1] if starts[-1] else 0
-        stop = max(int(np.searchsorted(ends, used + cap, side="right")), starts[-1] + 1)
-        if stop >= len(sizes):
-            return starts
-        starts.append(stop)
-
-
 def part_starts(rows: DataFrame, size: str, cap: int, key: str, bucket_keys: int) -> DataFrame:
     """``(bucket, starts)``: the first key of every part of a bucket, in order.
 
     Keys are unique, so a bucket, a range of ``bucket_keys`` keys, holds at most that many
-    rows whatever the data looks like, and only key and size travel to it.
+    rows whatever the data looks like, and only key and size travel to it. The functions are
+    local, so that they travel by value and workers need no copy of this package.
     """
 
+    def opens(sizes: np.ndarray) -> list[int]:
+        """Positions where next-fit opens a part: where a row no longer fits the open one."""
+        ends = np.cumsum(sizes)
+        starts = [0]
+        while True:
+            used = ends[starts[-1] - 1] if starts[-1] else 0
+            stop = max(int(np.searchsorted(ends, used + cap, side="right")), starts[-1] + 1)
+            if stop >= len(sizes):
+                return starts
+            starts.append(stop)
+
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key", ignore_index=True)
-        starts = group["key"].to_numpy()[_part_starts(group["size"].to_numpy(), cap)]
+        starts = group["key"].to_numpy()[opens(group["size"].to_numpy())]
         return pd.DataFrame({"bucket": [group["bucket"].iloc[0]], "starts": [starts]})
 
     narrow = rows.select(
