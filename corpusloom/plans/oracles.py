@@ -75,7 +75,6 @@ ORACLES["strip_wikitext"] = with_fixtures(f"SELECT page_id, {_clean('text')} AS
 ORACLES["strip_wikitext_html"] = f"SELECT page_id, {_clean('html')} AS body FROM pages"
 _URL = "concat('https://ja.wikipedia.org/wiki/', replace(url_encode(replace({}, ' ', '_')), '%2F', '/'))"
 ORACLES["wiki_url"] = f"SELECT page_id, {_URL.format('url')} AS url FROM pages"
-_NORMAL = _collapse("replace({}, '_', ' ')")
 
 
 def _normal(name: str) -> str:
