@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, sharding
+from corpusloom.llm import decontamination, sharding, simhash
 from corpusloom.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +45,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents, over shingles of four words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=4).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
 }
