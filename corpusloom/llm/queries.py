@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, sharding, simhash
+from corpusloom.llm import decontamination, sharding, simhash, suffix_dedup
 from corpusloom.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +53,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeats of 400 bytes leave of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
 }
