@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, sharding, simhash, suffix_dedup
+from corpusloom.llm import decontamination, packing, quality, sharding, simhash, suffix_dedup
 from corpusloom.llm.common import text_or_empty
 
+#: The same vocabulary as byte_bpe_50k.json, in the form that is read faster.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -61,8 +65,27 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 1024 tokens from all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, VOCABULARY).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2_simhash,
+    "op5_packing": op5_packing,
+    "op7_quality": op7_quality,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
