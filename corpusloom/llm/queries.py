@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, packing, quality, sharding, simhash, suffix_dedup
+from corpusloom.llm import decontamination, html_extract, packing, quality, sharding, simhash, suffix_dedup, url_filter
 from corpusloom.llm.common import text_or_empty
 
 #: The same vocabulary as byte_bpe_50k.json, in the form that is read faster.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -49,6 +57,22 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of all pages."""
+    labelled = spark.createDataFrame(url_filter.labelled_urls(), "url string, blocked int")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, URL_RULES, url_filter.train(labelled)).select(
+        "page_id", "host", "path", "rule", "verdict", "score"
+    )
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    labelled = spark.createDataFrame(html_extract.labelled_pages(), "html string, main array<string>")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.train(labelled)).select("page_id", "url", "text", "n_chars")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents, over shingles of four words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -83,6 +107,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op4_html_extraction": op4_html_extraction,
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
     "op7_quality": op7_quality,

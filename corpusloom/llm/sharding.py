@@ -67,10 +67,12 @@ def shuffle_into_shards(
     # Written once: the order is then fixed, whatever is read again or lost later.
     written = materialize(shuffled, "shards")
     order = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    # Written too, so that Spark knows its size (a row per bucket) and need not move the texts to join it.
+    offsets = materialize(
         written.groupBy("shard", "bucket")
         .agg(F.count("*").alias("n"))
-        .select("shard", "bucket", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+        .select("shard", "bucket", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before")),
+        "offsets",
     )
     return written.join(offsets, ["shard", "bucket"]).select(
         "row.*",
