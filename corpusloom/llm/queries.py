@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontamination, html_extract, packing, quality, sharding, simhash, suffix_dedup, url_filter
+from corpusloom.llm import (
+    decontamination,
+    html_extract,
+    license_scan,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    topk_search,
+    url_filter,
+)
 from corpusloom.llm.common import text_or_empty
 
 #: The same vocabulary as byte_bpe_50k.json, in the form that is read faster.
@@ -89,6 +100,23 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan_licenses(docs).select(
+        "doc_id", "license", "coverage", "first_word", "last_word", F.array_join("licenses", ",").alias("licenses")
+    )
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item whose id is divisible by 20, of all documents."""
+    queries = table(spark, sf_dir, "benchmark").filter("item_id % 20 = 0").withColumnRenamed("item_id", "query_id")
+    index, shards = topk_search.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return topk_search.search(index, shards, queries, k=10).select(
+        "query_id", F.col("key").alias("doc_id"), "rank", F.round("score", 6).alias("score")
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 1024 tokens from all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +136,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op3_license_scan": op3_license_scan,
+    "op10_topk_search": op10_topk_search,
     "op4_html_extraction": op4_html_extraction,
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
@@ -117,4 +147,32 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_topk_search": r"""
+with words as (
+    select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as term from documents
+),
+postings as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, sum(tf) as dl from postings group by all),
+size as (select (select count(*) from documents) as n, (select sum(dl) from lengths) / (select count(*) from documents) as avgdl),
+asked as (
+    select query_id, term, count(*) as times from (
+        select item_id as query_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) as term
+        from benchmark where item_id % 20 = 0
+    ) group by all
+),
+weights as (
+    select query_id, term, times * ln(1 + (n - df + 0.5) / (df + 0.5)) as w
+    from asked join (select term, count(*) as df from postings group by all) using (term), size
+),
+scored as (
+    select query_id, doc_id, sum(w * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) order by term) as score
+    from weights join postings using (term) join lengths using (doc_id), size
+    group by all
+),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scored
+)
+select query_id, doc_id, cast(rank as int) as rank, round(score, 6) as score from ranked where rank <= 10
+""",
+}
