@@ -28,39 +28,60 @@ by_value(__name__)
 THRESHOLD = 4
 SHINGLE = 5
 CODED_BITS = 24
+#: Length of the fingerprints that confirm links where a similarity is asked for.
+DETAIL_BITS = 256
+_MIX = np.random.default_rng(64).integers(1, 2**63, DETAIL_BITS // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Members of one anchor that a task compares; larger anchors are compared in pairs of such parts.
 PART = 8192
 #: Up to this many members an anchor is compared in passes over all anchors at once.
 SMALL = 64
-OUTPUT = ("fingerprint", "component_id", "component")
+OUTPUT = ("fingerprint", "component_id", "component", "stays")
 
 
 # --- fingerprints ---------------------------------------------------------------------------
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """The SimHash of a text as an unsigned number; texts without words have zero.
+def _shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of the word shingles of a text, repeats included; unsigned.
 
     Words are cut at ASCII white space after A-Z are lower-cased. A text of fewer words than a
-    shingle is one shingle. A bit is set if more than half of the shingles have it.
+    shingle is one shingle; a text without words has none.
     """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = ends[min(shingle, len(words)) - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(joined[a:b], 42) for a, b in zip(starts.tolist(), last.tolist(), strict=False)], dtype="<u8"
-    )
-    set_bits = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 65536):
-        part = hashes[at : at + 65536]
-        set_bits += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * set_bits > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts.tolist(), last.tolist(), strict=False)], dtype="<u8")
+
+
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits that more than half of the rows of ``hashes`` (rows x words of 64 bits) have, as 64-bit words."""
+    set_bits = np.zeros(64 * hashes.shape[1], dtype=np.int64)
+    step = 65536 // hashes.shape[1]
+    for at in range(0, len(hashes), step):
+        part = np.ascontiguousarray(hashes[at : at + step])
+        set_bits += np.unpackbits(part.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits((2 * set_bits > len(hashes)).astype(np.uint8), bitorder="little").view("<u8")
+
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """The SimHash of a text as an unsigned number; texts without words have zero."""
+    hashes = _shingle_hashes(text, shingle)
+    return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
+
+
+def detail(text: str | None, shingle: int) -> bytes:
+    """A SimHash of ``DETAIL_BITS`` bits, from further mixes of the same shingle hashes."""
+    hashes = _shingle_hashes(text, shingle)
+    if not len(hashes):
+        return bytes(DETAIL_BITS // 8)
+    mixed = (hashes[:, None] ^ (hashes[:, None] >> np.uint64(31))) * _MIX
+    mixed ^= mixed >> np.uint64(29)
+    return _majority((mixed * np.uint64(0x94D049BB133111EB)).astype("<u8")).tobytes()
 
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
@@ -73,6 +94,26 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
+def details(text: Column, shingle: int = SHINGLE) -> Column:
+    """Long SimHash of a text column as bytes."""
+
+    @F.pandas_udf("binary")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([detail(t, shingle) for t in texts], dtype=object)
+
+    return of(text)
+
+
+def detail_limit(similarity: float) -> int:
+    """Differing bits of a long SimHash that texts of that Jaccard similarity of shingles may have.
+
+    The share of differing bits is the angle between the texts' shingle counts, over pi. Two
+    standard deviations are allowed on top, so that few texts of that similarity are lost.
+    """
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(DETAIL_BITS * share + 2 * np.sqrt(DETAIL_BITS * share * (1 - share)))
+
+
 # --- anchors --------------------------------------------------------------------------------
 
 
@@ -119,45 +160,62 @@ def anchors(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found, index = anchors(batch["print"].to_numpy().view(np.uint64))
-        yield pd.DataFrame({"anchor": found.view(np.int64), "print": batch["print"].to_numpy()[index]})
-
-
-def _forest(prints: np.ndarray, threshold: int) -> Iterator[tuple[int, int]]:
-    """Links that join all members of one anchor that reach each other: one fewer than members."""
-    left = prints
-    while len(left):
-        frontier, left = [left[0]], left[1:]
-        while frontier and len(left):
-            u = frontier.pop()
-            near = np.bitwise_count(left ^ u) <= threshold
-            if near.any():
-                for v in left[near]:
-                    yield u, v
-                frontier.extend(left[near])
-                left = left[~near]
-
-
-def _links(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"anchor": found.view(np.int64), **{c: batch[c].to_numpy()[index] for c in batch.columns}})
+
+
+class _Members:
+    """Fingerprints of a partition, and their long ones where those must confirm a link."""
+
+    def __init__(self, frame: pd.DataFrame, threshold: int, limit: int) -> None:
+        self.prints = frame["print"].to_numpy().view(np.uint64)
+        self.threshold, self.limit = threshold, limit
+        self.details = (
+            np.frombuffer(b"".join(frame["detail"]), dtype="<u8").reshape(len(frame), -1) if "detail" in frame else None
+        )
+
+    def near(self, a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
+        """Which members ``a`` are linked to their partners ``b``."""
+        out = np.bitwise_count(self.prints[a] ^ self.prints[b]) <= self.threshold
+        if self.details is not None and out.any():
+            other = self.details[b] if np.isscalar(b) else self.details[b[out]]
+            out[out] = np.bitwise_count(self.details[a[out]] ^ other).sum(axis=1) <= self.limit
+        return out
+
+    def forest(self, low: int, high: int) -> Iterator[tuple[int, int]]:
+        """Links that join all members of one anchor that reach each other: one fewer than members."""
+        left = np.arange(low, high)
+        while len(left):
+            frontier, left = [int(left[0])], left[1:]
+            while frontier and len(left):
+                u = frontier.pop()
+                near = self.near(left, u)
+                if near.any():
+                    found = left[near].tolist()
+                    yield from ((u, v) for v in found)
+                    frontier.extend(found)
+                    left = left[~near]
+
+
+def _links(batches: Iterator[pd.DataFrame], threshold: int, limit: int) -> Iterator[pd.DataFrame]:
     """Links inside the anchors of a partition that is sorted by anchor."""
     held: list[pd.DataFrame] = []
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
         keys = frame[["anchor", "a", "b"]].to_numpy()
-        prints = frame["print"].to_numpy().view(np.uint64)
+        members = _Members(frame, threshold, limit)
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
         group = np.cumsum(new) - 1
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, len(keys)))
         busy = sizes > SMALL
-        reach = int(sizes[~busy].max(initial=0))
-        for step in range(1, reach):
-            same = group[step:] == group[:-step]
-            near = same & (np.bitwise_count(prints[step:] ^ prints[:-step]) <= threshold)
-            busy[group[:-step][near]] = True
-        out = [pair for g in np.flatnonzero(busy) for pair in _forest(prints[starts[g] : starts[g] + sizes[g]], threshold)]
-        pairs = np.array(out, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pd.DataFrame({"u": pairs[:, 0], "v": pairs[:, 1]})
+        for step in range(1, int(sizes[~busy].max(initial=0))):
+            at = np.flatnonzero(group[step:] == group[:-step])
+            busy[group[at[members.near(at, at + step)]]] = True
+        pairs = [p for g in np.flatnonzero(busy) for p in members.forest(starts[g], starts[g] + sizes[g])]
+        u, v = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+        names = [c for c in ("print", "detail") if c in frame]
+        return pd.DataFrame({f"{c}_{side}": frame[c].to_numpy()[i] for side, i in (("u", u), ("v", v)) for c in names})
 
     for batch in batches:
         if not len(batch):
@@ -173,29 +231,40 @@ def _links(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataF
         yield linked(pd.concat(held, ignore_index=True))
 
 
-def link_prints(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(u, v): links that connect all of the distinct ``print`` values within ``threshold`` bits.
+def link_prints(prints: DataFrame, threshold: int = THRESHOLD, limit: int = 0) -> DataFrame:
+    """Links (u, v) that connect all of the distinct ``print`` values within ``threshold`` bits.
 
-    Values are compared per anchor, and only enough links to connect a group are returned: as
-    many as it has members, never its pairs. An anchor of more than ``PART`` members is cut
-    into parts by hash and compared part by part, so that no task holds more than two parts.
+    If ``prints`` also has ``detail``, a link must differ in at most ``limit`` bits there. A
+    node is the number of its print, or with details a struct of both. Only enough links to
+    connect a group are returned: as many as it has members, never its pairs. An anchor of more
+    than ``PART`` members is cut into parts by hash and compared part by part, so that no task
+    holds more than two parts of one anchor.
     """
     if threshold > THRESHOLD:
         raise ValueError(f"the code covers up to {THRESHOLD} differing bits")
-    placed = materialize(prints.select("print").mapInPandas(_anchored, "anchor long, print long"), "anchors")
+    names = [c for c in ("print", "detail") if c in prints.columns]
+    kinds = {"print": "long", "detail": "binary"}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in names)
+    placed = materialize(prints.select(*names).mapInPandas(_anchored, f"anchor long, {schema}"), "anchors")
     large = placed.groupBy("anchor").count().filter(F.col("count") > PART)
     parts = F.coalesce(F.ceil(F.col("count") / PART), F.lit(1)).cast("int")
-    mine = F.pmod(F.xxhash64("print"), F.col("parts")).cast("int")
+    mine = F.pmod(F.xxhash64(*names), F.col("parts")).cast("int")
     dealt = (
         placed.join(large, "anchor", "left")
-        .select("anchor", "print", parts.alias("parts"))
+        .select("anchor", *names, parts.alias("parts"))
         .withColumn("mine", mine)
-        .select("anchor", "print", "mine", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("anchor", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), "print")
+        .select("anchor", *names, "mine", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select("anchor", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), *names)
         .repartition("anchor", "a", "b")
         .sortWithinPartitions("anchor", "a", "b")
     )
-    return dealt.mapInPandas(lambda batches: _links(batches, threshold), "u long, v long").distinct()
+    sides = ", ".join(f"{c}_{side} {kinds[c]}" for side in "uv" for c in names)
+    found = dealt.mapInPandas(lambda batches: _links(batches, threshold, limit), sides)
+    return found.select(*(_node([f"{c}_{side}" for c in names]).alias(side) for side in "uv")).distinct()
+
+
+def _node(names: list[str]) -> Column:
+    return F.col(names[0]) if len(names) == 1 else F.struct(*(F.col(n).alias(n.split("_")[0]) for n in names))
 
 
 def near_duplicates(
@@ -205,30 +274,48 @@ def near_duplicates(
     shingle: int = SHINGLE,
     threshold: int = THRESHOLD,
     keep_text: bool = False,
+    similarity: float | None = None,
 ) -> DataFrame:
-    """Every row of ``docs`` with its ``fingerprint`` (long), ``component_id`` and ``component``.
+    """Every row of ``docs`` with its ``fingerprint`` (long), ``component_id``, ``component`` and ``stays``.
 
     Rows are in one component if links of at most ``threshold`` differing bits connect them;
     the component is named by its least ``key`` that is not null (null if there is none). Null
     and empty texts have the fingerprint zero and are linked like any other. Equal
     fingerprints are one node, so groups of copies cost nothing after the first. ``component``
-    is the least fingerprint of the component, and never null. The text itself is returned
-    only with ``keep_text``. Input columns named like an added one are replaced.
+    is the least fingerprint of the component, and never null. ``stays`` is true for exactly one
+    row of each component, one of its least key. The text itself is returned only with ``keep_text``. Input columns named like an added one are replaced.
+
+    With ``similarity`` fingerprints are over single words, where small edits change few bits,
+    and a link is confirmed by a long SimHash over ``shingle`` words: texts must be about that
+    similar (Jaccard, of shingles). ``component`` is then a struct of both.
     """
     rows = drop_clashing(docs, *OUTPUT)
-    printed = rows.withColumn("fingerprint", fingerprints(F.col(f"`{text}`").cast("string"), shingle))
-    narrow = materialize(printed if keep_text else printed.drop(text), "prints")
-    nodes = materialize(
-        narrow.groupBy(F.col("fingerprint").alias("print")).agg(F.min(f"`{key}`").alias("least")), "nodes"
+    content = F.col(f"`{text}`").cast("string")
+    printed = rows.withColumns(
+        {"fingerprint": fingerprints(content, 1 if similarity else shingle), "_row": F.monotonically_increasing_id()}
     )
-    roots = components(link_prints(nodes, threshold))
-    placed = nodes.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
+    if similarity:
+        printed = printed.withColumn("_detail", details(content, shingle))
+    narrow = materialize(printed if keep_text else printed.drop(text), "prints")
+    own = {"print": F.col("fingerprint")} | ({"detail": F.col("_detail")} if similarity else {})
+    first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "_row"))  # null keys come last
+    nodes = materialize(narrow.groupBy(*(c.alias(n) for n, c in own.items())).agg(first.alias("least")), "nodes")
+    links = link_prints(nodes, threshold, detail_limit(similarity) if similarity else 0)
+    placed = (
+        nodes.withColumn("node", _node(list(own)))
+        .join(components(links), "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
     )
-    named = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = placed.groupBy("root").agg(F.min("least").alias("one"))
     labels = placed.join(named, "root").select(
-        F.col("print").alias("fingerprint"), "component_id", F.col("root").alias("component")
+        *(F.col(n).alias(f"_{n}") for n in own),
+        F.col("one.key").alias("component_id"),
+        F.col("root").alias("component"),
+        F.col("one._row").alias("_one"),
     )
-    return narrow.join(labels, "fingerprint", "left").select(
-        *(F.col(f"`{c}`") for c in narrow.columns if c != "fingerprint"), *OUTPUT
+    same = [c == labels[f"_{n}"] for n, c in zip(own, (narrow["fingerprint"], *([narrow["_detail"]] if similarity else [])), strict=True)]
+    return narrow.join(labels, same, "left").select(
+        *(narrow[f"`{c}`"] for c in rows.columns if keep_text or c != text),
+        *OUTPUT[:-1],
+        (F.col("_row") == F.col("_one")).alias("stays"),
     )

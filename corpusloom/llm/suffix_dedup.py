@@ -38,7 +38,7 @@ HOT_ROWS = 32768
 #: Strings that start in this many bytes are searched for anchors at a time.
 SEGMENT = 1 << 20
 SMALL = 32
-OUTPUT = ("n_bytes", "n_removed", "n_spans", "kept")
+OUTPUT = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 
 _RANDOM = np.random.default_rng(20250101)
 _BYTE = _RANDOM.integers(1, 2**63, (2, 256), dtype=np.uint64)
@@ -251,12 +251,12 @@ def _hot_strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _cut(text: Column, spans: Column) -> Column:
-    @F.pandas_udf("kept binary, n_spans int")
+    @F.pandas_udf("kept binary, n_spans int, kept_text string")
     def of(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
         out = []
         for text, found in zip(texts, spans, strict=True):
             if found is None:
-                out.append((None, 0))
+                out.append((None, 0, None))
                 continue
             data, kept, at, runs = text.encode(), [], 0, 0
             for low, high in sorted((s["low"], s["high"]) for s in found):
@@ -265,8 +265,8 @@ def _cut(text: Column, spans: Column) -> Column:
                     runs += 1
                 at = max(at, high)
             kept.append(data[at:])
-            out.append((b"".join(kept), runs))
-        return pd.DataFrame(out, columns=["kept", "n_spans"])
+            out.append((b"".join(kept), runs, "".join(run.decode(errors="ignore") for run in kept)))
+        return pd.DataFrame(out, columns=["kept", "n_spans", "kept_text"])
 
     return of(text, spans)
 
@@ -356,13 +356,14 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", **limits: int) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (bytes that stay) added.
+    """``docs`` with n_bytes, n_removed, n_spans, ``kept`` (bytes that stay) and ``kept_text`` added.
 
     Every byte inside a string of ``LENGTH`` bytes that starts at another place too, in any
     document, is removed; all places are judged on the input. Texts that are copies of each
     other repeat as a whole from ``LENGTH`` bytes on. Null counts as empty; shorter texts only
-    stay. Bytes are cut without regard to characters: ``kept`` need not be valid UTF-8. Input
-    columns named like an added one are replaced.
+    stay. Bytes are cut without regard to characters: ``kept`` need not be valid UTF-8;
+    ``kept_text`` is without the characters that were cut through. Input columns named like an
+    added one are replaced.
     """
     rows = drop_clashing(docs, *OUTPUT)
     keyed = rows.withColumn("_key", text_key(text))
@@ -378,4 +379,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", **limits: int) -> DataFr
         (F.octet_length(whole) - F.octet_length(kept)).cast("long").alias("n_removed"),
         F.col("_cut.n_spans").cast("long").alias("n_spans"),
         kept.alias("kept"),
+        F.coalesce(F.col("_cut.kept_text"), whole).alias("kept_text"),
     )
