@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import materialize
 
+#: Edges per file of a round, so that small rounds write few files.
+EDGES_PER_FILE = 20_000
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step on edges (u, v): neighbours are joined to the least node around.
@@ -35,12 +38,13 @@ def components(edges: DataFrame) -> DataFrame:
     the logarithm of the longest chain; only two counts per round reach the driver.
     """
     edges = materialize(edges.filter(F.col("u") != F.col("v")).select("u", "v").distinct(), "edges")
-    seen = None
+    seen, count = None, edges.count()
     while True:
-        edges = materialize(_star(_star(edges, large=True), large=False), "stars")
+        stars = _star(_star(edges, large=True), large=False)
+        edges = materialize(stars.coalesce(count // EDGES_PER_FILE + 1), "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
-        seen = now
+        seen, count = now, now[0]
