@@ -204,12 +204,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **c
     contaminated. Equal texts are searched once. See ``find_contamination`` for nulls and short
     items. Input columns named like an added one are replaced.
     """
-    rows = drop_clashing(docs, *OUTPUT).withColumn("_key", text_key(text))
+    rows = drop_clashing(docs, *OUTPUT).withColumn("__op_key", text_key(text))
     texts, hits = find_contamination(docs, benchmark, text, **columns)
     counts = texts.groupBy("key").agg(F.first("n_words").alias("n_words"))
-    found = counts.join(hits, "key", "left").withColumnRenamed("key", "_key")
-    return rows.join(found, "_key", "left").select(
-        *(rows[f"`{c}`"] for c in rows.columns if c != "_key"),
+    found = counts.join(hits, "key", "left").withColumnRenamed("key", "__op_key")
+    return rows.join(found, "__op_key", "left").select(
+        *(rows[f"`{c}`"] for c in rows.columns if c != "__op_key"),
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),

@@ -371,5 +371,5 @@ def extract(pages: DataFrame, model: Model, html: str = "html") -> DataFrame:
             yield pd.Series([main_text(p, shared.value, known) for p in batch], dtype=object)
 
     content: Column = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
-    rows = drop_clashing(pages.withColumn("_html", content), *OUTPUT)
-    return rows.withColumn("text", texts("_html")).drop("_html").withColumn("n_chars", F.char_length("text").cast("long"))
+    rows = drop_clashing(pages.withColumn("__op_html", content), *OUTPUT)
+    return rows.withColumn("text", texts("__op_html")).drop("__op_html").withColumn("n_chars", F.char_length("text").cast("long"))

@@ -174,4 +174,4 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, tex
             yield frame.astype({"first_word": "Int32", "last_word": "Int32", "coverage": "float64"})
 
     rows = drop_clashing(docs, *OUTPUT)
-    return rows.withColumn("_found", scanned(text_or_empty(text))).select(*(F.col(f"`{c}`") for c in rows.columns), "_found.*")
+    return rows.withColumn("__op_found", scanned(text_or_empty(text))).select(*(F.col(f"`{c}`") for c in rows.columns), "__op_found.*")

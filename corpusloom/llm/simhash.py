@@ -292,13 +292,13 @@ def near_duplicates(
     rows = drop_clashing(docs, *OUTPUT)
     content = F.col(f"`{text}`").cast("string")
     printed = rows.withColumns(
-        {"fingerprint": fingerprints(content, 1 if similarity else shingle), "_row": F.monotonically_increasing_id()}
+        {"fingerprint": fingerprints(content, 1 if similarity else shingle), "__op_row": F.monotonically_increasing_id()}
     )
     if similarity:
-        printed = printed.withColumn("_detail", details(content, shingle))
+        printed = printed.withColumn("__op_detail", details(content, shingle))
     narrow = materialize(printed if keep_text else printed.drop(text), "prints")
-    own = {"print": F.col("fingerprint")} | ({"detail": F.col("_detail")} if similarity else {})
-    first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "_row"))  # null keys come last
+    own = {"print": F.col("fingerprint")} | ({"detail": F.col("__op_detail")} if similarity else {})
+    first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "__op_row"))  # null keys come last
     nodes = materialize(narrow.groupBy(*(c.alias(n) for n, c in own.items())).agg(first.alias("least")), "nodes")
     links = link_prints(nodes, threshold, detail_limit(similarity) if similarity else 0)
     placed = (
@@ -311,11 +311,11 @@ def near_duplicates(
         *(F.col(n).alias(f"_{n}") for n in own),
         F.col("one.key").alias("component_id"),
         F.col("root").alias("component"),
-        F.col("one._row").alias("_one"),
+        F.col("one.__op_row").alias("__op_one"),
     )
-    same = [c == labels[f"_{n}"] for n, c in zip(own, (narrow["fingerprint"], *([narrow["_detail"]] if similarity else [])), strict=True)]
+    same = [c == labels[f"_{n}"] for n, c in zip(own, (narrow["fingerprint"], *([narrow["__op_detail"]] if similarity else [])), strict=True)]
     return narrow.join(labels, same, "left").select(
         *(narrow[f"`{c}`"] for c in rows.columns if keep_text or c != text),
         *OUTPUT[:-1],
-        (F.col("_row") == F.col("_one")).alias("stays"),
+        (F.col("__op_row") == F.col("__op_one")).alias("stays"),
     )

@@ -366,18 +366,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", **limits: int) -> DataFr
     added one are replaced.
     """
     rows = drop_clashing(docs, *OUTPUT)
-    keyed = rows.withColumn("_key", text_key(text))
-    spans = repeated_spans(docs, text, **limits).withColumnRenamed("key", "_key")
+    keyed = rows.withColumn("__op_key", text_key(text))
+    spans = repeated_spans(docs, text, **limits).select(F.col("key").alias("__op_key"), F.col("spans").alias("__op_spans"))
     whole = text_or_empty(text)
-    joined = keyed.join(spans, "_key", "left").withColumn(
-        "_cut", _cut(F.when(F.col("spans").isNotNull(), whole), F.col("spans"))
+    joined = keyed.join(spans, "__op_key", "left").withColumn(
+        "__op_cut", _cut(F.when(F.col("__op_spans").isNotNull(), whole), F.col("__op_spans"))
     )
-    kept = F.coalesce(F.col("_cut.kept"), whole.cast("binary"))
+    kept = F.coalesce(F.col("__op_cut.kept"), whole.cast("binary"))
     return joined.select(
         *(F.col(f"`{c}`") for c in rows.columns),
         F.octet_length(whole).cast("long").alias("n_bytes"),
         (F.octet_length(whole) - F.octet_length(kept)).cast("long").alias("n_removed"),
-        F.col("_cut.n_spans").cast("long").alias("n_spans"),
+        F.col("__op_cut.n_spans").cast("long").alias("n_spans"),
         kept.alias("kept"),
-        F.coalesce(F.col("_cut.kept_text"), whole).alias("kept_text"),
+        F.coalesce(F.col("__op_cut.kept_text"), whole).alias("kept_text"),
     )
