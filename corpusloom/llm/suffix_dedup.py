@@ -285,9 +285,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
         ),
         "anchors",
     )
-    texts = materialize(
-        found.groupBy("key", "n_bytes").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "texts"
-    )
+    texts = found.groupBy("key", "n_bytes").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     anchors = found.select(
         "id", "n_bytes", F.explode(F.arrays_zip("found.place", "found.gram", "found.e1", "found.e2")).alias("a")
     ).select("id", "n_bytes", "a.*")
@@ -296,11 +294,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
     recurring_anchors = materialize(
         anchors.join(recurring, "gram", "left_semi").join(single, "id", "left_semi"), "recurring"
     )
-    classes = materialize(
-        recurring_anchors.groupBy("gram", "e1", "e2").agg(
-            F.count("*").alias("members"), F.min(F.struct("id", "place")).alias("one")
-        ),
-        "classes",
+    classes = recurring_anchors.groupBy("gram", "e1", "e2").agg(
+        F.count("*").alias("members"), F.min(F.struct("id", "place")).alias("one")
     )
     whole = (
         recurring_anchors.join(classes.filter(F.col("members") > 1).select("gram", "e1", "e2"), ["gram", "e1", "e2"], "left_semi")
@@ -347,11 +342,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
         )
     spans = whole.unionByName(ranges).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     everything = F.array(F.struct(F.lit(0).cast("long").alias("low"), F.col("n_bytes").cast("long").alias("high")))
-    return materialize(
+    return (
         texts.join(spans, "id", "left")
         .select("key", F.when((F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH), everything).otherwise(F.col("spans")).alias("spans"))
-        .filter(F.col("spans").isNotNull()),
-        "spans",
+        .filter(F.col("spans").isNotNull())
     )
 
 
