@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.session import materialize
+
 
 def _counts(df: DataFrame, field: str) -> DataFrame:
     return (
@@ -49,9 +51,8 @@ def terms_other_count(df: DataFrame, field: str, n: int) -> DataFrame:
 def drilldown(df: DataFrame, fields: list[str], sizes: list[int]) -> DataFrame:
     """Top buckets of the first field, inside each the top of the second, and so on.
 
-    Documents are counted once, at the deepest level; upper counts are sums of those. A bucket
-    is ranked only inside a parent that survived. Survivors number at most the product of
-    ``sizes``, which bounds what is broadcast.
+    Documents are counted once, at the deepest level, and these counts are stored; upper counts
+    are sums of them. Survivors number at most the product of ``sizes``.
     """
     def level(depth: int) -> DataFrame:
         """Documents per path of ``depth`` values; missing deeper values still count above."""
@@ -61,7 +62,8 @@ def drilldown(df: DataFrame, fields: list[str], sizes: list[int]) -> DataFrame:
             .filter(F.col(fields[depth - 1]).isNotNull())
         )
 
-    leaves = df.filter(F.col(fields[0]).isNotNull()).groupBy(*fields).agg(F.count(F.lit(1)).alias("n"))
+    counted = df.filter(F.col(fields[0]).isNotNull()).groupBy(*fields).agg(F.count(F.lit(1)).alias("n"))
+    leaves = materialize(counted, "leaf-counts")
     path = level(1).orderBy(F.desc("count_1"), F.asc(fields[0])).limit(sizes[0])
     for depth in range(2, len(fields) + 1):
         parents, field = fields[: depth - 1], fields[depth - 1]
@@ -80,21 +82,19 @@ def count_in_category(df: DataFrame, category: str, field: str = "categories_all
 def top_hits(df: DataFrame, field: str, buckets: int, hits: int, source: list[str], key: str = "page_id") -> DataFrame:
     """The largest buckets with the first ``hits`` documents of each in key order.
 
-    Ranking moves only bucket and key; the few documents found are then fetched by key.
+    One scan counts the buckets and reads their field alone; one ranks. Ranking carries the
+    ``source`` fields along: each task keeps ``hits`` rows per bucket before anything moves.
     """
-    largest = terms(df, field, buckets).withColumnRenamed("key", field)
+    largest = terms(df, field, buckets).select(F.col("key").alias("_bucket"), "doc_count")
     rank = F.row_number().over(Window.partitionBy(field).orderBy(key))
     first = (
         df.filter(F.col(field).isNotNull())
-        .select(field, key)
+        .select(*dict.fromkeys([field, key, *source]))
         .withColumn("hit", rank)
         .filter(F.col("hit") <= hits)
-        .join(F.broadcast(largest), field)  # at most `buckets` rows
-        .select(key, "doc_count", "hit")
     )
-    columns = [F.col(c) for c in dict.fromkeys([*source, key])]
-    # `first` holds at most buckets * hits rows.
-    return df.select(*columns).join(F.broadcast(first), key).select(*source, "doc_count", "hit")
+    # `largest` holds at most `buckets` rows.
+    return first.join(F.broadcast(largest), F.col(field) == F.col("_bucket")).select(*source, "doc_count", "hit")
 
 
 def filtered_terms(df: DataFrame, field: str, value: str, list_field: str, n: int) -> DataFrame:

@@ -29,14 +29,26 @@ def filter_articles(pages: DataFrame) -> DataFrame:
     return tx.strip_wikitext(kept, "text", "body").filter(F.col("body") != "")
 
 
+def is_category_page() -> Column:
+    """A category page with title and text that is no redirect."""
+    return (F.col("ns") == CATEGORY_NS) & ~F.col("redirect") & _filled("title", "text")
+
+
+def category_page_fields(pages: DataFrame) -> DataFrame:
+    """``pages`` with the ``category`` and ``parents`` of category pages; null for others."""
+    ours = is_category_page()
+    return pages.withColumns(
+        {
+            "category": F.when(ours, tx.category_from_title(F.col("title"))),
+            "parents": F.when(ours, tx.extract_categories(F.col("text"))),
+        }
+    )
+
+
 def filter_category_pages(pages: DataFrame) -> DataFrame:
     """Category pages as ``(page_id, category, parents)``; both must be non-empty."""
-    kept = pages.filter((F.col("ns") == CATEGORY_NS) & ~F.col("redirect") & _filled("title", "text"))
-    return kept.select(
-        "page_id",
-        tx.category_from_title(F.col("title")).alias("category"),
-        tx.extract_categories(F.col("text")).alias("parents"),
-    ).filter((F.col("category") != "") & (F.size("parents") > 0))
+    fields = category_page_fields(pages.filter(is_category_page()))
+    return fields.select("page_id", "category", "parents").filter((F.col("category") != "") & (F.size("parents") > 0))
 
 
 def limit_rows(df: DataFrame, n: int, key: str = "page_id") -> DataFrame:

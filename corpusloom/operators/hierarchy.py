@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.filters import filter_category_pages
+from corpusloom.operators.filters import category_page_fields, filter_category_pages, is_category_page
 from corpusloom.session import salted_join
 
 def _or_none(names: str) -> Column:
@@ -106,13 +106,10 @@ def resolve_hierarchy(articles: DataFrame, edges: DataFrame, salts: int = 8, car
 
 def category_coverage(pages: DataFrame) -> DataFrame:
     """Pages scanned, category pages that yield parents, and categories mapped."""
-    scanned = pages.agg(F.count(F.lit(1)).alias("scanned"))
-    mapped = filter_category_pages(pages).agg(
-        F.count(F.lit(1)).alias("mapped_pages"), F.count_distinct("category").alias("mapped")
-    )
-    # Both sides are single-row aggregates.
-    return scanned.select(
-        "scanned",
-        mapped.select("mapped_pages").scalar().alias("mapped_pages"),
-        mapped.select("mapped").scalar().alias("mapped"),
+    read = category_page_fields(pages)
+    yields = is_category_page() & (F.col("category") != "") & (F.size("parents") > 0)
+    return read.withColumn("yields", F.coalesce(yields, F.lit(False))).agg(
+        F.count(F.lit(1)).alias("scanned"),
+        F.count_if("yields").alias("mapped_pages"),
+        F.count_distinct(F.when(F.col("yields"), F.col("category"))).alias("mapped"),
     )

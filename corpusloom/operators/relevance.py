@@ -13,18 +13,24 @@ from pyspark.sql import functions as F
 from corpusloom.session import salted_join
 from corpusloom.sources.records import delete_by_key, stamp_upsert
 
-# The fields that identify a judgement, and their separator in the id.
+# The fields that identify a judgement; the separator between a sample's seed and key.
 JUDGEMENT_KEY = ["workspace_id", "scenario_id", "index", "doc_id"]
-ID_SEPARATOR = "|"
+SEED_SEPARATOR = "|"
 
-LIST = ["strategy_id", "scenario_id"]
-HIT = ["scenario_id", "index", "doc_id"]
+SCENARIO = ["workspace_id", "scenario_id"]
+LIST = ["workspace_id", "strategy_id", "scenario_id"]
+HIT = ["workspace_id", "scenario_id", "index", "doc_id"]
 RELEVANT = 1
 
 
 def judgement_id() -> Column:
-    """Id of a judgement, derived from what it judges."""
-    return F.sha2(F.concat_ws(ID_SEPARATOR, *[F.col(c).cast("string") for c in JUDGEMENT_KEY]), 256)
+    """Id of a judgement, derived from what it judges.
+
+    Each part is preceded by its length and a null part is a dash, so that no two judgements
+    share an id, whatever characters their parts hold.
+    """
+    part = lambda c: F.coalesce(F.concat(F.char_length(c).cast("string"), F.lit(":"), c), F.lit("-"))
+    return F.sha2(F.concat(*(part(F.col(c).cast("string")) for c in JUDGEMENT_KEY)), 256)
 
 
 def set_judgements(base: DataFrame, delta: DataFrame, seq: str, user: str, via: str = "server") -> DataFrame:
@@ -45,9 +51,9 @@ def validate_workspace(records: DataFrame, workspace: str) -> tuple[DataFrame, D
     """
     ends = ["scale_min", "scale_max"]
     checked = records.withColumns({f"_{e}": F.col(e).try_cast("int") for e in ends})
-    problem = F.when(F.col("workspace_id") != workspace, F.lit("workspace_id must match"))
+    problem = F.when(F.col("workspace_id") != workspace, F.lit("record of another workspace"))
     for end in ends:
-        problem = problem.when(F.col(end).isNotNull() & F.col(f"_{end}").isNull(), F.lit(f"{end} is not an integer"))
+        problem = problem.when(F.col(end).isNotNull() & F.col(f"_{end}").isNull(), F.lit(f"{end} cannot be read as an integer"))
     checked = checked.withColumn("problem", problem)
     accepted = (
         checked.filter(F.col("problem").isNull())
@@ -76,26 +82,25 @@ def select_candidates(scenarios: DataFrame, strategies: DataFrame) -> DataFrame:
 
     Records with the same parameter list behave alike, so lists are compared first: a
     strategy list fits a scenario list that holds all its parameters, counted over an
-    equi-join on the parameter. Records then meet through the fitting lists. Strategies
-    without parameters join on a mark that every scenario list carries. A parameter list that
-    very many scenarios share is a hot key and is spread.
+    equi-join on the parameter. Records then meet through the fitting lists. A strategy
+    without parameters fits every list of its workspace; a null list is an empty one. A
+    parameter list that very many scenarios share is a hot key and is spread.
     """
-    mark = F.array(F.lit(""))
-    given = F.array_sort(F.array_distinct("params"))
+    given = F.array_sort(F.array_distinct(F.coalesce("params", F.array().cast("array<string>"))))
     sc = scenarios.select("workspace_id", "scenario_id", given.alias("sc_params"))
     st = strategies.select("workspace_id", "strategy_id", given.alias("st_params"))
 
-    def each(records: DataFrame, name: str, params: Column) -> DataFrame:
-        return records.select("workspace_id", name).distinct().withColumn("param", F.explode(params))
-
-    needed = F.when(F.size("st_params") == 0, mark).otherwise(F.col("st_params"))
-    fits = (
-        each(st, "st_params", needed)
-        .join(each(sc, "sc_params", F.concat(mark, "sc_params")), ["workspace_id", "param"])
+    st_lists, sc_lists = (r.select("workspace_id", n).distinct() for r, n in ((st, "st_params"), (sc, "sc_params")))
+    sharing = (
+        st_lists.withColumn("param", F.explode("st_params"))
+        .join(sc_lists.withColumn("param", F.explode("sc_params")), ["workspace_id", "param"])
         .groupBy("workspace_id", "st_params", "sc_params")
         .agg(F.count(F.lit(1)).alias("shared"))
-        .filter(F.col("shared") == F.greatest(F.size("st_params"), F.lit(1)))
+        .filter(F.col("shared") == F.size("st_params"))
+        .drop("shared")
     )
+    free = st_lists.filter(F.size("st_params") == 0).join(sc_lists, "workspace_id")
+    fits = sharing.unionByName(free)
     runnable = st.join(fits, ["workspace_id", "st_params"]).select("workspace_id", "sc_params", "strategy_id")
     return salted_join(sc, runnable, ["workspace_id", "sc_params"], spread=["scenario_id"], how="inner").select(
         "workspace_id", "strategy_id", "scenario_id"
@@ -104,7 +109,7 @@ def select_candidates(scenarios: DataFrame, strategies: DataFrame) -> DataFrame:
 
 def sample_scenarios(scenarios: DataFrame, size: int, seed: str, key: str = "scenario_id") -> DataFrame:
     """At most ``size`` scenarios, the same ones for the same seed on any cluster."""
-    order = F.md5(F.concat(F.lit(seed + ID_SEPARATOR), F.col(key).cast("string")))
+    order = F.md5(F.concat(F.lit(seed + SEED_SEPARATOR), F.col(key).cast("string")))
     return scenarios.orderBy(order, key).limit(size)
 
 
@@ -122,15 +127,16 @@ def render_strategy(source: Column, values: Column) -> Column:
 
 
 def ranked_hits(
-    docs: DataFrame, scores: dict[str, Column], k: int, scenario: str, index: str, key: str = "doc_id"
+    docs: DataFrame, scores: dict[str, Column], k: int, scenario: str, index: str, key: str = "doc_id", workspace: str = "workspace_id"
 ) -> DataFrame:
-    """``(strategy_id, scenario_id, index, doc_id, score, rank)``: the top ``k`` of each list.
+    """``(workspace_id, strategy_id, scenario_id, index, doc_id, score, rank)``: the top ``k`` of each list.
 
     A strategy is a named scoring Column. Documents are read once for all strategies, and
     ranking keeps ``k`` rows per list and task before the shuffle, so a scenario that covers a
     large share of the corpus is no hot spot.
     """
     scored = docs.select(
+        F.col(workspace).alias("workspace_id"),
         F.col(scenario).alias("scenario_id"),
         F.col(key).alias("doc_id"),
         F.inline(
@@ -156,18 +162,18 @@ def unrated_hits(hits: DataFrame, judgements: DataFrame) -> DataFrame:
 
 
 def unrated_docs(hits: DataFrame, judgements: DataFrame) -> DataFrame:
-    """Per unrated document: times returned, and the strategies and scenarios that returned it.
+    """Per unrated document of a workspace: times returned, and by how many strategies and scenarios.
 
-    The sets are built from distinct values and are as long as the evaluation has strategies
-    and scenarios.
+    Which ones they are is in ``unrated_hits``, one row each: a popular document is returned
+    for very many scenarios, too many for one row.
     """
     return (
         unrated_hits(hits, judgements)
-        .groupBy("index", "doc_id")
+        .groupBy("workspace_id", "index", "doc_id")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.array_sort(F.collect_set("strategy_id")).alias("strategies"),
-            F.array_sort(F.collect_set("scenario_id")).alias("scenarios"),
+            F.count_distinct("strategy_id").alias("strategies"),
+            F.count_distinct("scenario_id").alias("scenarios"),
         )
     )
 
@@ -196,7 +202,7 @@ def _reached(stop: Column) -> Column:
 
 def relevant_total(judgements: DataFrame) -> DataFrame:
     """Relevant documents of each scenario."""
-    return judgements.groupBy("scenario_id").agg(F.count_if(_relevant(F.col("rating"))).alias("total"))
+    return judgements.groupBy(*SCENARIO).agg(F.count_if(_relevant(F.col("rating"))).alias("total"))
 
 
 def precision_at_k(rated: DataFrame) -> DataFrame:
@@ -207,7 +213,7 @@ def precision_at_k(rated: DataFrame) -> DataFrame:
 def recall_at_k(rated: DataFrame, judgements: DataFrame) -> DataFrame:
     """Relevant hits among all relevant documents of the scenario; 0 when there are none."""
     found = rated.groupBy(*LIST).agg(F.count_if(_relevant(F.col("rating"))).alias("found"))
-    return found.join(relevant_total(judgements), "scenario_id", "left").select(
+    return found.join(relevant_total(judgements), SCENARIO, "left").select(
         *LIST, _share("found", "total").alias("recall")
     )
 
@@ -229,21 +235,21 @@ def ideal_dcg(judgements: DataFrame, k: int) -> DataFrame:
     Ratings are counted first: only ``(scenario, rating)`` counts are ranked, then the ranks
     1..k are laid over the running count.
     """
-    counts = judgements.groupBy("scenario_id", "rating").agg(F.count(F.lit(1)).alias("n"))
-    best = Window.partitionBy("scenario_id").orderBy(F.desc("rating"))
+    counts = judgements.groupBy(*SCENARIO, "rating").agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy(*SCENARIO).orderBy(F.desc("rating"))
     before = F.coalesce(F.sum("n").over(best.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = counts.withColumn("before", before).filter(F.col("before") < k)
     ranks = placed.withColumn(
         "rank", F.explode(F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("n"), F.lit(k))))
     )
-    return ranks.groupBy("scenario_id").agg(F.sum(_discounted(F.col("rating"), F.col("rank"))).alias("ideal"))
+    return ranks.groupBy(*SCENARIO).agg(F.sum(_discounted(F.col("rating"), F.col("rank"))).alias("ideal"))
 
 
 def ndcg_at_k(rated: DataFrame, judgements: DataFrame, k: int) -> DataFrame:
     """DCG over the scenario's best possible DCG; 0 when that is 0."""
     return (
         dcg_at_k(rated)
-        .join(ideal_dcg(judgements, k), "scenario_id", "left")
+        .join(ideal_dcg(judgements, k), SCENARIO, "left")
         .select(*LIST, _share("dcg", "ideal").alias("ndcg"))
     )
 
@@ -277,18 +283,20 @@ def metrics(rated: DataFrame, judgements: DataFrame, k: int, max_rating: int) ->
             F.sum(F.col("_stop") * F.col("_reached") / rank).alias("err"),
         )
     )
-    per_scenario = relevant_total(judgements).join(ideal_dcg(judgements, k), "scenario_id")
-    return per_list.join(per_scenario, "scenario_id", "left").select(
+    per_scenario = relevant_total(judgements).join(ideal_dcg(judgements, k), SCENARIO)
+    return per_list.join(per_scenario, SCENARIO, "left").select(
         *LIST, "precision", _share("_found", "total").alias("recall"), "mrr", "dcg", _share("dcg", "ideal").alias("ndcg"), "err"
     )
 
 
 def evaluation_summary(per_list: DataFrame) -> DataFrame:
-    """Mean of every metric per strategy and over all lists (``strategy_id`` null)."""
-    sums = per_list.groupBy("strategy_id").agg(
+    """Mean of every metric per strategy of a workspace and over all its lists (``strategy_id`` null)."""
+    sums = per_list.groupBy("workspace_id", "strategy_id").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(m).alias(m) for m in METRICS]
     )
-    return sums.rollup("strategy_id").agg(
+    # One row per strategy, or the total of the workspace.
+    either = F.explode(F.array(F.col("strategy_id"), F.lit(None)))
+    return sums.withColumn("strategy_id", either).groupBy("workspace_id", "strategy_id").agg(
         F.sum("n").alias("searches"), *[(F.sum(m) / F.sum("n")).alias(m) for m in METRICS]
     )
 

@@ -8,15 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.tokens import build_postings
-from corpusloom.session import DEFAULT_SALTS, materialize, salted_join
+from corpusloom.operators.tokens import build_postings, postings_and_lengths
+from corpusloom.session import materialize
 
 # The usual BM25 constants.
 K1 = 1.2
 B = 0.75
 
-#: Decimals of a score that decide the order; beyond them two documents tie.
+#: Decimals of a score that are shown, and the type in which scores are summed and ranked.
 SCORE_DECIMALS = 6
+SCORE_TYPE = "decimal(28,12)"
+#: Words in more than this share of the documents are added last, where they can matter.
+RARE_SHARE = 0.05
 
 
 def query_terms(queries: DataFrame, text: str, analyzer: str = "simple", query: str = "query_id") -> DataFrame:
@@ -30,29 +33,77 @@ def bm25_topk(
     k: int,
     key: str = "doc_id",
     query: str = "query_id",
-    salts: int = DEFAULT_SALTS,
+    scope: tuple[str, ...] = (),
+    rare_share: float = RARE_SHARE,
 ) -> DataFrame:
-    """``(query, rank, key, score)``: the ``k`` best documents of each query, ties by key.
+    """``(scope, query, rank, key, score)``: the ``k`` best documents of each query, ties by key.
 
-    Only postings of query terms are scored. A frequent term is a hot join key and is spread
-    by document. Scores are summed before they are moved, and ranking keeps ``k`` rows per
-    query and task before the shuffle.
-    """
-    corpus = postings.agg(F.count_distinct(key).alias("n"), F.sum("tf").alias("tokens"))
-    docs = corpus.select("n").scalar()
-    mean_len = corpus.select(F.col("tokens") / F.col("n")).scalar()
-
-    wanted = terms.select("term").distinct()
-    frequency = postings.join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.ln(1 + (docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = terms.join(frequency, "term").select(query, "term", (F.col("qtf") * idf).alias("weight"))
+    ``postings`` hold a row of null term per document, as ``postings_and_lengths`` makes them;
+    corpus totals come from those. With ``scope`` columns (a workspace) both sides carry them,
+    and totals, frequencies and ranks are per scope.
 
-    matched = salted_join(postings, weighted, ["term"], spread=[key], how="inner", salts=salts)
-    norm = K1 * (1 - B + B * F.col("doc_len") / mean_len)
-    score = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + norm)
-    scored = matched.groupBy(query, key).agg(F.round(F.sum(score), SCORE_DECIMALS).alias("score"))
-    rank = F.row_number().over(Window.partitionBy(query).orderBy(F.desc("score"), F.asc(key)))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select(query, "rank", key, "score")
+    Words that are in more than ``rare_share`` of the documents are left out of the first pass.
+    The k-th score of that pass is a floor of the final one. Frequent words are then added only
+    to documents that can still reach it; a query whose frequent words could lift an unseen
+    document to the floor is scored in full. The result is exact either way. Scores are sums of
+    decimals, so ranks do not depend on how rows are partitioned; only the shown score is rounded.
+    """
+    on = list(scope)
+    sized = postings.filter(F.col("term").isNull()).groupBy(*on).agg(
+        F.count(F.lit(1)).alias("docs"), F.avg("doc_len").alias("mean_len")
+    )
+    held = postings.filter(F.col("term").isNotNull())
+    totals = {c: sized.select(c).scalar() for c in ("docs", "mean_len")} if not on else {}
+    by_scope = lambda df: df.join(sized, on) if on else df.withColumns(totals)
+    tf_part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.col("mean_len")))
+    wanted = terms.select(*on, "term").distinct()
+    frequency = by_scope(held.groupBy(*on, "term").agg(F.count(F.lit(1)).alias("df")).join(wanted, [*on, "term"]))
+    idf = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = materialize(
+        terms.join(frequency, [*on, "term"]).select(
+            *on, query, "term", "mean_len", (F.col("qtf") * idf).alias("weight"), (F.col("df") > rare_share * F.col("docs")).alias("frequent")
+        ),
+        "weights",
+    )
+    most = F.col("weight") * (K1 + 1)  # no document adds more for a word
+    bounds = weighted.groupBy(*on, query).agg(F.sum(F.when(F.col("frequent"), most).otherwise(0.0)).alias("rest"))
+
+    def scored(chosen: DataFrame, found: DataFrame) -> DataFrame:
+        part = (F.col("weight") * tf_part).cast(SCORE_TYPE)
+        return found.join(chosen, [*on, "term"]).groupBy(*on, query, key).agg(F.sum(part).alias("score"))
+
+    rank_of = lambda part: Window.partitionBy(*on, query).orderBy(*part)
+    first = materialize(scored(weighted.filter(~F.col("frequent")), held), "first-pass")
+    kth = (
+        first.withColumn("_n", F.row_number().over(rank_of([F.desc("score")])))
+        .filter(F.col("_n") == k)
+        .select(*on, query, F.col("score").alias("floor"))
+    )
+    plan = materialize(
+        bounds.join(kth, [*on, query], "left").withColumn("full", F.col("floor").isNull() | (F.col("rest") >= F.col("floor").cast("double") * (1 - 1e-9))),
+        "search-plan",
+    )
+    in_full = plan.filter("full").select(*on, query)
+    whole = scored(weighted.join(in_full, [*on, query], "left_semi"), held)
+    reach = (
+        first.join(plan.filter("not full"), [*on, query])
+        .filter(F.col("score").cast("double") + F.col("rest") >= F.col("floor").cast("double") * (1 - 1e-9))
+        .select(*on, query, key, "score")
+    )
+    more = (
+        reach.select(*on, query, key)
+        .join(weighted.filter("frequent"), [*on, query])
+        .join(held, [*on, "term", key])
+        .select(*on, query, key, (F.col("weight") * tf_part).cast(SCORE_TYPE).alias("score"))
+    )
+    pruned = reach.unionByName(more).groupBy(*on, query, key).agg(F.sum("score").alias("score"))
+    rank = F.row_number().over(rank_of([F.desc("score"), F.asc(key)]))
+    return (
+        whole.unionByName(pruned)
+        .withColumn("rank", rank)
+        .filter(F.col("rank") <= k)
+        .select(*on, query, "rank", key, F.round(F.col("score").cast("double"), SCORE_DECIMALS).alias("score"))
+    )
 
 
 def search(
@@ -65,15 +116,19 @@ def search(
     key: str = "doc_id",
     query: str = "query_id",
 ) -> DataFrame:
-    """Index ``docs``, then answer all ``queries``; the postings are stored, as they are read thrice."""
-    postings = materialize(build_postings(docs, doc_text, analyzer, key), "postings")
+    """Index ``docs``, then answer all ``queries``; the postings are stored, as they are read several times."""
+    postings = materialize(postings_and_lengths(docs, doc_text, analyzer, key), "postings")
     return bm25_topk(postings, query_terms(queries, query_text, analyzer, query), k, key, query)
 
 
 def metadata_search(
     records: DataFrame, queries: DataFrame, fields: list[str], k: int, key: str = "record_id", query: str = "query_id"
 ) -> DataFrame:
-    """Full-text search over the searchable fields of records; of lists and maps, over the values."""
+    """Full-text search over the searchable fields of records, inside each workspace.
+
+    Of lists and maps the values are searched. Queries name their ``workspace_id``, and are
+    answered from its records and its word frequencies alone.
+    """
     kinds = dict(records.dtypes)
 
     def searchable(name: str) -> Column:
@@ -82,6 +137,11 @@ def metadata_search(
             return F.array_join(F.map_values(name), " ")
         return F.array_join(name, " ") if kind.startswith("array") else F.col(name).cast("string")
 
-    parts = [searchable(f) for f in fields]
-    shadow = records.select(key, F.concat_ws(" ", *parts).alias("_search"))
-    return search(shadow, queries, k, doc_text="_search", analyzer="standard", key=key, query=query)
+    shadow = records.select(
+        F.struct("workspace_id", key).alias("_id"), F.concat_ws(" ", *map(searchable, fields)).alias("_search")
+    )
+    found = postings_and_lengths(shadow, "_search", "standard", "_id")
+    postings = materialize(found.select("term", "_id.*", "tf", "doc_len"), "postings")
+    asked = queries.select(F.struct("workspace_id", query).alias("_id"), "text")
+    terms = query_terms(asked, "text", "standard", "_id").select("_id.*", "term", "qtf")
+    return bm25_topk(postings, terms, k, key, query, scope=("workspace_id",))

@@ -6,6 +6,8 @@ The rules are a parameter: rows ``(rule_ord, l1, l2, keyword)``. The first rule,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,6 @@ from corpusloom.schemas import TAXONOMY_RULE
 OTHER = "その他"
 UNCLASSIFIED = "未分類"
 
-#: A rule table is configuration; more keywords than this is refused, not broadcast.
-MAX_KEYWORDS = 20_000
-
 _RULE = "struct<rule_ord:int,l1:string,l2:string,keywords:array<string>>"
 
 
@@ -27,27 +26,23 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rules_value(rules: DataFrame) -> Column:
-    """All rules as one constant array of ``(rule_ord, l1, l2, keywords)``, in order.
+    """All rules as one array of ``(rule_ord, l1, l2, keywords)``, in order, as a scalar subquery.
 
-    Rules are configuration, a few hundred rows, and are read once when the plan is built;
-    the constant then travels with the plan. A table too large for that is refused.
+    Spark reads the rules once, as one aggregated row, when the query runs. Rules are
+    configuration: that row is as large as the rule file.
     """
-    rows = rules.select(*TAXONOMY_RULE.names).distinct().limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError(f"more than {MAX_KEYWORDS} taxonomy keywords")
-    keywords: dict[tuple, list[str]] = {}
-    for r in rows:
-        keywords.setdefault((r.rule_ord, r.l1, r.l2), []).append(r.keyword)
-    values = [
-        F.struct(
-            F.lit(order).cast("int").alias("rule_ord"),
-            F.lit(l1).alias("l1"),
-            F.lit(l2).alias("l2"),
-            F.array(*map(F.lit, sorted(words))).alias("keywords"),
-        )
-        for (order, l1, l2), words in sorted(keywords.items(), key=lambda item: item[0])
-    ]
-    return F.array(*values) if values else F.array().cast(f"array<{_RULE}>")
+    words = F.array_sort(F.collect_set("keyword")).alias("keywords")
+    grouped = rules.groupBy(F.col("rule_ord").cast("int").alias("rule_ord"), "l1", "l2").agg(words)
+    return grouped.agg(F.array_sort(F.collect_list(F.struct("rule_ord", "l1", "l2", "keywords")))).scalar()
+
+
+def first_rule(rules: Column, holds: Callable[[Column], Column]) -> Column:
+    """The first rule that holds, else null; rules after it are not tried."""
+    return F.aggregate(
+        rules,
+        F.lit(None).cast(_RULE),
+        lambda found, rule: F.when(found.isNotNull(), found).when(holds(rule), rule),
+    )
 
 
 def classify_taxonomy(articles: DataFrame, rules: DataFrame) -> DataFrame:
@@ -64,11 +59,10 @@ def classify_taxonomy(articles: DataFrame, rules: DataFrame) -> DataFrame:
     first_direct = F.try_element_at("categories_direct", F.lit(1))
     with_rule = (
         articles.withColumn("_corpus", F.concat_ws(" ", "title", "categories_all"))
+        .withColumn("_rules", rules_value(rules))
         .withColumn(
             "_rule",
-            F.try_element_at(
-                F.filter(rules_value(rules), lambda rule: holds_any(F.col("_corpus"), rule["keywords"])), F.lit(1)
-            ),
+            first_rule(F.col("_rules"), lambda rule: holds_any(F.col("_corpus"), rule["keywords"])),
         )
         .withColumn("_matched", F.filter("_rule.keywords", lambda word: F.contains(F.col("_corpus"), word)))
     )
@@ -83,5 +77,5 @@ def classify_taxonomy(articles: DataFrame, rules: DataFrame) -> DataFrame:
         with_rule.withColumn("taxonomy_l1", F.coalesce("_rule.l1", F.lit(OTHER)))
         .withColumn("taxonomy_l2", F.coalesce("_rule.l2", F.lit(UNCLASSIFIED)))
         .withColumn("taxonomy_l3", level3)
-        .drop("_corpus", "_rule", "_matched")
+        .drop("_corpus", "_rules", "_rule", "_matched")
     )

@@ -83,18 +83,25 @@ def token_graph_edges(
     return edges.withColumn("parallel", F.row_number().over(same) - 1).drop("_order")
 
 
-def build_postings(docs: DataFrame, text: str, analyzer: str = "simple", key: str = "doc_id") -> DataFrame:
-    """``(term, key, tf, doc_len)``: the inverted index as a table.
+def postings_and_lengths(docs: DataFrame, text: str, analyzer: str = "simple", key: str = "doc_id") -> DataFrame:
+    """``(term, key, tf, doc_len)``: the postings, and for each document with any term a row of null term.
 
     All tokens of a document sit in one task, so map-side counting already yields final
     counts and the shuffle moves one row per document and distinct term.
     """
     analyzed = docs.select(key, ANALYZERS[analyzer](F.col(text)).alias("tokens")).select(
-        key, F.size("tokens").cast("long").alias("doc_len"), "tokens"
+        key,
+        F.size("tokens").cast("long").alias("doc_len"),
+        F.when(F.size("tokens") > 0, F.array_append("tokens", F.lit(None).cast("string"))).alias("tokens"),
     )
     terms = analyzed.select(key, "doc_len", F.explode_outer("tokens").alias("term"))
     return (
-        terms.filter(F.col("term").isNotNull())
+        terms.filter(F.col("doc_len") > 0)
         .groupBy("term", key)
         .agg(F.count(F.lit(1)).alias("tf"), F.max("doc_len").alias("doc_len"))
     )
+
+
+def build_postings(docs: DataFrame, text: str, analyzer: str = "simple", key: str = "doc_id") -> DataFrame:
+    """``(term, key, tf, doc_len)``: the inverted index as a table."""
+    return postings_and_lengths(docs, text, analyzer, key).filter(F.col("term").isNotNull())

@@ -26,10 +26,12 @@ def classify(articles: DataFrame, edges: DataFrame, rules: DataFrame) -> DataFra
 
 
 def build_articles(
-    pages: DataFrame, rules: DataFrame, now: Column, chars: int = tx.BODY_CHARS, url_base: str = tx.WIKI_URL_BASE
+    pages: DataFrame, rules: DataFrame, now: Column, chars: int | None = None, url_base: str = tx.WIKI_URL_BASE
 ) -> DataFrame:
     """The twelve-field article table of stored pages, articles and category pages together.
 
+    Bodies are whole; ``chars`` cuts them for a caller that asks for it.
+
     Texts are cleaned once and stored; hierarchy and taxonomy then read ids, titles and
     category names only, and bodies join once at the end. Both sides of that join are unique
     by page.
@@ -38,7 +40,7 @@ def build_articles(
         filter_articles(pages).select(
             "page_id",
             "title",
-            tx.truncate_body(F.col("body"), chars).alias("body"),
+            (F.col("body") if chars is None else tx.truncate_body(F.col("body"), chars)).alias("body"),
             tx.wiki_url(F.col("title"), url_base).alias("url"),
             tx.extract_categories(F.col("text")).alias("categories_direct"),
         ),

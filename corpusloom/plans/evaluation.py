@@ -15,10 +15,11 @@ from corpusloom.session import materialize
 def search_hits(docs: DataFrame, scenarios: DataFrame, analyzers: dict[str, str], k: int, index: str) -> DataFrame:
     """Top ``k`` hits of each ``(strategy, scenario)``; a strategy is BM25 with its own analyzer.
 
-    ``docs`` are ``(doc_id, text)``, ``scenarios`` are ``(scenario_id, text)``.
+    ``docs`` are ``(doc_id, text)``, ``scenarios`` are ``(workspace_id, scenario_id, text)``.
     """
+    asked = scenarios.select(F.struct(*relevance.SCENARIO).alias("query_id"), "text")
     lists = [
-        search(docs, scenarios, k, analyzer=analyzer, query="scenario_id").withColumn("strategy_id", F.lit(strategy))
+        search(docs, asked, k, analyzer=analyzer).select("query_id.*", "rank", "doc_id", "score", F.lit(strategy).alias("strategy_id"))
         for strategy, analyzer in analyzers.items()
     ]
     hits = reduce(DataFrame.unionByName, lists)

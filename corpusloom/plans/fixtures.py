@@ -11,8 +11,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.session import spread_scan
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -62,25 +60,39 @@ FIXTURES = {
         UNION ALL
         SELECT d.doc_id, concat('v3 ', d.source), d.text, d.lang, 2
         FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1""",
-    # Own documents: the web pages, plus corrections of labelled documents.
+    # Own documents: the web pages, plus corrections of labelled documents, twice where they are good.
     "fx_custom": """
-        SELECT 900000000 + page_id AS page_id, url AS title, html AS body FROM pages
+        SELECT 900000000 + page_id AS page_id, url AS title, html AS body, 1 AS seq FROM pages
+        UNION ALL
+        SELECT d.doc_id, concat('own ', d.source), d.text, 1 FROM documents d JOIN labels l ON l.doc_id = d.doc_id
         UNION ALL
-        SELECT d.doc_id, concat('own ', d.source), d.text FROM documents d JOIN labels l ON l.doc_id = d.doc_id""",
+        SELECT d.doc_id, concat('own again ', d.source), d.text, 2
+        FROM documents d JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality = 1""",
+    # Two workspaces judge the same scenarios and documents, each in its own way.
     "fx_judgements": """
         SELECT 'w0' AS workspace_id, d.lang AS scenario_id, 'documents' AS idx, l.doc_id AS doc_id,
-          2 * l.quality + (1 - l.toxic) AS rating FROM labels l JOIN documents d ON d.doc_id = l.doc_id""",
-    # One scenario per conversation turn; only users give the turn as a parameter.
+          2 * l.quality + (1 - l.toxic) AS rating FROM labels l JOIN documents d ON d.doc_id = l.doc_id
+        UNION ALL
+        SELECT 'w1', d.lang, 'documents', l.doc_id, 3 * (1 - l.quality)
+        FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE l.doc_id % 3 > 0""",
+    "fx_judged_docs": """
+        SELECT concat('w', CAST(doc_id % 2 AS STRING)) AS workspace_id, doc_id, lang, n_chars FROM documents""",
+    # Ratings of documents for benchmark items.
+    "fx_item_judgements": """
+        SELECT 'w0' AS workspace_id, CAST(b.item_id AS STRING) AS scenario_id, 'documents' AS idx, l.doc_id AS doc_id,
+          2 * l.quality + (1 - l.toxic) AS rating
+        FROM labels l JOIN benchmark b ON b.item_id = l.doc_id % 40""",
+    # One scenario per conversation turn; only users give the turn as a parameter, and system turns give none.
     "fx_scenarios": """
         SELECT concat('w', CAST(conv_id % 2 AS STRING)) AS workspace_id,
           concat(CAST(conv_id AS STRING), '-', CAST(turn AS STRING)) AS scenario_id,
-          CASE WHEN role = 'user' THEN 'text,turn' ELSE 'text' END AS params,
+          CASE WHEN role = 'user' THEN 'text,turn' WHEN role = 'assistant' THEN 'text' END AS params,
           CASE WHEN length(text) > 200 THEN concat(role, ',long') ELSE concat(role, ',short') END AS tags,
           text, CAST(turn AS STRING) AS turn FROM conversations""",
     # One strategy per part brand and workspace.
     "fx_strategies": """
         SELECT DISTINCT CASE WHEN p_size > 25 THEN 'w0' ELSE 'w1' END AS workspace_id, p_brand AS strategy_id,
-          CASE WHEN p_brand < 'Brand#2' THEN 'text' WHEN p_brand < 'Brand#4' THEN 'text,turn' ELSE 'text,turn,lang' END AS params,
+          CASE WHEN p_brand < 'Brand#12' THEN NULL WHEN p_brand < 'Brand#2' THEN 'text' WHEN p_brand < 'Brand#4' THEN 'text,turn' ELSE 'text,turn,lang' END AS params,
           CASE WHEN p_brand < 'Brand#3' THEN 'base' ELSE 'base,exp' END AS tags,
           '{"q":"{{text}}","n":"{{turn}}","l":"{{lang}}"}' AS source FROM part""",
     "fx_rounds": """
@@ -93,22 +105,15 @@ FIXTURES = {
         SELECT event_id AS evaluation_id, event_type AS benchmark_id, ts AS created_at FROM events""",
     "fx_ja": f"""
         SELECT doc_id, translate(lower(text), '{LATIN}', '{JAPANESE}') AS text FROM documents""",
-    # One scenario per language: its shortest proper text is the query.
-    "fx_lang_queries": """
-        SELECT lang AS query_id, min_by(text, n_chars * 1000000000 + doc_id) AS text
-        FROM documents WHERE n_chars >= 200 GROUP BY lang""",
     "fx_queries": "SELECT item_id AS query_id, text FROM benchmark",
+    "fx_scoped_queries": """
+        SELECT concat('w', CAST(item_id % 2 AS STRING)) AS workspace_id, item_id AS query_id, text FROM benchmark""",
 }
 
 
-#: Tables of texts, which are heavy per row, and their keys.
-TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread_scan(scan, TEXT_KEYS[name]) if name in TEXT_KEYS else scan
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

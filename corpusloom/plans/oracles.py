@@ -11,6 +11,7 @@ from corpusloom.operators.search import B, K1
 from corpusloom.plans.fixtures import with_fixtures
 from corpusloom.plans.queries import K, MAX_RATING, NOW
 
+# The same patterns as the engine's, in the other dialect.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 NOT_WS_BRACKET = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}\]]"
 CAT = r"\[\[(?:Category|カテゴリ):([^\]|]+)(?:\|[^\]]*)?\]\]"
@@ -192,7 +193,7 @@ _TAX = """,
 ORACLES["classify_taxonomy"] = _hier(_TAX + " SELECT page_id, taxonomy_l1, taxonomy_l2, taxonomy_l3 FROM classified", "fx_rules")
 ORACLES["build_articles"] = _hier(
     _TAX
-    + f""" SELECT c.page_id, c.title, substr(body, 1, 5000) AS body, {_URL.format('c.title')} AS url, categories_all,
+    + f""" SELECT c.page_id, c.title, body, {_URL.format('c.title')} AS url, categories_all,
       taxonomy_l1, taxonomy_l2, taxonomy_l3
     FROM classified c JOIN art USING (page_id) JOIN (SELECT art.page_id, {_level_list(_LISTS['categories_all'], 'categories_all')}
       FROM art LEFT JOIN alls USING (page_id) GROUP BY art.page_id) USING (page_id)""",
@@ -298,9 +299,28 @@ ORACLES["pack_by_bytes"] = with_fixtures(
     SELECT page_id, bytes, bucket, part FROM p""",
     "fx_corpus",
 )
-ORACLES["pack_requests"] = """
-    SELECT CAST(0 AS BIGINT) AS bucket, CAST(0 AS BIGINT) AS part, count(*) AS docs,
-      CAST(sum(strlen(text)) AS BIGINT) AS bytes FROM documents"""
+ORACLES["pack_requests"] = with_fixtures(
+    """WITH RECURSIVE s AS (SELECT page_id, strlen(body) AS bytes, page_id // 300 AS bucket,
+        row_number() OVER (PARTITION BY page_id // 300 ORDER BY page_id) AS i FROM fx_corpus),
+      p AS (SELECT page_id, bytes, bucket, i, CAST(0 AS BIGINT) AS part, CAST(bytes AS BIGINT) AS used,
+          CAST(0 AS BIGINT) AS request, CAST(bytes AS BIGINT) AS asked FROM s WHERE i = 1
+        UNION ALL
+        SELECT s.page_id, s.bytes, s.bucket, s.i,
+          CASE WHEN p.used + s.bytes > 60000 THEN p.part + 1 ELSE p.part END,
+          CASE WHEN p.used + s.bytes > 60000 THEN s.bytes ELSE p.used + s.bytes END,
+          CASE WHEN p.used + s.bytes > 60000 THEN 0 WHEN p.asked + s.bytes > 9000 THEN p.request + 1 ELSE p.request END,
+          CASE WHEN p.used + s.bytes > 60000 OR p.asked + s.bytes > 9000 THEN s.bytes ELSE p.asked + s.bytes END
+        FROM p JOIN s ON s.bucket = p.bucket AND s.i = p.i + 1)
+    SELECT page_id, printf('%08d-%06d', bucket, part) AS part_no, request FROM p""",
+    "fx_corpus",
+)
+ORACLES["reject_bulk_ndjson"] = with_fixtures(
+    """SELECT problem, count(*) AS n, CAST(sum(CASE WHEN problem = '' THEN length(body) ELSE 0 END) AS BIGINT) AS chars
+    FROM (SELECT body, CASE page_id % 5 WHEN 2 THEN 'the action names no document id'
+        WHEN 3 THEN 'the document line is no JSON object of the document fields' ELSE '' END AS problem FROM fx_corpus)
+    GROUP BY problem""",
+    "fx_corpus",
+)
 _UPSERTED = """upserted AS (
     SELECT page_id, title, body, taxonomy_l1 FROM (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seq DESC) AS r
       FROM (SELECT page_id, title, body, taxonomy_l1, 0 AS seq FROM fx_corpus
@@ -313,10 +333,21 @@ ORACLES["publish_snapshot"] = with_fixtures(
 )
 ORACLES["union_custom"] = with_fixtures(
     """SELECT page_id, title, body, taxonomy_l1 FROM fx_corpus WHERE page_id NOT IN (SELECT page_id FROM fx_custom)
-    UNION ALL SELECT page_id, title, body, NULL FROM fx_custom""",
+    UNION ALL SELECT page_id, title, body, NULL FROM
+      (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seq DESC) AS r FROM fx_custom) WHERE r = 1""",
     "fx_corpus",
     "fx_custom",
 )
+ORACLES["reingest_full"] = with_fixtures(
+    f"""WITH {_UPSERTED}
+    SELECT page_id, title, body, taxonomy_l1, 'articles-20260402-1' AS snapshot FROM upserted
+      WHERE page_id NOT IN (SELECT page_id FROM fx_custom)
+    UNION ALL SELECT page_id, title, body, NULL, 'articles-20260402-1' FROM
+      (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY seq DESC) AS r FROM fx_custom) WHERE r = 1""",
+    "fx_corpus",
+    "fx_delta",
+    "fx_custom",
+)
 ORACLES["stream_custom_docs"] = ORACLES["union_custom"]
 ORACLES["apply_schema_contract"] = with_fixtures(
     f"""SELECT CASE WHEN NOT redirect THEN page_id END AS page_id, title, text AS body, CAST(NULL AS VARCHAR) AS url,
@@ -423,7 +454,7 @@ ORACLES["build_postings"] = r"""
     FROM (SELECT doc_id, len(t) AS doc_len, unnest(t) AS term FROM t) GROUP BY term, doc_id"""
 
 
-def _bm25(docs: str, queries: str, key: str, pattern: str, stop: list[str] = ()) -> str:
+def _bm25(docs: str, queries: str, key: str, pattern: str, stop: list[str] = (), query: str = "query_id") -> str:
     words = f"regexp_extract_all(lower(text), '{pattern}')"
     if stop:
         words = f"list_filter({words}, lambda w: w NOT IN ({_quoted(stop)}))"
@@ -433,79 +464,94 @@ def _bm25(docs: str, queries: str, key: str, pattern: str, stop: list[str] = ())
         FROM (SELECT {key}, len(t) AS dl, unnest(t) AS term FROM d) GROUP BY {key}, term),
       df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
       q AS (SELECT query_id, term, count(*) AS qtf
-        FROM (SELECT query_id, unnest({words}) AS term FROM {queries}) GROUP BY query_id, term),
-      s AS (SELECT query_id, {key}, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {K1 + 1}
-          / (tf + {K1} * (1 - {B} + {B} * dl / mean))), 6) AS score
+        FROM (SELECT {query} AS query_id, unnest({words}) AS term FROM {queries}) GROUP BY query_id, term),
+      s AS (SELECT query_id, {key}, sum(CAST(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * {K1 + 1}
+          / (tf + {K1} * (1 - {B} + {B} * dl / mean))) AS DECIMAL(28, 12))) AS score
         FROM q JOIN tf USING (term) JOIN df USING (term), n GROUP BY query_id, {key}),
       r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, {key}) AS rank, {key}, score FROM s)
-    SELECT query_id, rank, {key}, score FROM r WHERE rank <= {K}"""
+    SELECT query_id, rank, {key}, round(CAST(score AS DOUBLE), 6) AS score FROM r WHERE rank <= {K}"""
+
+
+def _scoped(workspace: str) -> str:
+    """One workspace's search over its own records."""
+    return f"""SELECT '{workspace}' AS workspace_id, * FROM (WITH rec AS (SELECT scenario_id AS record_id,
+        concat_ws(' ', replace(params, ',', ' '), replace(tags, ',', ' '), text) AS text
+        FROM fx_scenarios WHERE workspace_id = '{workspace}'),
+      asked AS (SELECT query_id, text FROM fx_scoped_queries WHERE workspace_id = '{workspace}'),
+      """ + _bm25("rec", "asked", "record_id", r"[\p{L}\p{N}]+") + ")"
 
 
 ORACLES["bm25_topk"] = with_fixtures("WITH " + _bm25("documents", "fx_queries", "doc_id", r"\p{L}+"), "fx_queries")
 ORACLES["metadata_search"] = with_fixtures(
-    """WITH rec AS (SELECT scenario_id AS record_id,
-        concat_ws(' ', replace(params, ',', ' '), replace(tags, ',', ' '), text) AS text FROM fx_scenarios), """
-    + _bm25("rec", "fx_queries", "record_id", r"[\p{L}\p{N}]+"),
-    "fx_scenarios",
-    "fx_queries",
+    f"SELECT * FROM ({_scoped('w0')} UNION ALL {_scoped('w1')})", "fx_scenarios", "fx_scoped_queries"
 )
 
 # --- relevance evaluation ---
 
-_HITS = f"""hits AS (SELECT strategy_id, scenario_id, 'documents' AS idx, doc_id, score, rank FROM (
-      SELECT strategy_id, lang AS scenario_id, doc_id, score,
-        row_number() OVER (PARTITION BY strategy_id, lang ORDER BY score DESC, doc_id) AS rank FROM (
-          SELECT 'longest' AS strategy_id, lang, doc_id, CAST(n_chars AS DOUBLE) AS score FROM documents
-          UNION ALL SELECT 'oldest', lang, doc_id, CAST(-doc_id AS DOUBLE) FROM documents)) WHERE rank <= {K})"""
-_METRICS = f"""rated AS (SELECT h.*, j.rating, coalesce(j.rating, 0) AS g FROM hits h
-      LEFT JOIN fx_judgements j USING (scenario_id, idx, doc_id)),
-    total AS (SELECT scenario_id, count(*) FILTER (WHERE rating >= 1) AS total FROM fx_judgements GROUP BY scenario_id),
-    ideal AS (SELECT scenario_id, sum((power(2, rating) - 1) / log2(r + 1)) AS ideal FROM (
-      SELECT scenario_id, rating, row_number() OVER (PARTITION BY scenario_id ORDER BY rating DESC) AS r FROM fx_judgements)
-      WHERE r <= {K} GROUP BY scenario_id),
-    stops AS (SELECT strategy_id, scenario_id, rank, (power(2, g) - 1) / power(2, {MAX_RATING}) AS stop FROM rated),
-    errs AS (SELECT a.strategy_id, a.scenario_id, a.rank, any_value(a.stop) / a.rank * coalesce(product(1 - b.stop), 1) AS share
-      FROM stops a LEFT JOIN stops b ON b.strategy_id = a.strategy_id AND b.scenario_id = a.scenario_id AND b.rank < a.rank
-      GROUP BY a.strategy_id, a.scenario_id, a.rank),
-    err AS (SELECT strategy_id, scenario_id, sum(share) AS err FROM errs GROUP BY 1, 2),
-    m AS (SELECT strategy_id, scenario_id, avg(CASE WHEN g >= 1 THEN 1.0 ELSE 0.0 END) AS precision,
+_HITS = f"""hits AS (SELECT workspace_id, strategy_id, scenario_id, 'documents' AS idx, doc_id, score, rank FROM (
+      SELECT workspace_id, strategy_id, lang AS scenario_id, doc_id, score,
+        row_number() OVER (PARTITION BY workspace_id, strategy_id, lang ORDER BY score DESC, doc_id) AS rank FROM (
+          SELECT workspace_id, 'longest' AS strategy_id, lang, doc_id, CAST(n_chars AS DOUBLE) AS score FROM fx_judged_docs
+          UNION ALL SELECT workspace_id, 'oldest', lang, doc_id, CAST(-doc_id AS DOUBLE) FROM fx_judged_docs)) WHERE rank <= {K})"""
+def _metrics(judgements: str) -> str:
+    return f"""rated AS (SELECT h.*, j.rating, coalesce(j.rating, 0) AS g FROM hits h
+      LEFT JOIN {judgements} j USING (workspace_id, scenario_id, idx, doc_id)),
+    total AS (SELECT workspace_id, scenario_id, count(*) FILTER (WHERE rating >= 1) AS total FROM {judgements} GROUP BY ALL),
+    ideal AS (SELECT workspace_id, scenario_id, sum((power(2, rating) - 1) / log2(r + 1)) AS ideal FROM (
+      SELECT workspace_id, scenario_id, rating,
+        row_number() OVER (PARTITION BY workspace_id, scenario_id ORDER BY rating DESC) AS r FROM {judgements})
+      WHERE r <= {K} GROUP BY workspace_id, scenario_id),
+    stops AS (SELECT workspace_id, strategy_id, scenario_id, rank, (power(2, g) - 1) / power(2, {MAX_RATING}) AS stop FROM rated),
+    errs AS (SELECT a.workspace_id, a.strategy_id, a.scenario_id, a.rank,
+        any_value(a.stop) / a.rank * coalesce(product(1 - b.stop), 1) AS share
+      FROM stops a LEFT JOIN stops b ON b.workspace_id = a.workspace_id AND b.strategy_id = a.strategy_id
+        AND b.scenario_id = a.scenario_id AND b.rank < a.rank
+      GROUP BY a.workspace_id, a.strategy_id, a.scenario_id, a.rank),
+    err AS (SELECT workspace_id, strategy_id, scenario_id, sum(share) AS err FROM errs GROUP BY 1, 2, 3),
+    m AS (SELECT workspace_id, strategy_id, scenario_id, avg(CASE WHEN g >= 1 THEN 1.0 ELSE 0.0 END) AS precision,
         coalesce(count(*) FILTER (WHERE g >= 1) / nullif(any_value(total), 0), 0) AS recall,
         coalesce(1.0 / min(rank) FILTER (WHERE g >= 1), 0) AS mrr, sum((power(2, g) - 1) / log2(rank + 1)) AS dcg,
         coalesce(sum((power(2, g) - 1) / log2(rank + 1)) / nullif(any_value(ideal), 0), 0) AS ndcg, any_value(err) AS err
-      FROM rated LEFT JOIN total USING (scenario_id) LEFT JOIN ideal USING (scenario_id) JOIN err USING (strategy_id, scenario_id)
-      GROUP BY strategy_id, scenario_id)"""
+      FROM rated LEFT JOIN total USING (workspace_id, scenario_id) LEFT JOIN ideal USING (workspace_id, scenario_id)
+        JOIN err USING (workspace_id, strategy_id, scenario_id)
+      GROUP BY workspace_id, strategy_id, scenario_id)"""
 
 
 def _eval(body: str) -> str:
-    return with_fixtures(f"WITH {_HITS}, {_METRICS} {body}", "fx_judgements")
+    return with_fixtures(f"WITH {_HITS}, {_metrics('fx_judgements')} {body}", "fx_judgements", "fx_judged_docs")
 
 
-ORACLES["ranked_hits"] = _eval("SELECT strategy_id, scenario_id, idx, doc_id, score, rank FROM hits")
-ORACLES["hits_left_judgements"] = _eval("SELECT strategy_id, scenario_id, doc_id, rank, rating FROM rated")
-ORACLES["unrated_hits"] = _eval("SELECT strategy_id, scenario_id, doc_id, rank FROM rated WHERE rating IS NULL")
-_UNRATED = """SELECT idx, doc_id, count(*) AS count,
-      string_agg(DISTINCT strategy_id, '|' ORDER BY strategy_id) AS strategies,
-      string_agg(DISTINCT scenario_id, '|' ORDER BY scenario_id) AS scenarios
-    FROM rated WHERE rating IS NULL GROUP BY idx, doc_id"""
+ORACLES["ranked_hits"] = _eval("SELECT workspace_id, strategy_id, scenario_id, idx, doc_id, score, rank FROM hits")
+ORACLES["hits_left_judgements"] = _eval("SELECT workspace_id, strategy_id, scenario_id, doc_id, rank, rating FROM rated")
+ORACLES["unrated_hits"] = _eval("SELECT workspace_id, strategy_id, scenario_id, doc_id, rank FROM rated WHERE rating IS NULL")
+_UNRATED = """SELECT workspace_id, idx, doc_id, count(*) AS count, count(DISTINCT strategy_id) AS strategies,
+      count(DISTINCT scenario_id) AS scenarios
+    FROM rated WHERE rating IS NULL GROUP BY workspace_id, idx, doc_id"""
 ORACLES["unrated_docs"] = _eval(_UNRATED)
 for _metric in ("precision", "recall", "mrr", "dcg", "ndcg", "err"):
-    ORACLES[f"{_metric}_at_k"] = _eval(f"SELECT strategy_id, scenario_id, round({_metric}, 6) AS {_metric} FROM m")
+    ORACLES[f"{_metric}_at_k"] = _eval(f"SELECT workspace_id, strategy_id, scenario_id, round({_metric}, 6) AS {_metric} FROM m")
 _ROUNDED = "round(precision, 6) AS precision, round(recall, 6) AS recall, round(mrr, 6) AS mrr, round(dcg, 6) AS dcg, round(ndcg, 6) AS ndcg, round(err, 6) AS err"
-ORACLES["evaluation_metrics"] = _eval(f"SELECT strategy_id, scenario_id, {_ROUNDED} FROM m")
+ORACLES["evaluation_metrics"] = _eval(f"SELECT workspace_id, strategy_id, scenario_id, {_ROUNDED} FROM m")
 _MEANS = ", ".join(f"round(avg({m}), 6) AS {m}" for m in ("precision", "recall", "mrr", "dcg", "ndcg", "err"))
-ORACLES["evaluation_summary"] = _eval(f"SELECT strategy_id, count(*) AS searches, {_MEANS} FROM m GROUP BY ROLLUP (strategy_id)")
+ORACLES["evaluation_summary"] = _eval(
+    f"SELECT workspace_id, strategy_id, count(*) AS searches, {_MEANS} FROM m GROUP BY GROUPING SETS ((workspace_id, strategy_id), (workspace_id))"
+)
+_ITEM = "CAST(item_id AS VARCHAR)"
 _BOTH = f"""hits AS (
-    SELECT 'plain' AS strategy_id, query_id AS scenario_id, 'documents' AS idx, doc_id, score, rank
-      FROM (WITH {_bm25('documents', 'fx_lang_queries', 'doc_id', LETTERS)})
-    UNION ALL SELECT 'without_stop_words', query_id, 'documents', doc_id, score, rank
-      FROM (WITH {_bm25('documents', 'fx_lang_queries', 'doc_id', LETTERS, an.ENGLISH_STOP_WORDS)}))"""
+    SELECT 'w0' AS workspace_id, 'plain' AS strategy_id, query_id AS scenario_id, 'documents' AS idx, doc_id, score, rank
+      FROM (WITH {_bm25('documents', 'benchmark', 'doc_id', LETTERS, query=_ITEM)})
+    UNION ALL SELECT 'w0', 'without_stop_words', query_id, 'documents', doc_id, score, rank
+      FROM (WITH {_bm25('documents', 'benchmark', 'doc_id', LETTERS, an.ENGLISH_STOP_WORDS, _ITEM)}))"""
+_RUN = f"WITH {_BOTH}, {_metrics('fx_item_judgements')}"
 ORACLES["evaluation_run"] = with_fixtures(
-    f"WITH {_BOTH}, {_METRICS} SELECT strategy_id, scenario_id, {_ROUNDED} FROM m", "fx_judgements", "fx_lang_queries"
+    f"{_RUN} SELECT workspace_id, strategy_id, scenario_id, {_ROUNDED} FROM m", "fx_item_judgements"
 )
-ORACLES["evaluation_run_unrated"] = with_fixtures(
-    f"WITH {_BOTH}, {_METRICS} {_UNRATED}", "fx_judgements", "fx_lang_queries"
+ORACLES["evaluation_run_unrated"] = with_fixtures(f"{_RUN} {_UNRATED}", "fx_item_judgements")
+_JID = "sha256(concat({}))".format(
+    ", ".join(
+        f"coalesce(concat(length({c}), ':', {c}), '-')" for c in ("workspace_id", "scenario_id", "idx", "CAST(doc_id AS VARCHAR)")
+    )
 )
-_JID = "sha256(concat_ws('|', workspace_id, scenario_id, idx, CAST(doc_id AS VARCHAR)))"
 _SET = f"""stored AS (SELECT {_JID} AS _id, * FROM fx_judgements),
     fresh AS (SELECT {_JID} AS _id, *, CASE WHEN n_chars > 1000 THEN 3 ELSE 1 END AS new_rating,
         CASE WHEN n_chars > 1000 THEN 3 ELSE 2 END AS seq
@@ -533,8 +579,8 @@ ORACLES["unset_judgement"] = with_fixtures(
 ORACLES["validate_workspace"] = """
     WITH r AS (SELECT concat(conv_id, '-', turn) AS record_id, CASE WHEN role <> 'system' THEN concat('w', conv_id % 2) END AS ws,
         CASE WHEN length(text) > 300 THEN NULL ELSE CAST(length(text) AS INTEGER) END AS scale FROM conversations),
-      p AS (SELECT *, CASE WHEN ws <> 'w0' THEN 'workspace_id must match'
-        WHEN scale IS NULL THEN 'scale_max is not an integer' ELSE '' END AS problem FROM r)
+      p AS (SELECT *, CASE WHEN ws <> 'w0' THEN 'record of another workspace'
+        WHEN scale IS NULL THEN 'scale_max cannot be read as an integer' ELSE '' END AS problem FROM r)
     SELECT record_id, CASE WHEN problem = '' THEN coalesce(ws, 'w0') ELSE ws END AS workspace_id,
       CASE WHEN problem = '' THEN 0 END AS scale_min, CASE WHEN problem = '' THEN scale END AS scale_max, problem FROM p"""
 ORACLES["read_records"] = with_fixtures(
@@ -544,7 +590,7 @@ ORACLES["read_records"] = with_fixtures(
 )
 _PAIRS = """c AS (SELECT sc.workspace_id, strategy_id, scenario_id, sc.text, sc.turn, st.source, sc.tags AS sc_tags, st.tags AS st_tags
     FROM fx_scenarios sc JOIN fx_strategies st ON st.workspace_id = sc.workspace_id
-      AND list_has_all(string_split(sc.params, ','), string_split(st.params, ',')))"""
+      AND list_has_all(coalesce(string_split(sc.params, ','), []), coalesce(string_split(st.params, ','), [])))"""
 ORACLES["select_candidates"] = with_fixtures(
     f"""WITH {_PAIRS} SELECT workspace_id, strategy_id, scenario_id FROM c
     WHERE list_has_any(string_split(sc_tags, ','), ['long', 'system'])

@@ -368,13 +368,13 @@ def _(spark, sf):
 
 @register("read_bulk_ndjson")
 def _(spark, sf):
-    docs, _ = ndjson.read_bulk_ndjson(spark, _exported(spark, sf) + "/*")
+    docs, _ = ndjson.read_bulk_ndjson(spark, _exported(spark, sf) + "/*", framed=True)
     return docs.select("_id", "page_id", "title", "body", "fetched_at", "taxonomy_l1")
 
 
 @register("read_bulk_ndjson_by_line")
 def _(spark, sf):
-    docs, _ = ndjson.read_bulk_ndjson(spark, _exported(spark, sf) + "/*", by_line_number=True)
+    docs, _ = ndjson.read_bulk_ndjson(spark, _exported(spark, sf) + "/*")
     return docs.select("_id", "page_id", "title", "body", "fetched_at", "taxonomy_l1")
 
 
@@ -391,12 +391,32 @@ def _(spark, sf):
     return packing.pack_by_bytes(rows, "bytes", cap=20_000, bucket_keys=300)
 
 
+@register("reject_bulk_ndjson")
+def _(spark, sf):
+    """Bulk files with broken documents, spaced actions, no ids and documents that begin like actions."""
+    path = fresh_path(spark, "damaged")
+    action = F.concat(
+        F.when(F.col("page_id") % 5 == 1, F.lit('{ "index" : {"_id": "')).otherwise(F.lit('{"index":{"_id":"')),
+        F.when(F.col("page_id") % 5 == 2, F.lit("")).otherwise(F.col("page_id").cast("string")),
+        F.lit('"}}'),
+    )
+    doc = F.when(F.col("page_id") % 5 == 3, F.lit('{"index":1,"page_id":')).otherwise(
+        F.to_json(F.struct(F.lit("first").alias("index"), "page_id", "title", "body"))
+    )
+    pairs = fixture(spark, sf, "fx_corpus").select(F.concat(action, F.lit("\n"), doc).alias("value"))
+    pairs.write.text(path)
+    docs, rejected = ndjson.read_bulk_ndjson(spark, path, strict=False)
+    kept = docs.select(F.lit("").alias("problem"), F.char_length("body").alias("chars"))
+    refused = rejected.select("problem", F.lit(0).alias("chars"))
+    return kept.unionByName(refused).groupBy("problem").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+
+
 @register("pack_requests")
 def _(spark, sf):
-    """Parts of an uncapped and a request-capped packing, with their sizes."""
+    """Requests inside the files of an export, both with small caps."""
     rows = fixture(spark, sf, "fx_corpus").select("page_id", F.octet_length("body").alias("bytes"))
-    packed = packing.pack_by_bytes(rows, "bytes", cap=0)
-    return packed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("docs"), F.sum("bytes").alias("bytes"))
+    filed = packing.with_part_no(rows, "bytes", cap=60_000, bucket_keys=300)
+    return packing.pack_requests(filed, "bytes", cap=9_000).select("page_id", "part_no", "request")
 
 
 CORPUS = ["page_id", "title", "body", "taxonomy_l1"]
@@ -411,7 +431,18 @@ def _(spark, sf):
 @register("union_custom")
 def _(spark, sf):
     base, custom = fixture(spark, sf, "fx_corpus"), fixture(spark, sf, "fx_custom")
-    return records.union_custom(base, custom).select(*CORPUS)
+    return records.union_custom(base, custom, "seq").select(*CORPUS)
+
+
+@register("reingest_full")
+def _(spark, sf):
+    """A full load and then the own documents, published as one new snapshot behind the alias."""
+    root = fresh_path(spark, "reingest")
+    base = records.upsert(fixture(spark, sf, "fx_corpus"), fixture(spark, sf, "fx_delta"), ["page_id"], "seq")
+    publish.publish_snapshot(fixture(spark, sf, "fx_corpus"), root, "corpus", "articles", "20260402")
+    with_own = records.union_custom(base, fixture(spark, sf, "fx_custom"), "seq")
+    name, _ = publish.publish_snapshot(with_own, root, "corpus", "articles", "20260402", ["page_id"])
+    return publish.read_alias(spark, root, "corpus").select(*CORPUS, F.lit(name).alias("snapshot"))
 
 
 @register("publish_snapshot")
@@ -482,8 +513,9 @@ def _(spark, sf):
     """Web pages and corrections streamed into the corpus."""
     root = fresh_path(spark, "stream")
     custom = fixture(spark, sf, "fx_custom")
-    custom.write.json(f"{root}/in")
-    query = ingest.stream_custom_docs(spark, f"{root}/in", f"{root}/deltas", f"{root}/checkpoint", 4, now())
+    for seq in (1, 2):  # later files hold later versions
+        custom.filter(F.col("seq") == seq).drop("seq").write.json(f"{root}/in/v{seq}")
+    query = ingest.stream_custom_docs(spark, f"{root}/in/*", f"{root}/deltas", f"{root}/checkpoint", 4, now())
     query.awaitTermination()
     return ingest.merge_deltas(fixture(spark, sf, "fx_corpus"), f"{root}/deltas").select(*CORPUS)
 
@@ -569,7 +601,7 @@ def _(spark, sf):
 def _(spark, sf):
     scenarios = _listed(spark, sf, "fx_scenarios").withColumn("values", F.create_map(F.lit("text"), F.col("text")))
     records_ = scenarios.withColumnRenamed("scenario_id", "record_id")
-    return search.metadata_search(records_, fixture(spark, sf, "fx_queries"), ["params", "tags", "values"], K)
+    return search.metadata_search(records_, fixture(spark, sf, "fx_scoped_queries"), ["params", "tags", "values"], K)
 
 
 # --- relevance evaluation ------------------------------------------------------------------
@@ -581,7 +613,7 @@ def _judgements(spark, sf) -> DataFrame:
 
 def _hits(spark, sf) -> DataFrame:
     scores = {"longest": F.col("n_chars"), "oldest": -F.col("doc_id")}
-    return relevance.ranked_hits(tables(spark, sf, "documents"), scores, K, "lang", "documents")
+    return relevance.ranked_hits(fixture(spark, sf, "fx_judged_docs"), scores, K, "lang", "documents")
 
 
 def _rated(spark, sf) -> DataFrame:
@@ -599,19 +631,17 @@ def _(spark, sf):
 
 @register("hits_left_judgements")
 def _(spark, sf):
-    return _rated(spark, sf).select("strategy_id", "scenario_id", "doc_id", "rank", "rating")
+    return _rated(spark, sf).select(*relevance.LIST[:1], "strategy_id", "scenario_id", "doc_id", "rank", "rating")
 
 
 @register("unrated_hits")
 def _(spark, sf):
-    return relevance.unrated_hits(_hits(spark, sf), _judgements(spark, sf)).select("strategy_id", "scenario_id", "doc_id", "rank")
+    return relevance.unrated_hits(_hits(spark, sf), _judgements(spark, sf)).select(*relevance.LIST, "doc_id", "rank")
 
 
 @register("unrated_docs")
 def _(spark, sf):
-    return relevance.unrated_docs(_hits(spark, sf), _judgements(spark, sf)).select(
-        F.col("index").alias("idx"), "doc_id", "count", *joined("strategies", "scenarios")
-    )
+    return relevance.unrated_docs(_hits(spark, sf), _judgements(spark, sf)).withColumnRenamed("index", "idx")
 
 
 @register("precision_at_k")
@@ -656,11 +686,14 @@ def _(spark, sf):
 
 
 def _evaluation(spark, sf) -> dict[str, DataFrame]:
-    """Two search strategies over a scenario per language."""
+    """Two search strategies over all benchmark items."""
     docs = tables(spark, sf, "documents").select("doc_id", "text")
-    scenarios = fixture(spark, sf, "fx_lang_queries").withColumnRenamed("query_id", "scenario_id")
+    scenarios = tables(spark, sf, "benchmark").select(
+        F.lit("w0").alias("workspace_id"), F.col("item_id").cast("string").alias("scenario_id"), "text"
+    )
     hits = search_hits(docs, scenarios, {"plain": "simple", "without_stop_words": "stop"}, K, "documents")
-    return run_evaluation(hits, _judgements(spark, sf), K, MAX_RATING)
+    judgements = fixture(spark, sf, "fx_item_judgements").withColumnRenamed("idx", "index")
+    return run_evaluation(hits, judgements, K, MAX_RATING)
 
 
 @register("evaluation_run")
@@ -670,7 +703,7 @@ def _(spark, sf):
 
 @register("evaluation_run_unrated")
 def _(spark, sf):
-    return _evaluation(spark, sf)["unrated"].select(F.col("index").alias("idx"), "doc_id", "count", *joined("strategies", "scenarios"))
+    return _evaluation(spark, sf)["unrated"].withColumnRenamed("index", "idx")
 
 
 STAMPS = ["created_at", "created_by", "created_via", "updated_at", "updated_by", "updated_via"]

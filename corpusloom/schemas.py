@@ -78,7 +78,8 @@ _TASK = (
     "scenarios:struct<_ids:array<string>,tags:array<string>,sample_size:int,sample_seed:string>>"
 )
 
-#: Records of relevance evaluation. Opaque objects are kept as JSON text; fields of a record
+# Field names of the records of relevance evaluation.
+#: Opaque objects are kept as JSON text; fields of a record
 #: that are not listed go to a map, see ``read_records``.
 RECORDS = {
     "workspaces": f"_id string, {_META}, name string, index_pattern string, params array<string>,"

@@ -45,9 +45,32 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_dir(spark)}/corpusloom-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other job uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths in any file system that Spark reads, by one listing."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all that this application has stored in between; whether there was any.
+
+    The owner of a job calls it once its results are written: frames that read stored tables
+    are lazy, so no operator can know when the last reader is done.
+    """
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    return folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -61,18 +84,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_scan(scan: DataFrame, key: str) -> DataFrame:
-    """A file scan with at least one partition per core.
-
-    Files of few row groups feed few tasks, too few for work that is heavy per row. Only then
-    are rows moved, by key; a scan of fewer splits than cores holds at most one split of data
-    per core, so the move is short. ``scan`` must be a plain scan, whose partitions are known
-    unrun.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
 def salted_join(
     left: DataFrame,
     right: DataFrame,

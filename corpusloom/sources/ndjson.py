@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.schemas import BULK_ACTION, CUSTOM_DOC, CUSTOM_REQUIRED, DOCUMENTS
+from corpusloom.session import matching_paths
 
-# How a bulk action line begins, and the reasons for refusing a pair.
+# Fixed value: how the action lines begin that this module writes. Then why a pair is refused.
 ACTION_START = '{"index"'
-MISSING_SOURCE = "missing source line for action line"
-NOT_AN_ACTION = "expected an index action"
-MISSING_ID = "_id is required"
-EXTRA_LINE = "more than one source line"
+NO_DOCUMENT = "the file ends after an action; a document line should follow"
+NOT_AN_ACTION = "an action line should be a JSON object with the key index"
+NO_ID = "the action names no document id"
+EXTRA_LINE = "an action should be followed by one document line, not by several"
+BROKEN_DOCUMENT = "the document line is no JSON object of the document fields"
+_CORRUPT = T.StructField("_corrupt", T.StringType())
 
 
 def read_custom_docs(spark: SparkSession, path: str, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
@@ -31,8 +34,8 @@ def read_custom_docs(spark: SparkSession, path: str, now: Column | None = None)
     return split_custom_docs(raw, now)
 
 
-def split_custom_docs(raw: DataFrame, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected rows of parsed custom documents, batch or stream."""
+def split_custom_docs(raw: DataFrame, now: Column | None = None, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected rows of parsed custom documents; ``carry`` names further columns to keep."""
     complete = F.col("_corrupt").isNull()
     for name in CUSTOM_REQUIRED:
         complete = complete & F.col(name).isNotNull()
@@ -42,24 +45,27 @@ def split_custom_docs(raw: DataFrame, now: Column | None = None) -> tuple[DataFr
         "body",
         F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce("fetched_at", now if now is not None else F.current_timestamp()).alias("fetched_at"),
+        *carry,
     )
     return accepted, raw.filter(~complete)
 
 
-def _paired(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Check pairs of ``(file, action, doc, problem)``; accepted ``(file, _id, doc)`` and rejects."""
+def _checked(pairs: DataFrame) -> DataFrame:
+    """Pairs of ``(file, line, action, doc, problem)`` with ``_id``, the parsed ``d``, and what is wrong, if anything."""
     action = F.from_json("action", BULK_ACTION)
     # A generic map shows whether the key is there at all.
     keys = F.map_keys(F.from_json("action", "map<string,string>"))
+    # In this mode a line that is no object, or whose fields have other types, parses to null.
+    parsed = F.from_json("doc", T.StructType([*DOCUMENTS, _CORRUPT]), {"columnNameOfCorruptRecord": _CORRUPT.name})
+    work = pairs.withColumns({"_id": action["index"]["_id"], "d": parsed})
     problem = (
         F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(F.col("doc").isNull(), F.lit(MISSING_SOURCE))
         .when(~F.coalesce(F.array_contains(keys, "index"), F.lit(False)), F.lit(NOT_AN_ACTION))
-        .when(F.coalesce(action["index"]["_id"], F.lit("")) == "", F.lit(MISSING_ID))
+        .when(F.coalesce("_id", F.lit("")) == "", F.lit(NO_ID))
+        .when(F.col("doc").isNull(), F.lit(NO_DOCUMENT))
+        .when(F.col("d").isNull() | F.col(f"d.{_CORRUPT.name}").isNotNull() | ~F.rlike("doc", F.lit(r"^\s*\{")), F.lit(BROKEN_DOCUMENT))
     )
-    checked = pairs.withColumn("problem", problem)
-    good = checked.filter(F.col("problem").isNull()).select("file", action["index"]["_id"].alias("_id"), "doc")
-    return good, checked.filter(F.col("problem").isNotNull())
+    return work.withColumn("problem", problem)
 
 
 def _framed_pairs(spark: SparkSession, paths) -> DataFrame:
@@ -71,6 +77,7 @@ def _framed_pairs(spark: SparkSession, paths) -> DataFrame:
     lines = F.split(F.rtrim(record, F.lit("\n")), "\n")
     return pieces.filter(F.trim("value") != "").select(
         "file",
+        F.lit(None).cast("long").alias("line"),
         lines[0].alias("action"),
         F.get(lines, 1).alias("doc"),
         F.when(F.size(lines) > 2, F.lit(EXTRA_LINE)).alias("problem"),
@@ -104,57 +111,43 @@ def _numbered_pairs(spark: SparkSession, paths) -> DataFrame:
             F.max(F.when(line % 2 == 0, F.col("value"))).alias("action"),
             F.max(F.when(line % 2 == 1, F.col("value"))).alias("doc"),
         )
-        .select("file", "action", "doc", F.lit(None).cast("string").alias("problem"))
+        .select("file", (2 * F.col("pair") + 1).alias("line"), "action", "doc", F.lit(None).cast("string").alias("problem"))
     )
 
 
-def bulk_paths(spark: SparkSession, path: str) -> str:
-    """The path itself if it is there, else the pattern of its numbered parts."""
-    root, dot, extension = path.rpartition(".")
-    if not dot or "/" in extension:
-        root, extension = path, "ndjson"
-    parts = f"{root}.part*.{extension}"
-    for candidate in (path, parts):
-        try:
-            spark.read.text(candidate)
-            return candidate
-        except AnalysisException:
-            continue
-    raise FileNotFoundError(f"bulk file not found: {path} (also tried {parts})")
+def bulk_paths(spark: SparkSession, path: str) -> list[str]:
+    """The files that an export named ``path`` left, by listing the file system.
+
+    That is a file or folder of the name; else, for ``name.ext``, its numbered files
+    ``name.partN.ext``, and for a bare ``name`` those with the ending ndjson.
+    """
+    stem, _, ending = path.rpartition(".") if "." in path.rsplit("/", 1)[-1] else (path, ".", "ndjson")
+    found = matching_paths(spark, path) or matching_paths(spark, f"{stem}.part[0-9]*.{ending}")
+    if not found:
+        raise FileNotFoundError(f"no bulk export at {path}, neither as one file or folder nor as numbered files")
+    return found
 
 
 def read_bulk_ndjson(
-    spark: SparkSession, paths, strict: bool = True, by_line_number: bool = False
+    spark: SparkSession, paths, strict: bool = True, framed: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Bulk files as ``(documents, rejected)``; documents are ``(_id, twelve fields)``.
 
-    Only the id is taken from the action. Strict mode stops the job at the first bad pair, as
-    a bulk load must not go on without it. ``by_line_number`` reads files whose action lines
-    do not begin with the index key, at the price of two shuffles.
+    Only the id is taken from the action. Lines are paired by number, whatever they look like.
+    ``framed`` cuts files as this module writes them where an action line begins, without a
+    shuffle; other files may lose their framing so. A pair with a broken action or document is
+    rejected, never read as an empty document; strict mode stops the job at the first one, as a
+    bulk load must not go on without it.
     """
-    pairs = (_numbered_pairs if by_line_number else _framed_pairs)(spark, paths)
+    pairs = _checked((_framed_pairs if framed else _numbered_pairs)(spark, paths))
+    rejected = pairs.filter(F.col("problem").isNotNull()).select("file", "line", "action", "doc", "problem")
     if strict:
-        good, _ = _paired(_checked(pairs))
-        rejected = _paired(pairs)[1]
+        where = F.concat(F.col("file"), F.coalesce(F.concat(F.lit(", line "), F.col("line")), F.lit("")))
+        stop = F.raise_error(F.concat(where, F.lit(": "), F.col("problem")))
+        pairs = pairs.withColumn("d", F.when(F.col("problem").isNotNull(), stop).otherwise(F.col("d")))
     else:
-        good, rejected = _paired(pairs)
-    docs = good.select("_id", F.from_json("doc", DOCUMENTS).alias("d")).select("_id", "d.*")
-    return docs, rejected
-
-
-def _checked(pairs: DataFrame) -> DataFrame:
-    """The same pairs, raising an error instead of carrying a problem."""
-    action = F.from_json("action", BULK_ACTION)
-    keys = F.map_keys(F.from_json("action", "map<string,string>"))
-    stop = lambda text: F.raise_error(F.concat(F.lit("invalid bulk file: " + text + " in "), F.col("file")))
-    doc = (
-        F.when(F.col("problem").isNotNull(), stop(EXTRA_LINE))
-        .when(F.col("doc").isNull(), stop(MISSING_SOURCE))
-        .when(~F.coalesce(F.array_contains(keys, "index"), F.lit(False)), stop(NOT_AN_ACTION))
-        .when(F.coalesce(action["index"]["_id"], F.lit("")) == "", stop(MISSING_ID))
-        .otherwise(F.col("doc"))
-    )
-    return pairs.withColumn("doc", doc)
+        pairs = pairs.filter(F.col("problem").isNull())
+    return pairs.select("_id", *(F.col(f"d.{f.name}").alias(f.name) for f in DOCUMENTS)), rejected
 
 
 def bulk_lines(docs: DataFrame, key: str = "page_id") -> Column:
@@ -167,13 +160,11 @@ def bulk_lines(docs: DataFrame, key: str = "page_id") -> Column:
 def write_bulk_ndjson(docs: DataFrame, path: str, key: str = "page_id") -> None:
     """Write rows that carry ``part_no`` as one text file per part, in key order.
 
-    A part is bounded by the packing cap, so gathering it in one task is safe.
+    Rows of a part meet in one task, which its cap bounds. A null ``part_no`` means that the
+    row belongs to no capped part: such rows stay in as many files as there are tasks.
     """
     lines = docs.select("part_no", key, bulk_lines(docs, key).alias("value"))
-    (
-        lines.repartition("part_no")
-        .sortWithinPartitions("part_no", key)
-        .drop(key)
-        .write.partitionBy("part_no")
-        .text(path)
-    )
+    capped = lines.filter(F.col("part_no").isNotNull()).repartition("part_no").sortWithinPartitions("part_no", key)
+    free = lines.filter(F.col("part_no").isNull())
+    capped.drop(key).write.partitionBy("part_no").text(path)
+    free.select("value").write.mode("append").text(f"{path}/part_no=uncapped")

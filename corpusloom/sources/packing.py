@@ -15,38 +15,39 @@ REQUEST_CAP = 10 * 1024 * 1024
 BUCKET_KEYS = 1 << 18
 
 
-def part_starts(rows: DataFrame, size: str, cap: int, key: str, bucket_keys: int) -> DataFrame:
-    """``(bucket, starts)``: the first key of every part of a bucket, in order.
+def part_numbers(rows: DataFrame, size: str, cap: int, key: str, bucket_keys: int) -> DataFrame:
+    """``(key, bucket, part)`` of every row, from keys and sizes alone.
 
     Keys are unique, so a bucket, a range of ``bucket_keys`` keys, holds at most that many
     rows whatever the data looks like, and only key and size travel to it. The functions are
     local, so that they travel by value and workers need no copy of this package.
     """
 
-    def opens(sizes: np.ndarray) -> list[int]:
-        """Positions where next-fit opens a part: where a row no longer fits the open one."""
+    def parts(sizes: np.ndarray) -> np.ndarray:
+        """Part of each row by next-fit: a row that no longer fits the open part opens the next."""
         ends = np.cumsum(sizes)
-        starts = [0]
-        while True:
-            used = ends[starts[-1] - 1] if starts[-1] else 0
-            stop = max(int(np.searchsorted(ends, used + cap, side="right")), starts[-1] + 1)
-            if stop >= len(sizes):
-                return starts
-            starts.append(stop)
+        opens = np.zeros(len(sizes), dtype=np.int64)
+        at = 0
+        while at < len(sizes):
+            used = ends[at - 1] if at else 0
+            at = max(int(np.searchsorted(ends, used + cap, side="right")), at + 1)
+            if at < len(sizes):
+                opens[at] = 1
+        return np.cumsum(opens)
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key", ignore_index=True)
-        starts = group["key"].to_numpy()[opens(group["size"].to_numpy())]
-        return pd.DataFrame({"bucket": [group["bucket"].iloc[0]], "starts": [starts]})
+        return pd.DataFrame({key: group["key"], "bucket": group["bucket"], "part": parts(group["size"].to_numpy())})
 
     narrow = rows.select(
         _bucket(key, bucket_keys).alias("bucket"), F.col(key).alias("key"), F.col(size).cast("long").alias("size")
     )
-    return narrow.groupBy("bucket").applyInPandas(pack, "bucket long, starts array<long>")
+    kind = rows.schema[key].dataType.simpleString()
+    return narrow.groupBy("bucket").applyInPandas(pack, f"`{key}` {kind}, bucket long, part long")
 
 
 def _bucket(key: str, bucket_keys: int) -> Column:
-    return F.floor(F.col(key) / bucket_keys).cast("long")
+    return F.expr(f"`{key}` div {bucket_keys} - if(`{key}` < 0 and `{key}` % {bucket_keys} != 0, 1, 0)").cast("long")
 
 
 def pack_by_bytes(
@@ -54,25 +55,44 @@ def pack_by_bytes(
 ) -> DataFrame:
     """``rows`` with ``bucket`` and ``part``, by next-fit in key order within each bucket of keys.
 
-    A part never exceeds ``cap`` unless it is one oversized row; ``cap <= 0`` means one part.
-    Each bucket ends its last part, hence at most one extra part per bucket against a single
-    pass. Rows meet only the short list of part starts of their bucket.
+    A part never exceeds ``cap`` unless it is one oversized row; ``cap <= 0`` packs nothing and
+    leaves both null. Each bucket ends its last part, hence at most one extra part per bucket
+    against a single pass. Rows meet their part by their key, so no bucket of rows gathers. A
+    null key stops the job: it has no place in the order.
     """
     if cap <= 0:
-        return rows.withColumn("bucket", F.lit(0).cast("long")).withColumn("part", F.lit(0).cast("long"))
-    starts = part_starts(rows, size, cap, key, bucket_keys)
-    part = F.size(F.filter("starts", lambda start: start <= F.col(key))) - 1
-    return (
-        rows.withColumn("bucket", _bucket(key, bucket_keys))
-        .join(starts, "bucket")
-        .withColumn("part", part.cast("long"))
-        .drop("starts")
-    )
+        return rows.withColumns({c: F.lit(None).cast("long") for c in ("bucket", "part")})
+    stop = F.raise_error(F.lit(f"packing by {key}: a row has no key"))
+    named = rows.withColumn(key, F.when(F.col(key).isNull(), stop).otherwise(F.col(key)))
+    return named.join(part_numbers(named, size, cap, key, bucket_keys), key, "left")
 
 
 def with_part_no(
     rows: DataFrame, size: str, cap: int = FILE_CAP, key: str = "page_id", bucket_keys: int = BUCKET_KEYS
 ) -> DataFrame:
-    """``rows`` with the text column ``part_no``, whose order is the key order of the parts."""
+    """``rows`` with the text column ``part_no``, whose order is the key order of the parts; null without a cap."""
     packed = pack_by_bytes(rows, size, cap, key, bucket_keys)
-    return packed.withColumn("part_no", F.format_string("%08d-%06d", "bucket", "part")).drop("bucket", "part")
+    number = F.when(F.col("part").isNotNull(), F.format_string("%08d-%06d", "bucket", "part"))
+    return packed.withColumn("part_no", number).drop("bucket", "part")
+
+
+def pack_requests(docs: DataFrame, size: str, cap: int = REQUEST_CAP, key: str = "page_id", file: str = "part_no") -> DataFrame:
+    """``docs`` with ``request``: the bulk requests of each file, by next-fit in the order of its keys.
+
+    A file is capped, so its rows of key and size fit one task; the documents meet their
+    request by key. A request exceeds ``cap`` only if it is one oversized document.
+    """
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("key", ignore_index=True)
+        request, used, out = 0, 0, []
+        for i, n in enumerate(group["size"].tolist()):
+            if i and used + n > cap:
+                request, used = request + 1, 0
+            used += n
+            out.append(request)
+        return pd.DataFrame({key: group["key"], "request": out})
+
+    narrow = docs.select(file, F.col(key).alias("key"), F.col(size).cast("long").alias("size"))
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.join(narrow.groupBy(file).applyInPandas(pack, f"`{key}` {kind}, request long"), key, "left")

@@ -12,7 +12,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
+
+from corpusloom.session import matching_paths, materialize
 
 # Snapshot names are prefix-yyyymmdd, then -1 to -999 on collision.
 DATE_FORMAT = "%Y%m%d"
@@ -29,10 +30,9 @@ _LOG = T.StructType(
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return spark.read.schema(_LOG).json(f"{root}/_log")
-    except AnalysisException:
+    if not matching_paths(spark, f"{root}/_log"):
         return spark.createDataFrame([], _LOG)
+    return spark.read.schema(_LOG).json(f"{root}/_log")
 
 
 def _append(spark: SparkSession, root: str, event: str, alias: str, name: str) -> None:
@@ -43,12 +43,12 @@ def _append(spark: SparkSession, root: str, event: str, alias: str, name: str) -
 def snapshot_name(spark: SparkSession, root: str, prefix: str, day: str | None = None) -> str:
     """The first free dated name."""
     base = f"{prefix}-{day or datetime.now(timezone.utc).strftime(DATE_FORMAT)}"
-    # At most one row per snapshot of that day.
-    taken = {r["name"] for r in _log(spark, root).filter(F.startswith("name", F.lit(base))).select("name").distinct().limit(2 * LAST_SEQUENCE + 2).collect()}
-    for name in [base, *[f"{base}-{i}" for i in range(1, LAST_SEQUENCE + 1)]]:
-        if name not in taken:
-            return name
-    raise RuntimeError("failed to find a free snapshot name")
+    numbers = spark.range(LAST_SEQUENCE + 1)
+    names = numbers.select("id", F.when(F.col("id") == 0, F.lit(base)).otherwise(F.concat_ws("-", F.lit(base), "id")).alias("name"))
+    free = names.join(_log(spark, root).select("name"), "name", "left_anti").agg(F.min_by("name", "id")).first()[0]
+    if free is None:
+        raise RuntimeError(f"{root}: all {LAST_SEQUENCE + 1} snapshot names of {base} are in use")
+    return free
 
 
 def current_snapshot(spark: SparkSession, root: str, alias: str) -> str | None:
@@ -81,12 +81,13 @@ def publish_snapshot(
 
     The row count comes from the write itself. ``cluster_by`` range-partitions and sorts the
     files, so that min/max statistics skip them for filters on those columns; finding the
-    ranges reads ``df`` once more, so it should be a stored table then.
+    ranges takes a read of its own, so ``df`` is stored first.
     """
     spark = df.sparkSession
     name = snapshot_name(spark, root, prefix, day)
     _append(spark, root, "create", alias, name)
     if cluster_by:
+        df = materialize(df, "snapshot")  # read twice: once to find the ranges
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{root}/{name}")

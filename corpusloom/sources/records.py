@@ -12,34 +12,36 @@ from corpusloom.schemas import ARTICLES, RECORDS
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
-def latest_by_key(df: DataFrame, key: list[str], seq: str) -> DataFrame:
-    """The row of greatest ``seq`` per key.
+def latest_by_key(df: DataFrame, key: list[str], seq: str | list[str]) -> DataFrame:
+    """The row of greatest ``seq``, one column or several, per key.
 
     Ranking keeps one row per key before the shuffle already, so a key with very many versions
     is not a hot key.
     """
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(seq)))
+    order = [seq] if isinstance(seq, str) else seq
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*map(F.desc, order)))
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def upsert(base: DataFrame, delta: DataFrame, key: list[str], seq: str | None = None) -> DataFrame:
+def upsert(base: DataFrame, delta: DataFrame, key: list[str], seq: str) -> DataFrame:
     """``base``, unique by key, with the rows of ``delta`` inserted or overwriting all columns.
 
     Within the delta the greatest ``seq`` wins. The base is not regrouped: its replaced rows
     are dropped by an anti join on the delta's keys, which Spark broadcasts when their measured
     size allows.
     """
-    last = latest_by_key(delta, key, seq).drop(seq) if seq else delta
+    last = latest_by_key(delta, key, seq).drop(seq)
     kept = base.join(delta.select(*key).distinct(), key, "left_anti")
     return kept.unionByName(last.select(*base.columns))
 
 
-def union_custom(base: DataFrame, custom: DataFrame, key: str = "page_id", seq: str | None = None) -> DataFrame:
-    """Own documents appended to the published corpus; the same key overwrites.
+def union_custom(base: DataFrame, custom: DataFrame, seq: str | list[str], key: str = "page_id") -> DataFrame:
+    """Own documents appended to the published corpus; the same key overwrites, the greatest ``seq`` last.
 
     Columns a custom document lacks stay missing.
     """
-    last = latest_by_key(custom, [key], seq).drop(seq) if seq else custom
+    order = [seq] if isinstance(seq, str) else seq
+    last = latest_by_key(custom, [key], order).drop(*order)
     kept = base.join(custom.select(key).distinct(), key, "left_anti")
     return kept.unionByName(last, allowMissingColumns=True).select(*base.columns)
 
@@ -57,17 +59,22 @@ def stamp_upsert(base: DataFrame, delta: DataFrame, key: list[str], seq: str, us
     """
     stamps = ["created_at", "created_by", "created_via", "updated_at", "updated_by", "updated_via"]
     last = latest_by_key(delta, key, seq)
-    old = base.select(*key, *[F.col(c).alias(f"_{c}") for c in stamps[:3]], F.lit(True).alias("_known"))
-    joined = last.join(old, key, "left")
-    known = F.coalesce("_known", F.lit(False))
-    new = {"at": F.col(seq), "by": F.lit(user), "via": F.lit(via)}
-    stamped = joined.select(
-        *[c for c in last.columns if c not in stamps and c != seq],
-        *[F.when(known, F.col(f"_created_{k}")).otherwise(v).alias(f"created_{k}") for k, v in new.items()],
-        *[F.when(known, v).alias(f"updated_{k}") for k, v in new.items()],
+    both = base.select(F.struct(*base.columns).alias("old"), *key).join(
+        last.select(F.struct(*last.columns).alias("new"), *key), key, "full"
     )
-    kept = base.join(last.select(*key), key, "left_anti")
-    return kept.unionByName(stamped.select(*base.columns))
+    known, changed = F.col("old").isNotNull(), F.col("new").isNotNull()
+    new = {"at": F.col(f"new.{seq}"), "by": F.lit(user), "via": F.lit(via)}
+
+    def merged(name: str) -> Column:
+        event, _, k = name.partition("_")
+        if name not in stamps:
+            value = F.col(f"new.{name}") if name in last.columns else F.lit(None)
+            return F.when(changed, value).otherwise(F.col(f"old.{name}"))
+        if event == "created":
+            return F.when(known, F.col(f"old.{name}")).otherwise(new[k])
+        return F.when(~changed, F.col(f"old.{name}")).when(known, new[k])
+
+    return both.select(*(merged(c).alias(c) for c in base.columns))
 
 
 def encode_list_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -75,17 +82,22 @@ def encode_list_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.to_json(c) for c in columns})
 
 
-def rows_to_docs(rows: DataFrame, now: Column) -> DataFrame:
+def rows_to_docs(rows: DataFrame, now: Column, strict: bool = True) -> DataFrame:
     """Table rows as documents: nothing null, lists decoded, the date as ISO text.
 
-    List columns may be arrays or JSON text; ``now``, one value per job, replaces a missing or
+    List columns may be arrays or JSON text; text that is no JSON list stops the job, or, not
+    ``strict``, becomes the empty list. ``now``, one value per job, replaces a missing or
     unreadable date.
     """
     types = dict(rows.dtypes)
     def listed(name: str) -> Column:
         value = F.col(name)
         if types[name] == "string":
-            value = F.from_json(F.nullif(value, F.lit("")), "array<string>")
+            text = F.nullif(value, F.lit(""))
+            value = F.from_json(text, "array<string>")
+            if strict:
+                stop = F.raise_error(F.concat(F.lit(f"{name} of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("?")), F.lit(" is no JSON list")))
+                value = F.when(text.isNotNull() & value.isNull(), stop).otherwise(value)
         return F.coalesce(value, F.array().cast("array<string>")).alias(name)
 
     date = F.coalesce(F.expr("try_cast(fetched_at as timestamp)"), now)

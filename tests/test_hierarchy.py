@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,11 +109,21 @@ def test_taxonomy(spark, title, direct, everything, want):
     assert classify(spark, title, direct, everything, RULE_ROWS) == want
 
 
-def test_no_rules_and_too_many(spark, monkeypatch):
+def test_no_rules_and_very_many(spark):
     assert classify(spark, "x", ["c"], ["c"], []) == ("その他", "未分類", "c")
-    monkeypatch.setattr(taxonomy, "MAX_KEYWORDS", 3)
-    with pytest.raises(ValueError):
-        classify(spark, "x", [], [], RULE_ROWS)
+    many = [(i // 10, f"l{i // 10}", "m", f"word {i};") for i in range(25_000)]
+    assert classify(spark, "word 24999;", [], [], many) == ("l2499", "m", "m")
+    assert classify(spark, "word 17; word 3;", [], [], many) == ("l0", "m", "m")
+
+
+def test_no_hidden_limits():
+    """Operators cut or collect only where that is the feature: top-N and bounded totals."""
+    root = Path(taxonomy.__file__).parent.parent
+    allowed = {"filters.py", "facets.py", "relevance.py"}  # limit_rows, keyset pages, top buckets, samples, newest
+    for path in [*root.glob("operators/*.py"), *root.glob("sources/*.py"), *root.glob("plans/*.py")]:
+        source = path.read_text()
+        assert ".collect()" not in source, path.name
+        assert ".limit(" not in source or path.name in allowed, path.name
 
 
 def test_rules_from_file(spark, tmp_path):

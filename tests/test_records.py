@@ -33,12 +33,12 @@ def test_evaluation_record(spark, tmp_path):
 
 
 TEMPLATE = {
-    "index_patterns": ["articles-*"],
-    "priority": 200,
+    "index_patterns": ["notes-*"],
+    "priority": 40,
     "template": {
         "mappings": {
             "properties": {
-                "page_id": {"type": "integer"},
+                "note_id": {"type": "integer"},
                 "title": {"type": "text"},
                 "tags": {"type": "keyword"},
                 "at": {"type": "date"},
@@ -55,13 +55,13 @@ def test_template_schema_and_choice(spark, tmp_path):
     template = templates.read_template(spark, str(tmp_path / "t.json"))
     schema = templates.template_schema(template, {"tags"})
     assert schema.simpleString() == (
-        "struct<page_id:bigint,title:string,tags:array<string>,at:timestamp,scale:struct<min:tinyint>,steps:array<struct<data:string>>>"
+        "struct<note_id:bigint,title:string,tags:array<string>,at:timestamp,scale:struct<min:tinyint>,steps:array<struct<data:string>>>"
     )
     low = {"index_patterns": ["*"], "priority": 1}
-    assert templates.template_for("articles-20260402", [low, TEMPLATE]) is TEMPLATE
+    assert templates.template_for("notes-1", [low, TEMPLATE]) is TEMPLATE
     assert templates.template_for("other", [low, TEMPLATE]) is low
     assert templates.template_for("other", [TEMPLATE]) is None
-    df = spark.createDataFrame([("5", "t")], "page_id string, title string")
-    assert records.apply_schema_contract(df, schema).first().page_id == 5
+    df = spark.createDataFrame([("5", "t")], "note_id string, title string")
+    assert records.apply_schema_contract(df, schema).first().note_id == 5
     with pytest.raises(ValueError):
         templates.parse_template("[1]")

@@ -21,13 +21,14 @@ K, TOP = 4, 3
 @pytest.fixture(scope="module")
 def judged(spark):
     rows = [("w", q, "i", d, r) for (q, d), r in RATINGS.items()]
+    rows += [("v", q, "i", d, 3 - r) for (q, d), r in RATINGS.items()]  # another workspace, of no concern
     return spark.createDataFrame(rows, "workspace_id string, scenario_id string, index string, doc_id long, rating int")
 
 
 @pytest.fixture(scope="module")
 def rated(spark, judged):
-    rows = [(s, q, "i", d, 1.0 / n, n) for (s, q), docs in HITS.items() for n, d in enumerate(docs, 1)]
-    hits = spark.createDataFrame(rows, "strategy_id string, scenario_id string, index string, doc_id long, score double, rank int")
+    rows = [("w", s, q, "i", d, 1.0 / n, n) for (s, q), docs in HITS.items() for n, d in enumerate(docs, 1)]
+    hits = spark.createDataFrame(rows, "workspace_id string, strategy_id string, scenario_id string, index string, doc_id long, score double, rank int")
     return hits, rv.hits_left_judgements(hits, judged)
 
 
@@ -78,19 +79,19 @@ def test_metrics(rated, judged):
 def test_unrated(rated, judged):
     hits, _ = rated
     got = {r.doc_id: (r["count"], r.strategies, r.scenarios) for r in rv.unrated_docs(hits, judged).collect()}
-    assert got == {7: (1, ["s"], ["q1"]), 2: (1, ["s"], ["q2"]), 8: (2, ["t"], ["q3", "q4"]), 5: (1, ["t"], ["q4"])}
+    assert got == {7: (1, 1, 1), 2: (1, 1, 1), 8: (2, 1, 2), 5: (1, 1, 1)}
     assert rv.unrated_hits(hits, judged).count() == 5
 
 
 def test_ideal_ranks_counts_not_rows(spark):
-    judged = spark.range(3000).selectExpr("'q' as scenario_id", "cast(id % 4 as int) as rating")
+    judged = spark.range(3000).selectExpr("'w' as workspace_id", "'q' as scenario_id", "cast(id % 4 as int) as rating")
     assert rv.ideal_dcg(judged, 5).first().ideal == pytest.approx(sum(7 / math.log2(n + 1) for n in range(1, 6)))
     few = judged.filter("rating < 2").limit(3)
     assert rv.ideal_dcg(few.filter("rating = 1"), 50).count() <= 1
 
 
 def test_ranked_hits(spark):
-    docs = spark.range(100).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot', 'x') as lang", "id % 10 as len")
+    docs = spark.range(100).selectExpr("'w' as workspace_id", "id as doc_id", "if(id % 3 = 0, 'hot', 'x') as lang", "id % 10 as len")
     df = rv.ranked_hits(docs, {"len": F.col("len"), "new": F.col("doc_id")}, 2, "lang", "i")
     got = {(r.strategy_id, r.scenario_id, r["rank"]): r.doc_id for r in df.collect()}
     assert got[("len", "hot", 1)] == 9 and got[("len", "hot", 2)] == 39
@@ -124,9 +125,9 @@ def test_validate_workspace(spark):
     accepted, rejected = rv.validate_workspace(df, "w")
     assert {tuple(r) for r in accepted.collect()} == {(1, "w", 0, 3), (2, "w", None, None)}
     assert {r.id: r.problem for r in rejected.collect()} == {
-        3: "workspace_id must match",
-        4: "scale_min is not an integer",
-        5: "scale_max is not an integer",
+        3: "record of another workspace",
+        4: "scale_min cannot be read as an integer",
+        5: "scale_max cannot be read as an integer",
     }
 
 
@@ -148,6 +149,20 @@ def test_candidates(spark):
     assert rv.choose(tagged, "scenario_id").count() == 3
 
 
+def test_candidates_with_empty_and_null_parameters(spark):
+    lists = {"e": [], "n": None, "b": [""], "a": ["a"], "ba": ["", "a"]}
+    scenarios = spark.createDataFrame([("w", k, v) for k, v in lists.items()], "workspace_id string, scenario_id string, params array<string>")
+    strategies = spark.createDataFrame([("w", k, v) for k, v in lists.items()], "workspace_id string, strategy_id string, params array<string>")
+    got = {(r.strategy_id, r.scenario_id) for r in rv.select_candidates(scenarios, strategies).collect()}
+    assert got == {(s, q) for s, x in lists.items() for q, y in lists.items() if set(x or ()) <= set(y or ())}
+
+
+def test_judgement_ids_do_not_collide(spark):
+    rows = [("a|b", "c", "i", 1), ("a", "b|c", "i", 1), ("a", None, "b", 1), (None, "a", "b", 1), ("", "a", "b", 1), ("1:a", "", "", 1), ("1", ":a", "", 1)]
+    df = spark.createDataFrame(rows, "workspace_id string, scenario_id string, index string, doc_id long")
+    assert df.select(rv.judgement_id().alias("i")).distinct().count() == len(rows)
+
+
 def test_sample_is_repeatable(spark):
     df = spark.range(500).selectExpr("cast(id as string) as scenario_id")
     pick = lambda d, seed: [r.scenario_id for r in rv.sample_scenarios(d, 20, seed).collect()]

@@ -66,14 +66,14 @@ def test_broken_page_stops_the_job(spark, tmp_path):
 
 def test_custom_docs(spark, tmp_path):
     lines = [
-        {"page_id": 900000001, "title": "t", "body": "b", "url": "https://example.local/wiki/ops"},
-        {"page_id": 900000002, "title": "t", "body": "b", "fetched_at": "2026-01-01T00:00:00Z"},
-        {"page_id": 900000003, "title": "t"},
+        {"page_id": 71, "title": "t", "body": "b", "url": "https://notes.test/a"},
+        {"page_id": 72, "title": "t", "body": "b", "fetched_at": "2026-01-01T00:00:00Z"},
+        {"page_id": 73, "title": "t"},
     ]
     (tmp_path / "c.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n{broken\n")
     accepted, rejected = ndjson.read_custom_docs(spark, str(tmp_path), now())
     got = {r.page_id: (r.url, r.fetched_at.isoformat(" ")) for r in accepted.collect()}
-    assert got == {900000001: ("https://example.local/wiki/ops", NOW), 900000002: ("", "2026-01-01 00:00:00")}
+    assert got == {71: ("https://notes.test/a", NOW), 72: ("", "2026-01-01 00:00:00")}
     assert rejected.count() == 2
 
 
@@ -85,34 +85,37 @@ def bulk(tmp_path, *lines: str):
 GOOD = ('{"index": {"_id": "1"}}', '{"page_id": 1, "title": "a"}')
 
 
-@pytest.mark.parametrize("by_line", [False, True])
+@pytest.mark.parametrize("framed", [False, True])
 @pytest.mark.parametrize(
     "lines, problem",
     [
-        ((*GOOD, '{"index": {"_id": "2"}}'), ndjson.MISSING_SOURCE),
+        ((*GOOD, '{"index": {"_id": "2"}}'), ndjson.NO_DOCUMENT),
         (('{"create": {"_id": "2"}}', '{"page_id": 2}'), ndjson.NOT_AN_ACTION),
-        (('{"index": {}}', '{"page_id": 2}'), ndjson.MISSING_ID),
+        (('{"index": {}}', '{"page_id": 2}'), ndjson.NO_ID),
+        ((*GOOD, '{"index": {"_id": "2"}}', '{"page_id": 2, "tit'), ndjson.BROKEN_DOCUMENT),
+        ((*GOOD, '{"index": {"_id": "2"}}', '{"page_id": "two"}'), ndjson.BROKEN_DOCUMENT),
+        ((*GOOD, '{"index": {"_id": "2"}}', '[1]'), ndjson.BROKEN_DOCUMENT),
     ],
 )
-def test_bad_bulk_files(spark, tmp_path, lines, problem, by_line):
+def test_bad_bulk_files(spark, tmp_path, lines, problem, framed):
     path = bulk(tmp_path, *lines)
-    docs, rejected = ndjson.read_bulk_ndjson(spark, path, strict=False, by_line_number=by_line)
+    docs, rejected = ndjson.read_bulk_ndjson(spark, path, strict=False, framed=framed)
     assert [r.problem for r in rejected.collect()] == [problem]
     assert docs.count() == (1 if lines[0] == GOOD[0] else 0)
-    with pytest.raises(Exception, match="invalid bulk file"):
-        ndjson.read_bulk_ndjson(spark, path, by_line_number=by_line)[0].collect()
+    with pytest.raises(Exception, match="x.part0001.ndjson"):
+        ndjson.read_bulk_ndjson(spark, path, framed=framed)[0].collect()
 
 
-@pytest.mark.parametrize("by_line", [False, True])
-def test_bulk_numeric_id_and_extra_action_fields(spark, tmp_path, by_line):
+@pytest.mark.parametrize("framed", [False, True])
+def test_bulk_numeric_id_and_extra_action_fields(spark, tmp_path, framed):
     path = bulk(tmp_path, '{"index": {"_index": "i", "_id": 7}}', '{"page_id": 7, "title": "{\\"index\\"", "body": "x\\ny"}')
-    docs, _ = ndjson.read_bulk_ndjson(spark, path, by_line_number=by_line)
+    docs, _ = ndjson.read_bulk_ndjson(spark, path, framed=framed)
     assert [(r._id, r.title, r.body) for r in docs.collect()] == [("7", '{"index"', "x\ny")]
 
 
-@pytest.mark.parametrize("by_line", [False, True])
+@pytest.mark.parametrize("framed", [False, True])
 @pytest.mark.parametrize("split", ["200", "128m"])
-def test_export_then_import_is_identity(spark, tmp_path, by_line, split):
+def test_export_then_import_is_identity(spark, tmp_path, framed, split):
     rows = spark.range(200).selectExpr(
         "id * 3 as page_id", "concat('見出し \"', id, '\"') as title", "repeat(concat('本文\n', id), cast(id % 9 as int)) as body"
     )
@@ -125,7 +128,7 @@ def test_export_then_import_is_identity(spark, tmp_path, by_line, split):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
-        back, rejected = ndjson.read_bulk_ndjson(spark, str(tmp_path / "out" / "*"), by_line_number=by_line)
+        back, rejected = ndjson.read_bulk_ndjson(spark, str(tmp_path / "out" / "*"), framed=framed)
         assert sorted(back.drop("_id").collect()) == sorted(docs.collect())
         assert rejected.count() == 0
         assert back.filter("_id <> cast(page_id as string)").count() == 0
@@ -135,15 +138,37 @@ def test_export_then_import_is_identity(spark, tmp_path, by_line, split):
     assert keys == sorted(keys) and len(keys) == 200
 
 
+def test_legal_files_of_other_writers(spark, tmp_path):
+    path = bulk(tmp_path, '{ "index" : {"_id": "1"}}', '{"index": "first field", "page_id": 1}', '{"index":{"_id":"2"}}', '{"index":{"a":1},"page_id":2}')
+    docs, rejected = ndjson.read_bulk_ndjson(spark, path)
+    assert [(r._id, r.page_id) for r in docs.collect()] == [("1", 1), ("2", 2)] and rejected.count() == 0
+
+
+def test_uncapped_export_keeps_its_files(spark, tmp_path):
+    docs = records.rows_to_docs(records.apply_schema_contract(spark.range(0, 90, 1, 3).selectExpr("id as page_id", "'t' as title")), now())
+    ndjson.write_bulk_ndjson(packing.with_part_no(docs.withColumn("n", F.lit(1)), "n", 0).drop("n"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part_no=*/*.txt"))) == 3
+    assert ndjson.read_bulk_ndjson(spark, str(tmp_path / "out" / "*"))[0].count() == 90
+
+
+def test_packing_needs_keys(spark):
+    rows = spark.createDataFrame([(None, 1), (2, 3)], "page_id long, n int")
+    with pytest.raises(Exception, match="no key"):
+        packing.pack_by_bytes(rows, "n", 10).collect()
+    large = spark.createDataFrame([(2**60 + i, 6) for i in range(4)] + [(-1, 6), (-300, 6)], "page_id long, n int")
+    got = {r.page_id: (r.bucket, r.part) for r in packing.pack_by_bytes(large, "n", 12, bucket_keys=128).collect()}
+    assert got == {**{2**60 + i: (2**53, i // 2) for i in range(4)}, -1: (-1, 0), -300: (-3, 0)}
+
+
 def test_bulk_paths(spark, tmp_path):
     base = str(tmp_path / "x.ndjson")
     with pytest.raises(FileNotFoundError):
         ndjson.bulk_paths(spark, base)
     bulk(tmp_path, *GOOD)
     assert ndjson.read_bulk_ndjson(spark, ndjson.bulk_paths(spark, base))[0].count() == 1
-    assert ndjson.bulk_paths(spark, str(tmp_path / "x")).endswith("x.part*.ndjson")
+    assert [p.rsplit("/", 1)[1] for p in ndjson.bulk_paths(spark, str(tmp_path / "x"))] == ["x.part0001.ndjson"]
     (tmp_path / "x.ndjson").write_text("\n".join(GOOD))
-    assert ndjson.bulk_paths(spark, base) == base
+    assert [p.rsplit("/", 1)[1] for p in ndjson.bulk_paths(spark, base)] == ["x.ndjson"]
 
 
 @pytest.mark.parametrize("cap", [0, -1, 1, 50, 100, 10**9])
@@ -160,7 +185,7 @@ def test_packing_against_the_rule(spark, cap):
                 part, used, filled = part + 1, 0, 0
             used, filled = used + sizes[i], filled + 1
             want[i] = (bucket, part)
-    assert got == (want if cap > 0 else {i: (0, 0) for i in range(500)})
+    assert got == (want if cap > 0 else {i: (None, None) for i in range(500)})
 
 
 def test_upsert_hot_key(spark):
@@ -180,6 +205,27 @@ def test_rows_to_docs(spark):
     assert records.rows_to_docs(rows, now()).first() == (1, "t", "", "", "2026-04-02T10:30:15Z", ["a", "b"], [], [], [], "", "x", "")
 
 
+def test_broken_lists_are_not_empty_lists(spark):
+    rows = records.apply_schema_contract(spark.range(1).selectExpr("id as page_id")).withColumn("categories_all", F.lit("[1"))
+    with pytest.raises(Exception, match="categories_all of page 0"):
+        records.rows_to_docs(rows, now()).collect()
+    assert records.rows_to_docs(rows, now(), strict=False).first().categories_all == []
+
+
+def test_own_documents_stay_unique(spark):
+    base = spark.createDataFrame([(1, "a")], "page_id long, title string")
+    own = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "d", 1), (2, "d", 1)], "page_id long, title string, seq int")
+    assert sorted(records.union_custom(base, own, "seq").collect()) == [(1, "c"), (2, "d")]
+
+
+def test_names_that_share_a_prefix(spark, tmp_path):
+    root = str(tmp_path)
+    publish.publish_snapshot(spark.range(1), root, "a", "s-20260402", "1")
+    assert publish.snapshot_name(spark, root, "s", "20260402") == "s-20260402-1" or publish.snapshot_name(spark, root, "s", "20260402") == "s-20260402"
+    assert publish.publish_snapshot(spark.range(1), root, "a", "s", "20260402")[0] == "s-20260402"
+    assert publish.publish_snapshot(spark.range(1), root, "a", "s", "20260402")[0] == "s-20260402-2"
+
+
 def test_encode_keeps_unicode(spark):
     df = spark.createDataFrame([(["東京", 'a"b'],)], "c array<string>")
     assert records.encode_list_columns(df, ["c"]).first().c == '["東京","a\\"b"]'

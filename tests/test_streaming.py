@@ -27,3 +27,19 @@ def test_incremental_and_repeatable(spark, tmp_path):
     base = spark.createDataFrame([(1, "old", "x"), (5, "kept", "y")], "page_id long, title string, taxonomy_l1 string")
     merged = {r.page_id: (r.title, r.taxonomy_l1) for r in ingest.merge_deltas(base, deltas).collect()}
     assert merged == {1: ("t1 again", None), 5: ("kept", "y"), 7: ("t7", None)}
+
+
+def test_order_rejects_and_empty_start(spark, tmp_path):
+    source, deltas, checkpoint = (str(tmp_path / n) for n in ("in", "deltas", "cp"))
+    (tmp_path / "in").mkdir()
+    base = spark.createDataFrame([(1, "old", "x")], "page_id long, title string, taxonomy_l1 string")
+    assert ingest.merge_deltas(base, deltas).collect() == base.collect() and ingest.read_deltas(spark, deltas).count() == 0
+    lines = [json.dumps({"page_id": 1, "title": f"v{i}", "body": "b"}) for i in range(40)]
+    (tmp_path / "in" / "a.json").write_text("\n".join([*lines, "{broken", '{"page_id": 3}']) + "\n")
+    now = F.lit("2026-04-02 10:30:15").cast("timestamp")
+    ingest.stream_custom_docs(spark, source, deltas, checkpoint, 10, now).awaitTermination()
+    assert [r.title for r in ingest.read_deltas(spark, deltas).collect()] == ["v39"]
+    assert spark.read.parquet(f"{deltas}-rejected").count() == 2
+    ingest.compact_deltas(spark, deltas, str(tmp_path / "compact"))
+    assert spark.read.parquet(str(tmp_path / "compact")).count() == 1
+    assert {r.title for r in ingest.merge_deltas(base, str(tmp_path / "compact")).collect()} == {"v39"}

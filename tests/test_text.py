@@ -100,6 +100,17 @@ def test_cleaning_is_idempotent_on_plain_text(spark):
     assert clean(spark, *once) == once
 
 
+def test_all_entities(texts):
+    from html.entities import html5
+
+    names = [f"&{n}" for n in html5] + [f"a&{n}b &{n};" for n in html5 if not n.endswith(";")]
+    numbers = [*range(0, 0x180), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000]
+    values = names + [f"&#{n};x" for n in numbers] + [f"&#X{n:x}&#x{n:X};" for n in numbers]
+    values += ["&notit;", "&notin", "&ampamp;", "&amp;lt;", "&", "&&", "& x", "&;", "&#", "&#;", "&#x;", "&#xg;", "&#99999999999999999999;"]
+    values += ["&#x00000000041;", "&#0000000000065", "&" + "a" * 40 + ";", "&é;", "&am", "&LT", "&\n", "&lt\t&gt<&quot&apos;", "", "no entity"]
+    assert texts(tx.html_unescape, *values) == [html.unescape(v) for v in values]
+
+
 def test_one_python_stage_although_filtered(spark):
     from corpusloom.operators.filters import filter_articles
 

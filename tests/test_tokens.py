@@ -89,7 +89,9 @@ def test_postings(docs):
     assert got == want
 
 
-def test_bm25_against_the_formula(spark):
+@pytest.mark.parametrize("rare_share", [0.0, 0.2, 1.0])
+def test_bm25_against_the_formula(spark, monkeypatch, rare_share):
+    monkeypatch.setattr(search.bm25_topk, "__defaults__", (*search.bm25_topk.__defaults__[:-1], rare_share))
     corpus = {i: " ".join(["the"] * (i % 4 + 1) + [f"w{i % 7}", f"v{i % 3}"] * (i % 3)) for i in range(60)}
     queries = {1: "the w3 w3", 2: "v1 absent", 3: "absent"}
     docs = spark.createDataFrame(list(corpus.items()), "doc_id long, text string")
@@ -122,8 +124,9 @@ def test_bm25_against_the_formula(spark):
 
 def test_metadata_search(spark):
     records = spark.createDataFrame(
-        [("r1", "Fox hunt", ["red", "big"]), ("r2", "hound", ["fox"]), ("r3", "cat", [])], "record_id string, name string, tags array<string>"
+        [("w", "r1", "Fox hunt", ["red", "big"]), ("w", "r2", "hound", ["fox"]), ("w", "r3", "cat", []), ("v", "r1", "fox", [])],
+        "workspace_id string, record_id string, name string, tags array<string>",
     )
-    asked = spark.createDataFrame([(1, "FOX big")], "query_id int, text string")
+    asked = spark.createDataFrame([("w", 1, "FOX big")], "workspace_id string, query_id int, text string")
     rows = search.metadata_search(records, asked, ["name", "tags"], 10).orderBy("rank").collect()
     assert [r.record_id for r in rows] == ["r1", "r2"]
