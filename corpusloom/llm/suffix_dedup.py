@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import by_value, drop_clashing, materialize, text_key, text_or_empty
+from corpusloom.session import salted_join
 
 by_value(__name__)
 
@@ -291,19 +292,17 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
     ).select("id", "n_bytes", "a.*")
     recurring = anchors.groupBy("gram").count().filter(F.col("count") > 1).select("gram")
     single = texts.select("id")
-    recurring_anchors = materialize(
-        anchors.join(recurring, "gram", "left_semi").join(single, "id", "left_semi"), "recurring"
-    )
+    # One gram may hold a large share of all anchors: that of a passage in very many texts.
+    often = salted_join(anchors, recurring, ["gram"], spread=["id", "place"], how="left_semi")
+    recurring_anchors = materialize(often.join(single, "id", "left_semi"), "recurring")
     classes = recurring_anchors.groupBy("gram", "e1", "e2").agg(
         F.count("*").alias("members"), F.min(F.struct("id", "place")).alias("one")
     )
-    whole = (
-        recurring_anchors.join(classes.filter(F.col("members") > 1).select("gram", "e1", "e2"), ["gram", "e1", "e2"], "left_semi")
-        .select(
-            "id",
-            F.greatest(F.col("place") - REACH, F.lit(0)).cast("long").alias("low"),
-            F.least(F.col("place") + LENGTH, F.col("n_bytes")).cast("long").alias("high"),
-        )
+    shared = classes.filter(F.col("members") > 1).select("gram", "e1", "e2")
+    whole = salted_join(recurring_anchors, shared, ["gram", "e1", "e2"], spread=["id", "place"], how="left_semi").select(
+        "id",
+        F.greatest(F.col("place") - REACH, F.lit(0)).cast("long").alias("low"),
+        F.least(F.col("place") + LENGTH, F.col("n_bytes")).cast("long").alias("high"),
     )
     contested = classes.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     wanted = (
