@@ -27,6 +27,8 @@ DIMENSIONS = 8
 NGRAMS = (3, 4)
 #: Labelled documents that the classifier is fitted on, at most; those of least hash are taken.
 SAMPLE = 4000
+#: Longer documents are not fitted on, so that the sample is bounded in size too. They are scored like any other.
+LONGEST = 50_000
 EPOCHS = 12
 RATE = 0.5
 BATCH = 16
@@ -166,7 +168,7 @@ def held_out(key: Column) -> Column:
 def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE
 ) -> Model:
-    """Fit on at most ``sample`` labelled documents that are not held out.
+    """Fit on at most ``sample`` labelled documents of up to ``LONGEST`` characters that are not held out.
 
     Labels other than 0 and 1, null keys and keys without a document are passed over. Of
     several labels for one key the least counts. Without labels the model says 1/2.
@@ -180,6 +182,7 @@ def train(
     )
     rows = (
         docs.select(F.col(f"`{key}`").alias(key), text_or_empty(text).alias("_text"))
+        .filter(F.char_length("_text") <= LONGEST)
         .join(marked, key)
         .dropDuplicates([key, "_text"])
         .orderBy(F.xxhash64(key), key, F.xxhash64("_text"))

@@ -148,6 +148,38 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op9_decontamination": r"""
+with items as (
+    select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+),
+texts as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+),
+wanted as (
+    select distinct item, n, array_to_string(w[o:o + n - 1], ' ') as window_text from (
+        select item, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as o from items where len(w) > 0
+    )
+),
+found as (
+    select doc_id, item, s, n from (
+        select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as window_text from (
+            select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s from texts join (select distinct n from wanted) on true
+        )
+    ) join wanted using (n, window_text)
+),
+hit as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(s, s + n)) as p from found) group by doc_id),
+named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, item from found) group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from texts left join hit using (doc_id) left join named using (doc_id)
+""",
     "op10_topk_search": r"""
 with words as (
     select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as term from documents
