@@ -108,6 +108,23 @@ def tok_standard(text: Column) -> Column:
     return _matches(lower_text(text), rf"[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}]]+|[{HAN}{HIRAGANA}]")
 
 
+#: Analyzers that cut the text into tokens and what lies between: the case folding, a token, a
+#: gap, and words dropped afterwards. Folding keeps the number of characters, hence offsets.
+RUNS = {
+    "whitespace": (lambda text: text, r"[^\p{javaWhitespace}]+", r"\p{javaWhitespace}+", ()),
+    "simple": (lower_text, r"\p{L}+", r"[^\p{L}]+", ()),
+    "stop": (lower_text, r"\p{L}+", r"[^\p{L}]+", ENGLISH_STOP_WORDS),
+    "keyword": (lambda text: text, r"(?s:.+)", r"(?!)", ()),
+    "pattern": (lower_text, r"[a-z0-9_]+", r"[^a-z0-9_]+", ()),
+    "standard": (
+        lower_text,
+        rf"(?:[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}]]+|[{HAN}{HIRAGANA}])",
+        rf"[^\p{{L}}\p{{N}}{HAN}{HIRAGANA}]+",
+        (),
+    ),
+}
+
+
 def tok_cjk_bigram(text: Column) -> Column:
     """Overlapping character pairs inside Chinese/Japanese runs, other words whole.
 

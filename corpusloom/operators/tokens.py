@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.analysis import ANALYZERS
+from corpusloom.functions.analysis import ANALYZERS, RUNS
 
-# Fixed value: the token type of the whitespace analyzer.
+# Fixed value: the token type that analyzers give.
 WORD_TYPE = "word"
 
 
@@ -21,32 +21,35 @@ def analyze_corpus(docs: DataFrame, text: str, analyzer: str = "japanese", key:
     return exploded.filter(F.col("token").isNotNull())
 
 
-def token_table(docs: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
-    """White-space tokens with positions and character offsets.
+def token_table(docs: DataFrame, text: str, key: str = "doc_id", analyzer: str = "whitespace") -> DataFrame:
+    """Tokens with positions and character offsets, for the analyzers of ``RUNS``.
 
-    The text is cut into runs of space and of non-space; a token's offset is the running
-    length of the runs before it. Documents are placed by key before they are cut, so the
+    The text is cut into tokens and the gaps between them; a token's offset is the running
+    length of the runs before it. A word that the analyzer drops keeps its position, so the
+    positions have a gap there. Documents are placed by key before they are cut, so the
     running sum, and later steps per document, need no shuffle of token rows.
     """
-    runs = F.regexp_extract_all(text, F.lit(r"([^\p{javaWhitespace}]+|\p{javaWhitespace}+)"), F.lit(1))
+    fold, token, gap, dropped = RUNS[analyzer]
+    runs = F.regexp_extract_all(fold(F.col(text)), F.lit(f"({token}|{gap})"), F.lit(1))
     in_doc = Window.partitionBy(key).orderBy("run")
     length = F.char_length("piece")
     pieces = docs.select(key, text).repartition(key).select(key, F.posexplode_outer(runs).alias("run", "piece"))
     end = F.sum(length).over(in_doc.rowsBetween(Window.unboundedPreceding, 0))
-    is_token = ~F.rlike("piece", F.lit(r"^\p{javaWhitespace}"))
-    return (
+    numbered = (
         pieces.withColumn("end_offset", end)
         .withColumn("start_offset", F.col("end_offset") - length)
-        .filter(is_token)
-        .select(
-            key,
-            F.col("piece").alias("token"),
-            (F.row_number().over(in_doc) - 1).alias("position"),
-            F.lit(1).alias("position_length"),
-            "start_offset",
-            "end_offset",
-            F.lit(WORD_TYPE).alias("type"),
-        )
+        .filter(F.rlike("piece", F.lit(f"^{token}")))
+        .withColumn("position", F.row_number().over(in_doc) - 1)
+    )
+    kept = numbered.filter(~F.col("piece").isin(list(dropped))) if dropped else numbered
+    return kept.select(
+        key,
+        F.col("piece").alias("token"),
+        "position",
+        F.lit(1).alias("position_length"),
+        "start_offset",
+        "end_offset",
+        F.lit(WORD_TYPE).alias("type"),
     )
 
 

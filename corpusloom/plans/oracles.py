@@ -448,6 +448,33 @@ ORACLES["token_graph_nodes"] = f"""WITH {_TOKEN_ROWS},
 ORACLES["token_graph_edges"] = f"""WITH {_TOKEN_ROWS}
     SELECT doc_id, token, position AS src, position + span AS dst, span, span > 1 AS is_multi,
       row_number() OVER (PARTITION BY doc_id, position, position + span ORDER BY start_offset) - 1 AS parallel FROM spanned"""
+
+
+def _token_table(token: str, gap: str, source: str = "documents", fold: str = "lower(text)", dropped: list[str] = (), graph: bool = False) -> str:
+    kept = f"WHERE token NOT IN ({_quoted(dropped)})" if dropped else ""
+    columns = "doc_id, token, position, 1 AS position_length, start_offset, end_offset, 'word' AS type"
+    if graph:
+        columns = """doc_id, token, position AS src, position + 1 AS dst, 1 AS span, false AS is_multi, CAST(0 AS BIGINT) AS parallel"""
+    query = rf"""WITH runs AS (SELECT doc_id, unnest(m) AS piece, generate_subscripts(m, 1) AS run
+        FROM (SELECT doc_id, regexp_extract_all({fold}, '{token}|{gap}') AS m FROM {source})),
+      ends AS (SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY run) AS BIGINT) AS end_offset FROM runs),
+      toks AS (SELECT doc_id, piece AS token, row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS position,
+          end_offset - length(piece) AS start_offset, end_offset
+        FROM ends WHERE regexp_matches(piece, '^(?:{token})'))
+    SELECT {columns} FROM toks {kept}"""
+    return with_fixtures(query, source) if source.startswith("fx_") else query
+
+
+ORACLES["token_table_simple"] = _token_table(r"\p{L}+", r"[^\p{L}]+")
+ORACLES["token_table_stop"] = _token_table(r"\p{L}+", r"[^\p{L}]+", dropped=an.ENGLISH_STOP_WORDS)
+ORACLES["token_graph_stop"] = _token_table(r"\p{L}+", r"[^\p{L}]+", dropped=an.ENGLISH_STOP_WORDS, graph=True)
+ORACLES["token_table_pattern"] = _token_table("[a-z0-9_]+", "[^a-z0-9_]+")
+ORACLES["token_table_standard"] = _token_table(
+    r"[\p{Han}\p{Hiragana}]|[\p{Katakana}\p{Latin}\p{N}ーﾞ]+", r"[^\p{L}\p{N}]+", "fx_ja"
+)
+ORACLES["token_table_keyword"] = """
+    SELECT doc_id, text AS token, CAST(0 AS BIGINT) AS position, 1 AS position_length, CAST(0 AS BIGINT) AS start_offset,
+      length(text) AS end_offset, 'word' AS type FROM documents WHERE text <> ''"""
 ORACLES["build_postings"] = r"""
     WITH t AS (SELECT doc_id, regexp_extract_all(text, '\S+') AS t FROM documents)
     SELECT term, doc_id, count(*) AS tf, CAST(any_value(doc_len) AS BIGINT) AS doc_len

@@ -570,6 +570,19 @@ def _(spark, sf):
     return tokens.token_table(tables(spark, sf, "documents"), "text")
 
 
+def _token_table(analyzer: str, source: str) -> Query:
+    def query(spark, sf):
+        df = tables(spark, sf, "documents") if source == "documents" else fixture(spark, sf, source)
+        return tokens.token_table(df, "text", analyzer=analyzer)
+
+    return query
+
+
+for _name in ("simple", "stop", "keyword", "pattern"):
+    QUERIES[f"token_table_{_name}"] = _token_table(_name, "documents")
+QUERIES["token_table_standard"] = _token_table("standard", "fx_ja")
+
+
 def _spanned(spark, sf) -> DataFrame:
     """Tokens where a long word spans two positions."""
     table = tokens.token_table(tables(spark, sf, "documents"), "text")
@@ -586,6 +599,12 @@ def _(spark, sf):
     return tokens.token_graph_edges(_spanned(spark, sf))
 
 
+@register("token_graph_stop")
+def _(spark, sf):
+    """Edges over the stop analyzer: nodes are missing where a word was dropped."""
+    return tokens.token_graph_edges(tokens.token_table(tables(spark, sf, "documents"), "text", analyzer="stop"))
+
+
 @register("build_postings")
 def _(spark, sf):
     return tokens.build_postings(tables(spark, sf, "documents"), "text", "whitespace")

@@ -59,6 +59,21 @@ def test_token_table(docs):
     assert got == want
 
 
+@pytest.mark.parametrize("analyzer", sorted(an.RUNS))
+def test_token_tables_agree_with_the_analyzers(spark, analyzer):
+    sources = [(1, "The Fox, and THE hound_2 ran"), (2, ""), (3, None), (4, "東京タワーのMap İΣΑΣ x"), (5, "... a"), (6, "to be\nor")]
+    df = spark.createDataFrame(sources, "doc_id long, text string")
+    got = {}
+    for r in sorted(tokens.token_table(df, "text", analyzer=analyzer).collect(), key=lambda r: (r.doc_id, r.position)):
+        got.setdefault(r.doc_id, []).append(r)
+        assert an.ENGLISH_STOP_WORDS and len(r.token) == r.end_offset - r.start_offset
+        assert dict(sources)[r.doc_id][r.start_offset : r.end_offset].lower().startswith(r.token[:1].lower())
+    want = {r.doc_id: r.t for r in df.select("doc_id", an.ANALYZERS[analyzer](F.col("text")).alias("t")).collect() if r.t}
+    assert {i: [r.token for r in rows] for i, rows in got.items()} == want
+    if analyzer == "stop":
+        assert [(r.token, r.position) for r in got[1]] == [("fox", 1), ("hound", 4), ("ran", 5)]
+
+
 def test_token_steps_move_the_text_once(docs):
     plan = tokens.token_graph_edges(tokens.token_table(docs, "text"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
