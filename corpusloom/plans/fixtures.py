@@ -105,6 +105,10 @@ FIXTURES = {
         SELECT event_id AS evaluation_id, event_type AS benchmark_id, ts AS created_at FROM events""",
     "fx_ja": f"""
         SELECT doc_id, translate(lower(text), '{LATIN}', '{JAPANESE}') AS text FROM documents""",
+    # Search strategies: one per region, with either analyzer.
+    "fx_search_strategies": """
+        SELECT 'w0' AS workspace_id, r_name AS strategy_id, CASE WHEN r_regionkey % 2 = 0 THEN 'simple' ELSE 'stop' END AS analyzer,
+          CASE WHEN r_regionkey = 4 THEN 'text,turn' ELSE 'text' END AS params, '{"q":"{{text}}"}' AS source FROM region""",
     "fx_queries": "SELECT item_id AS query_id, text FROM benchmark",
     "fx_scoped_queries": """
         SELECT concat('w', CAST(item_id % 2 AS STRING)) AS workspace_id, item_id AS query_id, text FROM benchmark""",

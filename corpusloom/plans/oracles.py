@@ -574,6 +574,19 @@ ORACLES["evaluation_run"] = with_fixtures(
     f"{_RUN} SELECT workspace_id, strategy_id, scenario_id, {_ROUNDED} FROM m", "fx_item_judgements"
 )
 ORACLES["evaluation_run_unrated"] = with_fixtures(f"{_RUN} {_UNRATED}", "fx_item_judgements")
+_JOBS = f"""plain AS (SELECT * FROM (WITH {_bm25('documents', 'benchmark', 'doc_id', LETTERS, query=_ITEM)})),
+    stopped AS (SELECT * FROM (WITH {_bm25('documents', 'benchmark', 'doc_id', LETTERS, an.ENGLISH_STOP_WORDS, _ITEM)})),
+    hits AS (SELECT workspace_id, strategy_id, query_id AS scenario_id, 'documents' AS idx, doc_id, score, rank
+      FROM fx_search_strategies JOIN (SELECT 'simple' AS analyzer, * FROM plain UNION ALL SELECT 'stop', * FROM stopped) USING (analyzer)
+      WHERE params = 'text')"""
+ORACLES["evaluation_job"] = with_fixtures(
+    f"""WITH {_JOBS}, {_metrics('fx_item_judgements')},
+      lists AS (SELECT workspace_id, strategy_id, scenario_id,
+        string_agg(concat(doc_id, ':', coalesce(CAST(rating AS VARCHAR), '-')), ',' ORDER BY rank) AS hits FROM rated GROUP BY 1, 2, 3)
+    SELECT workspace_id, strategy_id, scenario_id, {_ROUNDED}, hits FROM m JOIN lists USING (workspace_id, strategy_id, scenario_id)""",
+    "fx_item_judgements",
+    "fx_search_strategies",
+)
 _JID = "sha256(concat({}))".format(
     ", ".join(
         f"coalesce(concat(length({c}), ':', {c}), '-')" for c in ("workspace_id", "scenario_id", "idx", "CAST(doc_id AS VARCHAR)")

@@ -16,7 +16,7 @@ from corpusloom.functions import analysis as an
 from corpusloom.functions import text as tx
 from corpusloom.operators import facets, filters, hierarchy, relevance, search, taxonomy, tokens
 from corpusloom.plans.corpus import article_categories, build_articles, classify
-from corpusloom.plans.evaluation import run_evaluation, search_hits
+from corpusloom.plans.evaluation import run_benchmark, run_evaluation, search_hits
 from corpusloom.plans.fixtures import fixture, tables
 from corpusloom.session import fresh_path
 from corpusloom.sources import dump, ndjson, packing, publish, records
@@ -725,6 +725,23 @@ def _(spark, sf):
     return _evaluation(spark, sf)["unrated"].withColumnRenamed("index", "idx")
 
 
+@register("evaluation_job")
+def _(spark, sf):
+    """Benchmark items as scenarios, strategies with templates, and the nested record of each search."""
+    docs = tables(spark, sf, "documents").select("doc_id", "text")
+    scenarios = tables(spark, sf, "benchmark").select(
+        F.lit("w0").alias("workspace_id"),
+        F.col("item_id").cast("string").alias("scenario_id"),
+        F.array(F.lit("text")).alias("params"),
+        F.create_map(F.lit("text"), F.col("text")).alias("values"),
+    )
+    strategies = fixture(spark, sf, "fx_search_strategies").withColumn("params", F.split("params", ","))
+    judgements = fixture(spark, sf, "fx_item_judgements").withColumnRenamed("idx", "index")
+    found = run_benchmark(docs, scenarios, strategies, judgements, K, MAX_RATING, "documents", ["simple", "stop"])
+    shown = F.transform("hits", lambda h: F.concat_ws(":", h["hit"]["_id"], F.coalesce(h["rating"].cast("string"), F.lit("-"))))
+    return _rounded(found["searches"], *relevance.METRICS).withColumn("hits", F.array_join(shown, ","))
+
+
 STAMPS = ["created_at", "created_by", "created_via", "updated_at", "updated_by", "updated_via"]
 
 

@@ -187,3 +187,12 @@ def test_flatten_keeps_empties(spark):
         (1, 1, "open", None, None, None, None),
         (2, None, None, None, None, None, None),
     }
+
+
+def test_queries_of_strategies_survive_json(spark):
+    from corpusloom.plans.evaluation import strategy_queries
+
+    text = 'a "quoted"\nline \\ {{turn}} é'
+    scenarios = spark.createDataFrame([("w", "q", ["text"], {"text": text})], "workspace_id string, scenario_id string, params array<string>, values map<string,string>")
+    strategies = spark.createDataFrame([("w", "s", ["text"], '{"q":"{{text}}"}', "simple")], "workspace_id string, strategy_id string, params array<string>, source string, analyzer string")
+    assert strategy_queries(scenarios, strategies).collect() == [("w", "s", "q", "simple", text)]
