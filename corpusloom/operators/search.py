@@ -57,15 +57,17 @@ def bm25_topk(
     by_scope = lambda df: df.join(sized, on) if on else df.withColumns(totals)
     tf_part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.col("mean_len")))
     wanted = terms.select(*on, "term").distinct()
-    frequency = by_scope(held.groupBy(*on, "term").agg(F.count(F.lit(1)).alias("df")).join(wanted, [*on, "term"]))
+    # Counted first, then joined: of each term one row is moved per task.
+    counted = by_scope(held).groupBy(*on, "term", "docs", "mean_len").agg(F.count(F.lit(1)).alias("df"), F.max(tf_part).alias("most"))
+    frequency = counted.join(wanted, [*on, "term"])
     idf = F.ln(1 + (F.col("docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = materialize(
         terms.join(frequency, [*on, "term"]).select(
-            *on, query, "term", "mean_len", (F.col("qtf") * idf).alias("weight"), (F.col("df") > rare_share * F.col("docs")).alias("frequent")
+            *on, query, "term", "mean_len", (F.col("qtf") * idf).alias("weight"), "most", (F.col("df") > rare_share * F.col("docs")).alias("frequent")
         ),
         "weights",
     )
-    most = F.col("weight") * (K1 + 1)  # no document adds more for a word
+    most = F.col("weight") * F.col("most")  # no document adds more for a word
     bounds = weighted.groupBy(*on, query).agg(F.sum(F.when(F.col("frequent"), most).otherwise(0.0)).alias("rest"))
 
     def scored(chosen: DataFrame, found: DataFrame) -> DataFrame:
@@ -79,10 +81,8 @@ def bm25_topk(
         .filter(F.col("_n") == k)
         .select(*on, query, F.col("score").alias("floor"))
     )
-    plan = materialize(
-        bounds.join(kth, [*on, query], "left").withColumn("full", F.col("floor").isNull() | (F.col("rest") >= F.col("floor").cast("double") * (1 - 1e-9))),
-        "search-plan",
-    )
+    out_of_reach = F.col("rest") < F.col("floor").cast("double") * (1 - 1e-9)
+    plan = bounds.join(kth, [*on, query], "left").withColumn("full", ~F.coalesce(out_of_reach, F.lit(False)))
     in_full = plan.filter("full").select(*on, query)
     whole = scored(weighted.join(in_full, [*on, query], "left_semi"), held)
     reach = (
