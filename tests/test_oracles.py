@@ -21,7 +21,7 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     df = QUERIES[name](spark, SF)
     rows = normal_rows(df.columns, df.collect())
