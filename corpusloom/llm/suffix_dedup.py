@@ -312,9 +312,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKE
         .agg(F.collect_list("w").alias("wanted"))
         .join(texts.select("id", "key"), "id")
     )
+    placed = docs.select(
+        text_key(text).alias("key"), text_or_empty(text).alias("text"), F.monotonically_increasing_id().alias("place")
+    )
+    # Copies of one text are spread, and are one row per task before they meet.
     around = materialize(
-        docs.select(text_key(text).alias("key"), text_or_empty(text).alias("text"))
-        .join(wanted, "key")
+        salted_join(placed, wanted, ["key"], spread=["place"], how="inner")
         .groupBy("key")
         .agg(F.first("id").alias("id"), F.first("text").alias("text"), F.first("wanted").alias("wanted"))
         .select("id", "text", "wanted")
@@ -359,10 +362,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", **limits: int) -> DataFr
     added one are replaced.
     """
     rows = drop_clashing(docs, *OUTPUT)
-    keyed = rows.withColumn("__op_key", text_key(text))
+    keyed = rows.withColumns({"__op_key": text_key(text), "__op_place": F.monotonically_increasing_id()})
     spans = repeated_spans(docs, text, **limits).select(F.col("key").alias("__op_key"), F.col("spans").alias("__op_spans"))
     whole = text_or_empty(text)
-    joined = keyed.join(spans, "__op_key", "left").withColumn(
+    joined = salted_join(keyed, spans, ["__op_key"], spread=["__op_place"]).withColumn(
         "__op_cut", _cut(F.when(F.col("__op_spans").isNotNull(), whole), F.col("__op_spans"))
     )
     kept = F.coalesce(F.col("__op_cut.kept"), whole.cast("binary"))
