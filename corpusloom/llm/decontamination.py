@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import drop_clashing, materialize, text_key, text_or_empty
+from corpusloom.session import salted_join
 
 #: Words of a window that counts as contamination, and words of a k-gram.
 WINDOW = 10
@@ -107,9 +108,12 @@ def find_contamination(
         .select("key")
         .distinct()
     )
+    placed = docs.select(
+        text_key(text).alias("key"), text_or_empty(text).alias("text"), F.monotonically_increasing_id().alias("place")
+    )
+    # Copies of one text are spread, and are one row per task before they meet.
     suspects = materialize(
-        docs.select(text_key(text).alias("key"), text_or_empty(text).alias("text"))
-        .join(nominated, "key", "left_semi")
+        salted_join(placed, nominated, ["key"], spread=["place"], how="left_semi")
         .groupBy("key")
         .agg(F.first("text").alias("text"))
         .select("key", F.transform(raw_words(F.col("text")), fold).alias("words")),
@@ -204,12 +208,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **c
     contaminated. Equal texts are searched once. See ``find_contamination`` for nulls and short
     items. Input columns named like an added one are replaced.
     """
-    rows = drop_clashing(docs, *OUTPUT).withColumn("__op_key", text_key(text))
+    rows = drop_clashing(docs, *OUTPUT).withColumns(
+        {"__op_key": text_key(text), "__op_place": F.monotonically_increasing_id()}
+    )
     texts, hits = find_contamination(docs, benchmark, text, **columns)
     counts = texts.groupBy("key").agg(F.first("n_words").alias("n_words"))
     found = counts.join(hits, "key", "left").withColumnRenamed("key", "__op_key")
-    return rows.join(found, "__op_key", "left").select(
-        *(rows[f"`{c}`"] for c in rows.columns if c != "__op_key"),
+    # One text may be that of a large share of all rows.
+    joined = salted_join(rows, found.drop("spans"), ["__op_key"], spread=["__op_place"])
+    return joined.select(
+        *(F.col(f"`{c}`") for c in rows.columns if c not in ("__op_key", "__op_place")),
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
