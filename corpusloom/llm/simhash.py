@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import by_value, drop_clashing, materialize
 from corpusloom.llm.components import components
+from corpusloom.session import salted_join
 
 by_value(__name__)
 
@@ -307,7 +308,8 @@ def near_duplicates(
         .withColumn("root", F.coalesce("root", "node"))
     )
     named = placed.groupBy("root").agg(F.min("least").alias("one"))
-    labels = placed.join(named, "root").select(
+    # One component may hold a large share of all fingerprints.
+    labels = salted_join(placed, named, ["root"], spread=["print"], how="inner").select(
         *(F.col(n).alias(f"_{n}") for n in own),
         F.col("one.key").alias("component_id"),
         F.col("root").alias("component"),
