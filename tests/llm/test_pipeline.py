@@ -97,3 +97,14 @@ def test_edges(spark, edge_docs, no_docs):
     kept = cp.drop_near_duplicates(spark, docs, SF).collect()
     assert sorted(r.doc_id for r in kept if r.doc_id in (1, 2, 3, 4, 5, 6, 7)) == [1, 3, 5]
     assert np.isclose(len(kept), 6)
+
+
+def test_passages_of_51_words_are_cut(spark):
+    rng = np.random.default_rng(5)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), int(rng.integers(1, 8)))) for _ in range(n))
+    passage, short, own = make(51), make(50), [make(60) for _ in range(8)]
+    assert len(passage) < 400
+    texts = [f"{a} {p} {b}" for p, (a, b) in zip((passage, passage, short, short), zip(own[::2], own[1::2], strict=True), strict=True)]
+    rows = cp.cut_repeats(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), SF).collect()
+    got = [r.text for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert got == [f"{own[0]} {own[1]}", f"{own[2]} {own[3]}", *texts[2:]]

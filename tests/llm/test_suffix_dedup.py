@@ -94,3 +94,37 @@ def test_cut_characters_leave_the_text(docs):
     a, b = "é" + shared + "é" + words(rng, 9), "ã" + shared + "ã" + words(rng, 9)  # second bytes differ, first are equal
     rows = suffix_dedup.remove_repeats(docs(a, b)).collect()
     assert all("�" not in r.kept_text and r.kept_text == bytes(r.kept).decode(errors="ignore") for r in rows)
+
+
+def brute_words(texts, n):
+    data = [(t or "").split() for t in texts]
+    seen = Counter(tuple(d[i : i + n]) for d in data for i in range(len(d) - n + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), dtype=bool)
+        for i in range(len(d) - n + 1):
+            if seen[tuple(d[i : i + n])] > 1:
+                gone[i : i + n] = True
+        out.append([w for w, g in zip(d, gone, strict=True) if not g])
+    return out
+
+
+@pytest.mark.parametrize("limits", [{}, {"bucket_rows": 3}, {"hot_rows": 2}])
+def test_passages_of_51_words(docs, limits):
+    rng = np.random.default_rng(12)
+    make = lambda n: " ".join("".join(rng.choice(list("abcdeé"), int(rng.integers(1, 6)))) for _ in range(n))
+    exact, short, long, tiny = make(51), make(50), make(140), " ".join(rng.choice(list("abcdefghij"), 51))
+    texts = [f"{make(int(rng.integers(0, 90)))} {p} {make(int(rng.integers(0, 90)))}" for p in (exact, short, long, tiny) for _ in range(3)]
+    texts += [" ".join(long.split()[i : i + 51]) + "\n" + make(8) for i in (0, 30, 89)]
+    texts += [exact, exact, short, short, exact.replace(" ", "\n"), make(9) + " " + exact + " " + exact, "", None, *[make(200)] * 2]
+    rows = sorted(suffix_dedup.remove_repeats(docs(*texts), words=51, **limits).collect())
+    assert [r.kept_text.split() for r in rows] == brute_words(texts, 51)
+
+
+def test_strings_of_few_words_still_go(docs):
+    rng = np.random.default_rng(13)
+    blob = "".join(rng.choice(list("abcdef"), 900))
+    a, b = "q" + blob[:500] + "r one", "s two" + blob[100:]
+    rows = sorted(suffix_dedup.remove_repeats(docs(a, b, blob[:399], blob[200:600], blob[200:600]), words=51).collect())
+    assert [r.kept_text for r in rows] == [r.kept_text for r in sorted(suffix_dedup.remove_repeats(docs(a, b, blob[:399], blob[200:600], blob[200:600])).collect())]
+    assert rows[0].n_removed > 0 and rows[3].n_removed == 400
