@@ -8,11 +8,16 @@ covering code of radius 2. A fingerprint goes to every anchor that is the neares
 word within one bit of its own block: these are the anchors within covering radius plus
 threshold that can matter, 13 at most. Of two blocks within one bit, one's own anchor is thus
 among the other's, and the two meet there. The exact block is a code of radius 0.
+
+Where a similarity is asked for, no single fingerprint will do: how many bits near copies differ
+in depends on how often their words repeat. Their sets of shingles then meet in bands of
+MinHash, where only the similarity counts, and each link is decided by the exact Jaccard
+similarity of the sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,11 +34,13 @@ by_value(__name__)
 THRESHOLD = 4
 SHINGLE = 5
 CODED_BITS = 24
-#: Length of the fingerprints that confirm links where a similarity is asked for.
-DETAIL_BITS = 256
-_MIX = np.random.default_rng(64).integers(1, 2**63, DETAIL_BITS // 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bands of MinHash, and minima of each: a pair of similarity 0.8 shares none with odds of (1 - 0.8 ** 4) ** 20, 3 in 100,000.
+BANDS, BAND_ROWS = 20, 4
+_MIX = np.random.default_rng(64).integers(1, 2**63, (2, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Members of one anchor that a task compares; larger anchors are compared in pairs of such parts.
 PART = 8192
+#: The same for sets of shingles that bands connect.
+SET_PART = 512
 #: Up to this many members an anchor is compared in passes over all anchors at once.
 SMALL = 64
 OUTPUT = ("fingerprint", "component_id", "component", "stays")
@@ -75,14 +82,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
 
 
-def detail(text: str | None, shingle: int) -> bytes:
-    """A SimHash of ``DETAIL_BITS`` bits, from further mixes of the same shingle hashes."""
-    hashes = _shingle_hashes(text, shingle)
-    if not len(hashes):
-        return bytes(DETAIL_BITS // 8)
-    mixed = (hashes[:, None] ^ (hashes[:, None] >> np.uint64(31))) * _MIX
-    mixed ^= mixed >> np.uint64(29)
-    return _majority((mixed * np.uint64(0x94D049BB133111EB)).astype("<u8")).tobytes()
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the distinct word shingles of a text, in order."""
+    return np.unique(_shingle_hashes(text, shingle))
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """One number for each band of the MinHash of a set of shingles; none for an empty set."""
+    if not len(shingles):
+        return np.zeros(0, dtype=np.uint64)
+    least = np.full(BANDS * BAND_ROWS, np.uint64(2**64 - 1))
+    for at in range(0, len(shingles), 4096):
+        part = shingles[at : at + 4096]
+        for i in range(len(least)):
+            mixed = (part ^ _MIX[0, i]) * _MIX[1, i]
+            mixed ^= mixed >> np.uint64(32)
+            least[i] = min(least[i], (mixed * _MIX[1, i]).min())
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, BAND_ROWS))], dtype=np.uint64)
 
 
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
@@ -95,26 +111,17 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
-def details(text: Column, shingle: int = SHINGLE) -> Column:
-    """Long SimHash of a text column as bytes."""
+def _sets(text: Column, shingle: int) -> Column:
+    """A number of 128 bits for the set of shingles of a text, and the set's bands."""
 
-    @F.pandas_udf("binary")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([detail(t, shingle) for t in texts], dtype=object)
+    @F.pandas_udf("node binary, bands array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(t, shingle) for t in texts]
+        return pd.DataFrame({"node": [xxhash.xxh3_128_digest(x.tobytes()) for x in sets], "bands": [bands(x).view(np.int64) for x in sets]})
 
     return of(text)
 
 
-def detail_limit(similarity: float) -> int:
-    """Differing bits of a long SimHash that texts of that Jaccard similarity of shingles may have.
-
-    The share of differing bits is the angle between the texts' shingle counts, over pi. Two
-    standard deviations are allowed on top, so that few texts of that similarity are lost.
-    """
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(DETAIL_BITS * share + 2 * np.sqrt(DETAIL_BITS * share * (1 - share)))
-
-
 # --- anchors --------------------------------------------------------------------------------
 
 
@@ -165,22 +172,15 @@ def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Members:
-    """Fingerprints of a partition, and their long ones where those must confirm a link."""
+    """Fingerprints of a partition."""
 
-    def __init__(self, frame: pd.DataFrame, threshold: int, limit: int) -> None:
+    def __init__(self, frame: pd.DataFrame, threshold: int) -> None:
         self.prints = frame["print"].to_numpy().view(np.uint64)
-        self.threshold, self.limit = threshold, limit
-        self.details = (
-            np.frombuffer(b"".join(frame["detail"]), dtype="<u8").reshape(len(frame), -1) if "detail" in frame else None
-        )
+        self.threshold = threshold
 
     def near(self, a: np.ndarray, b: np.ndarray | int) -> np.ndarray:
         """Which members ``a`` are linked to their partners ``b``."""
-        out = np.bitwise_count(self.prints[a] ^ self.prints[b]) <= self.threshold
-        if self.details is not None and out.any():
-            other = self.details[b] if np.isscalar(b) else self.details[b[out]]
-            out[out] = np.bitwise_count(self.details[a[out]] ^ other).sum(axis=1) <= self.limit
-        return out
+        return np.bitwise_count(self.prints[a] ^ self.prints[b]) <= self.threshold
 
     def forest(self, low: int, high: int) -> Iterator[tuple[int, int]]:
         """Links that join all members of one anchor that reach each other: one fewer than members."""
@@ -197,13 +197,12 @@ class _Members:
                     left = left[~near]
 
 
-def _links(batches: Iterator[pd.DataFrame], threshold: int, limit: int) -> Iterator[pd.DataFrame]:
+def _links(batches: Iterator[pd.DataFrame], threshold: int) -> Iterator[pd.DataFrame]:
     """Links inside the anchors of a partition that is sorted by anchor."""
-    held: list[pd.DataFrame] = []
 
     def linked(frame: pd.DataFrame) -> pd.DataFrame:
         keys = frame[["anchor", "a", "b"]].to_numpy()
-        members = _Members(frame, threshold, limit)
+        members = _Members(frame, threshold)
         new = np.ones(len(keys), dtype=bool)
         new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
         group = np.cumsum(new) - 1
@@ -215,14 +214,21 @@ def _links(batches: Iterator[pd.DataFrame], threshold: int, limit: int) -> Itera
             busy[group[at[members.near(at, at + step)]]] = True
         pairs = [p for g in np.flatnonzero(busy) for p in members.forest(starts[g], starts[g] + sizes[g])]
         u, v = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-        names = [c for c in ("print", "detail") if c in frame]
-        return pd.DataFrame({f"{c}_{side}": frame[c].to_numpy()[i] for side, i in (("u", u), ("v", v)) for c in names})
+        prints = frame["print"].to_numpy()
+        return pd.DataFrame({"u": prints[u], "v": prints[v]})
+
+    yield from _grouped(batches, ["anchor", "a", "b"], linked)
+
 
+def _grouped(
+    batches: Iterator[pd.DataFrame], by: list[str], linked: Callable[[pd.DataFrame], pd.DataFrame]
+) -> Iterator[pd.DataFrame]:
+    """``linked`` of whole groups, of a partition that is sorted ``by`` their keys."""
+    held: list[pd.DataFrame] = []
     for batch in batches:
         if not len(batch):
             continue
-        keys = batch[["anchor", "a", "b"]].to_numpy()
-        last = (keys == keys[-1]).all(axis=1)
+        last = (batch[by] == batch[by].iloc[-1]).all(axis=1).to_numpy()
         cut = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
         if cut:
             yield linked(pd.concat([*held, batch.iloc[:cut]], ignore_index=True))
@@ -232,40 +238,98 @@ def _links(batches: Iterator[pd.DataFrame], threshold: int, limit: int) -> Itera
         yield linked(pd.concat(held, ignore_index=True))
 
 
-def link_prints(prints: DataFrame, threshold: int = THRESHOLD, limit: int = 0) -> DataFrame:
+def _dealt(rows: DataFrame, group: str, columns: list[str], key: str, size: int) -> DataFrame:
+    """``rows`` by group and pair of parts (a, b) of at most about ``size`` members each, dealt by hash of the key."""
+    large = rows.groupBy(group).count().filter(F.col("count") > size)
+    return (
+        rows.join(large, group, "left")
+        .select(group, *columns, F.coalesce(F.ceil(F.col("count") / size), F.lit(1)).cast("int").alias("parts"))
+        .withColumn("mine", F.pmod(F.xxhash64(key), F.col("parts")).cast("int"))
+        .select(group, *columns, "mine", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select(group, F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), *columns)
+        .repartition(group, "a", "b")
+        .sortWithinPartitions(group, "a", "b")
+    )
+
+
+def link_prints(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Links (u, v) that connect all of the distinct ``print`` values within ``threshold`` bits.
 
-    If ``prints`` also has ``detail``, a link must differ in at most ``limit`` bits there. A
-    node is the number of its print, or with details a struct of both. Only enough links to
-    connect a group are returned: as many as it has members, never its pairs. An anchor of more
-    than ``PART`` members is cut into parts by hash and compared part by part, so that no task
-    holds more than two parts of one anchor.
+    Only enough links to connect a group are returned: as many as it has members, never its
+    pairs. An anchor of more than ``PART`` members is cut into parts by hash and compared part
+    by part, so that no task holds more than two parts of one anchor.
     """
     if threshold > THRESHOLD:
         raise ValueError(f"the code covers up to {THRESHOLD} differing bits")
-    names = [c for c in ("print", "detail") if c in prints.columns]
-    kinds = {"print": "long", "detail": "binary"}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in names)
-    placed = materialize(prints.select(*names).mapInPandas(_anchored, f"anchor long, {schema}"), "anchors")
-    large = placed.groupBy("anchor").count().filter(F.col("count") > PART)
-    parts = F.coalesce(F.ceil(F.col("count") / PART), F.lit(1)).cast("int")
-    mine = F.pmod(F.xxhash64(*names), F.col("parts")).cast("int")
-    dealt = (
-        placed.join(large, "anchor", "left")
-        .select("anchor", *names, parts.alias("parts"))
-        .withColumn("mine", mine)
-        .select("anchor", *names, "mine", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-        .select("anchor", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"), *names)
-        .repartition("anchor", "a", "b")
-        .sortWithinPartitions("anchor", "a", "b")
-    )
-    sides = ", ".join(f"{c}_{side} {kinds[c]}" for side in "uv" for c in names)
-    found = dealt.mapInPandas(lambda batches: _links(batches, threshold, limit), sides)
-    return found.select(*(_node([f"{c}_{side}" for c in names]).alias(side) for side in "uv")).distinct()
+    placed = materialize(prints.select("print").mapInPandas(_anchored, "anchor long, print long"), "anchors")
+    dealt = _dealt(placed, "anchor", ["print"], "print", PART)
+    return dealt.mapInPandas(lambda batches: _links(batches, threshold), "u long, v long").distinct()
+
+
+def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have that Jaccard similarity; each is in order."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    both = np.concatenate((a, b))
+    both.sort()
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= similarity * (len(both) - common)
 
 
-def _node(names: list[str]) -> Column:
-    return F.col(names[0]) if len(names) == 1 else F.struct(*(F.col(n).alias(n.split("_")[0]) for n in names))
+def _set_links(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[pd.DataFrame]:
+    """Links inside the groups of a partition that is sorted by group, between sets that share a band."""
+
+    def linked(frame: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.frombuffer(x, dtype="<u8") for x in frame["shingles"]]
+        keys = frame[["root", "a", "b"]]
+        new = (keys != keys.shift()).any(axis=1).to_numpy()
+        pairs = []
+        for low, high in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(frame)), strict=True):
+            left = dict.fromkeys(range(low, high))
+            shared: dict[int, list[int]] = {}
+            for i in left:
+                for band in frame["bands"].iloc[i]:
+                    shared.setdefault(band, []).append(i)
+            while left:
+                frontier = [next(iter(left))]
+                del left[frontier[0]]
+                while frontier and left:
+                    u = frontier.pop()
+                    near: dict[int, None] = {}
+                    for band in frame["bands"].iloc[u]:
+                        shared[band] = [v for v in shared[band] if v in left]
+                        near.update(dict.fromkeys(shared[band]))
+                    found = [v for v in near if _similar(sets[u], sets[v], similarity)]
+                    for v in found:
+                        del left[v]
+                    pairs += [(u, v) for v in found]
+                    frontier += found
+        u, v = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+        nodes = frame["node"].to_numpy()
+        return pd.DataFrame({"u": nodes[u], "v": nodes[v]})
+
+    yield from _grouped(batches, ["root", "a", "b"], linked)
+
+
+def link_sets(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) that connect the nodes whose sets of shingles share a band and have that similarity.
+
+    ``nodes`` has ``node``, ``bands`` and the ``row`` of one of its texts, ``texts`` has ``row`` and ``text``. Bands first
+    connect nodes in groups, by a link of each to the least of its band; then each set moves once, to its group, where
+    the sets that share a band are compared. Groups of more than ``SET_PART`` sets are compared part by part.
+    """
+    placed = materialize(nodes.select("node", F.explode("bands").alias("band")), "bands")
+    hubs = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("v")).filter(F.col("n") > 1).select("band", "v")
+    # One band may hold a large share of all nodes: that of a passage most of many texts consist of.
+    groups = components(salted_join(placed, hubs, ["band"], spread=["node"], how="inner").select(F.col("node").alias("u"), "v"))
+
+    @F.pandas_udf("binary")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
+
+    members = nodes.join(groups, "node").join(texts, "row").select("root", "node", "bands", "text")
+    sets = _dealt(members, "root", ["node", "bands", "text"], "node", SET_PART).withColumn("shingles", shingles("text")).drop("text")
+    return sets.mapInPandas(lambda batches: _set_links(batches, similarity), "u binary, v binary").distinct()
 
 
 def near_duplicates(
@@ -286,37 +350,37 @@ def near_duplicates(
     is the least fingerprint of the component, and never null. ``stays`` is true for exactly one
     row of each component, one of its least key. The text itself is returned only with ``keep_text``. Input columns named like an added one are replaced.
 
-    With ``similarity`` fingerprints are over single words, where small edits change few bits,
-    and a link is confirmed by a long SimHash over ``shingle`` words: texts must be about that
-    similar (Jaccard, of shingles). ``component`` is then a struct of both.
+    With ``similarity`` rows are linked if the sets of their shingles of ``shingle`` words have
+    that Jaccard similarity, instead of by fingerprints. Links are exact; a pair is missed only
+    if it shares no band of MinHash, see ``BANDS``. ``component`` is then a number of a set.
     """
     rows = drop_clashing(docs, *OUTPUT)
     content = F.col(f"`{text}`").cast("string")
-    printed = rows.withColumns(
-        {"fingerprint": fingerprints(content, 1 if similarity else shingle), "__op_row": F.monotonically_increasing_id()}
-    )
+    printed = rows.withColumns({"fingerprint": fingerprints(content, shingle), "__op_row": F.monotonically_increasing_id()})
+    node, more = "fingerprint", []
     if similarity:
-        printed = printed.withColumn("__op_detail", details(content, shingle))
-    narrow = materialize(printed if keep_text else printed.drop(text), "prints")
-    own = {"print": F.col("fingerprint")} | ({"detail": F.col("__op_detail")} if similarity else {})
+        node, more = "__op_node", [F.first("__op_bands").alias("bands")]
+        printed = printed.withColumn("__op_set", _sets(content, shingle)).select(
+            "*", F.col("__op_set.node").alias(node), F.col("__op_set.bands").alias("__op_bands")
+        ).drop("__op_set")
+    narrow = materialize(printed if keep_text or similarity else printed.drop(text), "prints")
     first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "__op_row"))  # null keys come last
-    nodes = materialize(narrow.groupBy(*(c.alias(n) for n, c in own.items())).agg(first.alias("least")), "nodes")
-    links = link_prints(nodes, threshold, detail_limit(similarity) if similarity else 0)
-    placed = (
-        nodes.withColumn("node", _node(list(own)))
-        .join(components(links), "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
+    nodes = materialize(narrow.groupBy(F.col(node).alias("node")).agg(first.alias("least"), *more), "nodes")
+    if similarity:
+        texts = narrow.select(F.col("__op_row").alias("row"), content.alias("text"))
+        links = link_sets(nodes.select("node", "bands", F.col("least.__op_row").alias("row")), texts, shingle, similarity)
+    else:
+        links = link_prints(nodes.select(F.col("node").alias("print")), threshold)
+    placed = nodes.select("node", "least").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = placed.groupBy("root").agg(F.min("least").alias("one"))
-    # One component may hold a large share of all fingerprints.
-    labels = salted_join(placed, named, ["root"], spread=["print"], how="inner").select(
-        *(F.col(n).alias(f"_{n}") for n in own),
+    # One component may hold a large share of all nodes.
+    labels = salted_join(placed, named, ["root"], spread=["node"], how="inner").select(
+        "node",
         F.col("one.key").alias("component_id"),
         F.col("root").alias("component"),
         F.col("one.__op_row").alias("__op_one"),
     )
-    same = [c == labels[f"_{n}"] for n, c in zip(own, (narrow["fingerprint"], *([narrow["__op_detail"]] if similarity else [])), strict=True)]
-    return narrow.join(labels, same, "left").select(
+    return narrow.join(labels, narrow[node] == labels["node"], "left").select(
         *(narrow[f"`{c}`"] for c in rows.columns if keep_text or c != text),
         *OUTPUT[:-1],
         (F.col("__op_row") == F.col("__op_one")).alias("stays"),
