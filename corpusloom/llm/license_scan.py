@@ -123,12 +123,53 @@ def _places(words: Sequence[str], counts: Counter, template: Sequence[str], leas
     return [i for i, w in enumerate(words) if w in rare] if any(counts[w] for w in rare) else []
 
 
+def _longest_common(text: Sequence[str], template: Sequence[str]) -> list[tuple[int, int]]:
+    """(place in text, place in template) of a longest common subsequence, in order."""
+    best = [[0] * (len(template) + 1) for _ in range(len(text) + 1)]
+    for i in range(len(text) - 1, -1, -1):
+        for j in range(len(template) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if text[i] == template[j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(text) and j < len(template):
+        if text[i] == template[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i + 1][j] >= best[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def _among_copies(
+    words: Sequence[str], places: Sequence[int], template: Sequence[str], least: int, best: list[tuple[int, int]]
+) -> list[tuple[int, int]]:
+    """A better alignment than ``best``, or ``best``: of stretches little longer than the template, each by exact LCS.
+
+    Where copies stand close together no word of theirs is unique. A stretch leaves as many
+    words to both sides of where a copy with that place would be as a copy may miss.
+    """
+    counts, slack = Counter(template), len(template) - least
+    lows = {i - j - slack for i in places for j, w in enumerate(template) if w == words[i]}
+    for low in sorted(lows):
+        stretch = words[max(0, low) : max(0, low + len(template) + 2 * slack)]
+        possible = sum(min(n, counts[w]) for w, n in Counter(stretch).items())
+        if possible >= max(least, len(best) + 1):
+            found = _longest_common(stretch, template)
+            if len(found) > len(best):
+                best = [(i + max(0, low), j) for i, j in found]
+        if len(best) == len(template):
+            break
+    return best
+
+
 def scan(text: str | None, templates: Mapping[str, Sequence[str]], coverage: float = COVERAGE) -> list[tuple[str, float, int, int]]:
     """(license, coverage, first word, last word) of each template that is covered, best first.
 
     The template is aligned with the stretches of the text around each place that a copy must
     have; a stretch reaches the template's length, and as much again, to both sides. In a whole
-    long text its words would not be unique. Templates of which the text has too few words are
+    long text its words would not be unique. If that leaves words of the template unaligned, as
+    where copies stand close together, short stretches are aligned exactly. Templates of which the text has too few words are
     passed over before any alignment; that loses none.
     """
     words = words_of(text or "")
@@ -139,7 +180,8 @@ def scan(text: str | None, templates: Mapping[str, Sequence[str]], coverage: flo
         if not template or sum(min(n, counts[w]) for w, n in Counter(template).items()) < least:
             continue
         reach, seen, best = 2 * len(template), set(), []
-        for place in _places(words, counts, template, least):
+        places = _places(words, counts, template, least)
+        for place in places:
             low = max(0, place - reach)
             stretch = tuple(words[low : place + reach])
             if stretch in seen:
@@ -148,6 +190,8 @@ def scan(text: str | None, templates: Mapping[str, Sequence[str]], coverage: flo
             found = align(stretch, template)
             if len(found) > len(best):
                 best = [(i + low, j) for i, j in found]
+        if len(best) < len(template):
+            best = _among_copies(words, places, template, least, best)
         if len(best) >= least:
             out.append((name, len(best) / len(template), best[0][0], best[-1][0]))
     return sorted(out, key=lambda x: (-x[1], -len(templates[x[0]]), x[0]))

@@ -67,3 +67,22 @@ def test_edges(edge_docs, no_docs):
     assert len(rows) == edge_docs.count() and {r.license for r in rows} == {None} and {r.kept for r in rows} == {"mine"}
     assert license_scan.scan_licenses(no_docs).collect() == []
     assert {tuple(r.licenses) for r in license_scan.scan_licenses(edge_docs, {}).collect()} == {()}
+
+
+@pytest.mark.parametrize("name", SPLIT)
+@pytest.mark.parametrize("copies", [2, 5])
+def test_copies_close_together(name, copies):
+    notice = license_scan.TEMPLATES[name]
+    other = [f"word{i}" for i in range(20)]
+    for between in ("\n", "\nand\n"):
+        text = " ".join(other) + "\n" + between.join([notice] * copies) + "\n" + " ".join(other)
+        found = {f[0]: f for f in license_scan.scan(text, SPLIT)}
+        assert found[name][1] == 1.0
+        assert words_at(text, found[name]) == SPLIT[name]
+    changed = " ".join([*SPLIT[name][:1], "inserted", *SPLIT[name][1:]])
+    if len(SPLIT[name]) >= 5:
+        assert name in {f[0] for f in license_scan.scan(" ".join([*other, changed, changed, *other]), SPLIT)}
+
+
+def words_at(text, found):
+    return license_scan.words_of(text)[found[2] : found[3] + 1]
