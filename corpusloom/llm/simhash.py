@@ -314,7 +314,7 @@ def _set_links(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[p
 def link_sets(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links (u, v) that connect the nodes whose sets of shingles share a band and have that similarity.
 
-    ``nodes`` has ``node``, ``bands`` and the ``row`` of one of its texts, ``texts`` has ``row`` and ``text``. Bands first
+    ``nodes`` has ``node`` (long) and ``bands``, ``texts`` has ``node`` and ``text``. Bands first
     connect nodes in groups, by a link of each to the least of its band; then each set moves once, to its group, where
     the sets that share a band are compared. Groups of more than ``SET_PART`` sets are compared part by part.
     """
@@ -327,9 +327,9 @@ def link_sets(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     def shingles(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
 
-    members = nodes.join(groups, "node").join(texts, "row").select("root", "node", "bands", "text")
+    members = nodes.join(groups, "node").join(texts, "node").select("root", "node", "bands", "text")
     sets = _dealt(members, "root", ["node", "bands", "text"], "node", SET_PART).withColumn("shingles", shingles("text")).drop("text")
-    return sets.mapInPandas(lambda batches: _set_links(batches, similarity), "u binary, v binary").distinct()
+    return sets.mapInPandas(lambda batches: _set_links(batches, similarity), "u long, v long").distinct()
 
 
 def near_duplicates(
@@ -352,12 +352,12 @@ def near_duplicates(
 
     With ``similarity`` rows are linked if the sets of their shingles of ``shingle`` words have
     that Jaccard similarity, instead of by fingerprints. Links are exact; a pair is missed only
-    if it shares no band of MinHash, see ``BANDS``. ``component`` is then a number of a set.
+    if it shares no band of MinHash, see ``BANDS``. ``component`` is then the number of a row.
     """
     rows = drop_clashing(docs, *OUTPUT)
     content = F.col(f"`{text}`").cast("string")
     printed = rows.withColumns({"fingerprint": fingerprints(content, shingle), "__op_row": F.monotonically_increasing_id()})
-    node, more = "fingerprint", []
+    node, number, more = "fingerprint", F.col("node"), []
     if similarity:
         node, more = "__op_node", [F.first("__op_bands").alias("bands")]
         printed = printed.withColumn("__op_set", _sets(content, shingle)).select(
@@ -367,11 +367,13 @@ def near_duplicates(
     first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "__op_row"))  # null keys come last
     nodes = materialize(narrow.groupBy(F.col(node).alias("node")).agg(first.alias("least"), *more), "nodes")
     if similarity:
-        texts = narrow.select(F.col("__op_row").alias("row"), content.alias("text"))
-        links = link_sets(nodes.select("node", "bands", F.col("least.__op_row").alias("row")), texts, shingle, similarity)
+        texts = narrow.select(F.col("__op_row").alias("node"), content.alias("text"))
+        number = F.col("least.__op_row")  # nodes of components are numbers, whose least is found by hashing
+        links = link_sets(nodes.select(number.alias("node"), "bands"), texts, shingle, similarity)
     else:
         links = link_prints(nodes.select(F.col("node").alias("print")), threshold)
-    placed = nodes.select("node", "least").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    reached = components(links).withColumnRenamed("node", "number")
+    placed = nodes.select("node", "least", number.alias("number")).join(reached, "number", "left").withColumn("root", F.coalesce("root", "number"))
     named = placed.groupBy("root").agg(F.min("least").alias("one"))
     # One component may hold a large share of all nodes.
     labels = salted_join(placed, named, ["root"], spread=["node"], how="inner").select(
