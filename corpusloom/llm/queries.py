@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    ball_tree,
     decontamination,
+    embedding_dedup,
+    hard_negatives,
     html_extract,
     license_scan,
     packing,
@@ -134,6 +137,25 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors of one label whose cosine is at least 0.98."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for every benchmark item."""
+    index, shards = ball_tree.build_index(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return ball_tree.search(index, shards, items, k=10, query_id="item_id").select("item_id", "rank", F.col("key").alias("doc_id"), "score")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, among all; every seventh bears a wrong label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine_hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op3_license_scan": op3_license_scan,
@@ -145,6 +167,9 @@ QUERIES: dict[str, Query] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -206,5 +231,86 @@ ranked as (
     select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from scored
 )
 select query_id, doc_id, cast(rank as int) as rank, round(score, 6) as score from ranked where rank <= 10
+""",
+    "op11_embedding_dedup": r"""
+with recursive usable as (
+    select vec_id, label, cast(embedding as double[]) as v, row_number() over () as r from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+    select a.r as u, b.r as v from usable a join usable b
+    on a.label = b.label and a.r <> b.r and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= 0.98
+),
+reach as (
+    select r as u, r as v from usable
+    union
+    select reach.u, links.v from reach join links on reach.v = links.u
+),
+grouped as (
+    select a.vec_id, min(b.vec_id) as component_id, a.r from reach join usable a on reach.u = a.r join usable b on reach.v = b.r group by all
+),
+counted as (select u, count(*) as n from links group by u)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from grouped left join counted on u = r
+union all
+select vec_id, 0, vec_id, true from embeddings
+where label is null or embedding is null
+    or len(list_filter(embedding, lambda x: x is null or not isfinite(x))) > 0
+    or len(list_filter(embedding, lambda x: x <> 0)) = 0
+""",
+    "op12_lexical_search": r"""
+with words as (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+),
+postings as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, cast(sum(tf) as bigint) as n from postings group by all),
+size as (select count(*) as docs, cast(sum(n) as bigint) as total from lengths),
+asked as (
+    select item_id, term, count(*) as times from (
+        select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark
+    ) group by all
+),
+weights as (
+    select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w
+    from (select term, count(*) as df from postings group by all), size
+),
+measured as (select doc_id, 25 + (75 * n * docs) // total as m from lengths, size),
+scored as (
+    select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+    from asked join weights using (term) join postings using (term) join measured using (doc_id)
+    group by all
+),
+ranked as (
+    select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0
+)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 10
+""",
+    "op13_hard_negatives": r"""
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+    from usable a join usable b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, other_id) as int) as rank,
+    other_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, other_id) <= 3
 """,
 }
