@@ -15,8 +15,8 @@ from corpusloom.llm import decontamination, packing, quality, simhash, suffix_de
 from corpusloom.llm.queries import VOCABULARY, table
 from corpusloom.session import fresh_path
 
-#: Near copies share this much of their shingles of five words.
-SIMILARITY = 0.8
+#: Words of a shingle, and bits that the fingerprints of near copies differ in at most.
+SHINGLE, THRESHOLD = 4, 4
 #: Passages of over 50 words are cut where they also stand elsewhere.
 PASSAGE_WORDS = 51
 
@@ -44,8 +44,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: one of the least id."""
-    found = simhash.near_duplicates(_aside(docs), similarity=SIMILARITY, keep_text=True)
+    """One document of each group whose fingerprints are linked: one of the least id."""
+    found = simhash.near_duplicates(_aside(docs), shingle=SHINGLE, threshold=THRESHOLD, keep_text=True)
     return _back(found.filter("stays"), docs)
 
 
