@@ -8,11 +8,6 @@ covering code of radius 2. A fingerprint goes to every anchor that is the neares
 word within one bit of its own block: these are the anchors within covering radius plus
 threshold that can matter, 13 at most. Of two blocks within one bit, one's own anchor is thus
 among the other's, and the two meet there. The exact block is a code of radius 0.
-
-Where a similarity is asked for, no single fingerprint will do: how many bits near copies differ
-in depends on how often their words repeat. Their sets of shingles then meet in bands of
-MinHash, where only the similarity counts, and each link is decided by the exact Jaccard
-similarity of the sets.
 """
 
 from __future__ import annotations
@@ -34,13 +29,8 @@ by_value(__name__)
 THRESHOLD = 4
 SHINGLE = 5
 CODED_BITS = 24
-#: Bands of MinHash, and minima of each: a pair of similarity 0.8 shares none with odds of (1 - 0.8 ** 4) ** 20, 3 in 100,000.
-BANDS, BAND_ROWS = 20, 4
-_MIX = np.random.default_rng(64).integers(1, 2**63, (2, BANDS * BAND_ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Members of one anchor that a task compares; larger anchors are compared in pairs of such parts.
 PART = 8192
-#: The same for sets of shingles that bands connect.
-SET_PART = 512
 #: Up to this many members an anchor is compared in passes over all anchors at once.
 SMALL = 64
 OUTPUT = ("fingerprint", "component_id", "component", "stays")
@@ -82,25 +72,6 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(_majority(hashes[:, None])[0]) if len(hashes) else 0
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Hashes of the distinct word shingles of a text, in order."""
-    return np.unique(_shingle_hashes(text, shingle))
-
-
-def bands(shingles: np.ndarray) -> np.ndarray:
-    """One number for each band of the MinHash of a set of shingles; none for an empty set."""
-    if not len(shingles):
-        return np.zeros(0, dtype=np.uint64)
-    least = np.full(BANDS * BAND_ROWS, np.uint64(2**64 - 1))
-    for at in range(0, len(shingles), 4096):
-        part = shingles[at : at + 4096]
-        for i in range(len(least)):
-            mixed = (part ^ _MIX[0, i]) * _MIX[1, i]
-            mixed ^= mixed >> np.uint64(32)
-            least[i] = min(least[i], (mixed * _MIX[1, i]).min())
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(least.reshape(BANDS, BAND_ROWS))], dtype=np.uint64)
-
-
 def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     """SimHash of a text column as a signed long."""
 
@@ -111,17 +82,6 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     return of(text)
 
 
-def _sets(text: Column, shingle: int) -> Column:
-    """A number of 128 bits for the set of shingles of a text, and the set's bands."""
-
-    @F.pandas_udf("node binary, bands array<long>")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(t, shingle) for t in texts]
-        return pd.DataFrame({"node": [xxhash.xxh3_128_digest(x.tobytes()) for x in sets], "bands": [bands(x).view(np.int64) for x in sets]})
-
-    return of(text)
-
-
 # --- anchors --------------------------------------------------------------------------------
 
 
@@ -266,72 +226,6 @@ def link_prints(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return dealt.mapInPandas(lambda batches: _links(batches, threshold), "u long, v long").distinct()
 
 
-def _similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
-    """Whether two sets have that Jaccard similarity; each is in order."""
-    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-        return False
-    both = np.concatenate((a, b))
-    both.sort()
-    common = int((both[1:] == both[:-1]).sum())
-    return common >= similarity * (len(both) - common)
-
-
-def _set_links(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[pd.DataFrame]:
-    """Links inside the groups of a partition that is sorted by group, between sets that share a band."""
-
-    def linked(frame: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(x, dtype="<u8") for x in frame["shingles"]]
-        keys = frame[["root", "a", "b"]]
-        new = (keys != keys.shift()).any(axis=1).to_numpy()
-        pairs = []
-        for low, high in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(frame)), strict=True):
-            left = dict.fromkeys(range(low, high))
-            shared: dict[int, list[int]] = {}
-            for i in left:
-                for band in frame["bands"].iloc[i]:
-                    shared.setdefault(band, []).append(i)
-            while left:
-                frontier = [next(iter(left))]
-                del left[frontier[0]]
-                while frontier and left:
-                    u = frontier.pop()
-                    near: dict[int, None] = {}
-                    for band in frame["bands"].iloc[u]:
-                        shared[band] = [v for v in shared[band] if v in left]
-                        near.update(dict.fromkeys(shared[band]))
-                    found = [v for v in near if _similar(sets[u], sets[v], similarity)]
-                    for v in found:
-                        del left[v]
-                    pairs += [(u, v) for v in found]
-                    frontier += found
-        u, v = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-        nodes = frame["node"].to_numpy()
-        return pd.DataFrame({"u": nodes[u], "v": nodes[v]})
-
-    yield from _grouped(batches, ["root", "a", "b"], linked)
-
-
-def link_sets(nodes: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (u, v) that connect the nodes whose sets of shingles share a band and have that similarity.
-
-    ``nodes`` has ``node`` (long) and ``bands``, ``texts`` has ``node`` and ``text``. Bands first
-    connect nodes in groups, by a link of each to the least of its band; then each set moves once, to its group, where
-    the sets that share a band are compared. Groups of more than ``SET_PART`` sets are compared part by part.
-    """
-    placed = materialize(nodes.select("node", F.explode("bands").alias("band")), "bands")
-    hubs = placed.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("v")).filter(F.col("n") > 1).select("band", "v")
-    # One band may hold a large share of all nodes: that of a passage most of many texts consist of.
-    groups = components(salted_join(placed, hubs, ["band"], spread=["node"], how="inner").select(F.col("node").alias("u"), "v"))
-
-    @F.pandas_udf("binary")
-    def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_set(t, shingle).tobytes() for t in texts], dtype=object)
-
-    members = nodes.join(groups, "node").join(texts, "node").select("root", "node", "bands", "text")
-    sets = _dealt(members, "root", ["node", "bands", "text"], "node", SET_PART).withColumn("shingles", shingles("text")).drop("text")
-    return sets.mapInPandas(lambda batches: _set_links(batches, similarity), "u long, v long").distinct()
-
-
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -339,7 +233,6 @@ def near_duplicates(
     shingle: int = SHINGLE,
     threshold: int = THRESHOLD,
     keep_text: bool = False,
-    similarity: float | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with its ``fingerprint`` (long), ``component_id``, ``component`` and ``stays``.
 
@@ -349,31 +242,15 @@ def near_duplicates(
     fingerprints are one node, so groups of copies cost nothing after the first. ``component``
     is the least fingerprint of the component, and never null. ``stays`` is true for exactly one
     row of each component, one of its least key. The text itself is returned only with ``keep_text``. Input columns named like an added one are replaced.
-
-    With ``similarity`` rows are linked if the sets of their shingles of ``shingle`` words have
-    that Jaccard similarity, instead of by fingerprints. Links are exact; a pair is missed only
-    if it shares no band of MinHash, see ``BANDS``. ``component`` is then the number of a row.
     """
     rows = drop_clashing(docs, *OUTPUT)
     content = F.col(f"`{text}`").cast("string")
     printed = rows.withColumns({"fingerprint": fingerprints(content, shingle), "__op_row": F.monotonically_increasing_id()})
-    node, number, more = "fingerprint", F.col("node"), []
-    if similarity:
-        node, more = "__op_node", [F.first("__op_bands").alias("bands")]
-        printed = printed.withColumn("__op_set", _sets(content, shingle)).select(
-            "*", F.col("__op_set.node").alias(node), F.col("__op_set.bands").alias("__op_bands")
-        ).drop("__op_set")
-    narrow = materialize(printed if keep_text or similarity else printed.drop(text), "prints")
+    narrow = materialize(printed if keep_text else printed.drop(text), "prints")
     first = F.min(F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`").alias("key"), "__op_row"))  # null keys come last
-    nodes = materialize(narrow.groupBy(F.col(node).alias("node")).agg(first.alias("least"), *more), "nodes")
-    if similarity:
-        texts = narrow.select(F.col("__op_row").alias("node"), content.alias("text"))
-        number = F.col("least.__op_row")  # nodes of components are numbers, whose least is found by hashing
-        links = link_sets(nodes.select(number.alias("node"), "bands"), texts, shingle, similarity)
-    else:
-        links = link_prints(nodes.select(F.col("node").alias("print")), threshold)
-    reached = components(links).withColumnRenamed("node", "number")
-    placed = nodes.select("node", "least", number.alias("number")).join(reached, "number", "left").withColumn("root", F.coalesce("root", "number"))
+    nodes = materialize(narrow.groupBy(F.col("fingerprint").alias("node")).agg(first.alias("least")), "nodes")
+    links = link_prints(nodes.select(F.col("node").alias("print")), threshold)
+    placed = nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = placed.groupBy("root").agg(F.min("least").alias("one"))
     # One component may hold a large share of all nodes.
     labels = salted_join(placed, named, ["root"], spread=["node"], how="inner").select(
@@ -382,7 +259,7 @@ def near_duplicates(
         F.col("root").alias("component"),
         F.col("one.__op_row").alias("__op_one"),
     )
-    return narrow.join(labels, narrow[node] == labels["node"], "left").select(
+    return narrow.join(labels, narrow["fingerprint"] == labels["node"], "left").select(
         *(narrow[f"`{c}`"] for c in rows.columns if keep_text or c != text),
         *OUTPUT[:-1],
         (F.col("__op_row") == F.col("__op_one")).alias("stays"),

@@ -1,14 +1,15 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import corpus_pipeline as cp
 import numpy as np
 import pytest
 from llm_fixtures import edge_docs, no_docs  # noqa: F401
 from pyspark.sql import functions as F
 from test_packing import check_pieces
-from test_suffix_dedup import brute as brute_repeats
 
-from corpusloom.llm import decontamination, quality
+from corpusloom.llm import decontamination, quality, simhash, suffix_dedup
 
 SF = "/root/testdata/sf0.01"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -42,31 +43,63 @@ def test_quality_stage(spark, staged):
     assert set(rows(staged[1])) == want
 
 
-def shingles(text):
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
 def test_near_duplicate_stage(staged):
     before, after = rows(staged[1]), rows(staged[2])
-    sets = {i: shingles(r.text) for i, r in before.items()}
-    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
     ids = sorted(before)
-    close = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if share(a, b) >= 0.8]
-    missed = [(a, b) for a, b in close if a in after and b in after]
-    assert len(close) > 20 and len(missed) <= 0.05 * len(close)
-    gone = set(before) - set(after)
-    assert all(any(share(i, j) >= 0.5 for j in before if j != i) for i in gone)  # no text without a near copy goes
-    texts = [r.text for r in after.values()]
-    assert len(texts) == len(set(texts))
+    prints = np.array([simhash.fingerprint(before[i].text, 4) for i in ids], dtype=np.uint64)
+    near = np.bitwise_count(prints[:, None] ^ prints) <= 4
+    want, left = set(), set(range(len(ids)))
+    while left:
+        group = [min(left)]
+        left -= set(group)
+        want.add(ids[group[0]])
+        while group:
+            found = left & set(np.flatnonzero(near[group.pop()]).tolist())
+            left -= found
+            group += found
+    assert set(after) == want and len(want) < len(ids)
+
+
+def brute_passages(texts, n, unit):
+    """Per text which of its units are inside a run of ``n`` of them that also starts anywhere else."""
+    units = [unit(t) for t in texts]
+    places = Counter(hash(u[i : i + n]) for u in units for i in range(len(u) - n + 1))
+    out = []
+    for u in units:
+        hit = np.zeros(len(u), dtype=bool)
+        for i in range(len(u) - n + 1):
+            if places[hash(u[i : i + n])] > 1:
+                hit[i : i + n] = True
+        out.append(hit)
+    return out
 
 
 def test_repeats_stage(staged):
+    """Passages of 51 words go up to the next word; strings of 400 bytes go where one may hold fewer words."""
     before, after = rows(staged[2]), rows(staged[3])
-    want = brute_repeats([before[i].text for i in sorted(before)])
-    for i, (size, removed, _, _) in zip(sorted(before), want, strict=True):
-        assert size - removed - 8 <= len(after[i].text.encode()) <= size - removed
+    ids = sorted(before)
+    data = [before[i].text.encode() for i in ids]
+    words = brute_passages(data, cp.PASSAGE_WORDS, lambda t: tuple(t.split()))
+    removed = 0
+    wordy = []
+    for text, hit in zip(data, words, strict=True):
+        starts, ends = suffix_dedup.word_ranges(text)
+        low = np.arange(max(0, len(text) - 399))
+        inside = np.searchsorted(ends, low + 400, side="right") - np.searchsorted(starts, low)
+        wordy.append(inside.min(initial=cp.PASSAGE_WORDS) < cp.PASSAGE_WORDS)
+        assert len(hit) == len(starts)
+    strings = dict(zip(np.flatnonzero(wordy).tolist(), brute_passages([data[i] for i in np.flatnonzero(wordy)], 400, bytes), strict=True))
+    for at, (i, text, hit) in enumerate(zip(ids, data, words, strict=True)):
+        starts = np.append(suffix_dedup.word_ranges(text)[0], len(text))
+        gone = strings.get(at, np.zeros(len(text), dtype=bool)).copy()
+        for w in np.flatnonzero(hit):
+            gone[starts[w] : starts[w + 1]] = True
+        runs = np.flatnonzero(np.diff(gone.astype(int), prepend=1, append=1))
+        want = "".join(text[a:b].decode(errors="ignore") for a, b in zip(runs[::2], runs[1::2], strict=True))
+        assert after[i].text == want
         assert after[i].n_chars == len(after[i].text) and after[i].lang == before[i].lang
+        removed += gone.sum()
+    assert removed
 
 
 def test_contamination_stage(spark, staged):

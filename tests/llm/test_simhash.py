@@ -79,55 +79,7 @@ def test_edges(edge_docs, no_docs):
     assert simhash.near_duplicates(no_docs).collect() == []
 
 
-def test_similar_texts_are_confirmed(docs):
-    rng = np.random.default_rng(1)
-    base = [f"w{int(x)}" for x in rng.integers(0, 5000, 400)]
-    close, far = list(base), list(base)
-    for i in range(20, 400, 130):
-        close[i] = f"new{i}"
-    rng.shuffle(far)  # the same words in another order
-    got = simhash.near_duplicates(docs(*(" ".join(t) for t in (base, close, far))), similarity=0.8).collect()
-    assert {r.doc_id: r.component_id for r in got} == {0: 0, 1: 0, 2: 2}
-
-
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "u long, v long")
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
-
-
-@pytest.mark.parametrize(("length", "vocabulary"), [(60, 10**9), (150, 10**9), (600, 10**9), (60, 50), (150, 50), (600, 50)])
-def test_pairs_of_just_the_similarity_share_a_band(length, vocabulary):
-    rng = np.random.default_rng(length)
-    pairs, met = 0, 0
-    for _ in range(150):
-        base = [f"w{x}" for x in rng.integers(0, vocabulary, length)]
-        edited = list(base)
-        for i in range(length // 9, length - 5, length // max(1, length // 50)):
-            edited[i] = "edited" + edited[i]
-        a, b = (simhash.shingle_set(" ".join(t), 5) for t in (base, edited))
-        share = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        assert simhash._similar(a, b, 0.8) == (share >= 0.8)
-        if share >= 0.8:
-            pairs, met = pairs + 1, met + bool(set(simhash.bands(a)) & set(simhash.bands(b)))
-    assert pairs > 100 and met == pairs
-
-
-@pytest.mark.parametrize("part", [2, simhash.SET_PART])
-def test_similar_texts_of_distinct_words(docs, monkeypatch, part):
-    monkeypatch.setattr(simhash, "SET_PART", part)
-    rng = np.random.default_rng(6)
-    texts, shares = [], []
-    for n in range(24):
-        base = [f"w{x}" for x in rng.integers(0, 10**9, 150)]
-        edited = list(base)
-        for i in range(20, 20 + 40 * (2 + n % 4), 40)[:3 + n % 2]:
-            edited[i] = f"edited{i}"
-        texts += [" ".join(base), " ".join(edited)]
-    sets = [simhash.shingle_set(t, 5) for t in texts]
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(*texts), similarity=0.8).collect()}
-    for i in range(0, len(texts), 2):
-        share = len(np.intersect1d(sets[i], sets[i + 1])) / len(np.union1d(sets[i], sets[i + 1]))
-        shares.append(share)
-        assert (got[i] == got[i + 1]) == (share >= 0.8) and got[i] == i
-    assert min(shares) < 0.8 <= max(shares)
