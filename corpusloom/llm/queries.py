@@ -99,7 +99,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats of 400 bytes leave of all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "kept_text"
     )
 
 

@@ -5,11 +5,11 @@ suffix of the corpus would move each byte hundreds of times, so suffixes are tak
 anchors: in each string of ``LENGTH`` bytes the leftmost ``GRAM``-byte string of least hash.
 Equal strings have their anchor at the same place, so every repeat is found among suffixes
 of anchors that recur. Those are range-partitioned at sampled splitters over their leading
-``GRAM`` bytes, sorted in their bucket by multikey quicksort, and compared with all suffixes
-of the same leading bytes, to the left and right of the anchor. Splitters are leading bytes,
-so suffixes on two sides of a boundary differ within them and share no repeat. An anchor
-whose leading bytes are too common for one bucket is compared by hashes of its strings
-instead, dealt over all tasks.
+``GRAM`` bytes and sorted in their bucket by multikey quicksort. Splitters are leading bytes,
+so suffixes on two sides of a boundary differ within them and share no repeat. Repeats are read
+off the sorted order: runs of neighbours that agree far enough to the right, and in a second
+order, of what stands before the anchors, far enough to the left. An anchor whose leading bytes
+are too common for one bucket is compared by hashes of its strings instead, dealt over all tasks.
 
 Anchors with equal surroundings are one class: its members are repeats of each other as a
 whole, and one stands for all in the comparison with the rest.
@@ -64,6 +64,8 @@ HOT_ROWS = 32768
 #: Strings that start in this many bytes are searched for anchors at a time.
 SEGMENT = 1 << 20
 SMALL = 32
+#: How many ways the classes of one gram are split.
+GRAM_SALTS = 32
 OUTPUT = ("n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 
 _RANDOM = np.random.default_rng(20250101)
@@ -257,29 +259,50 @@ def _strings(data: np.ndarray, left: np.ndarray, right: np.ndarray, unit: Unit)
                 now[i] = _value(i, data[:, reach - 1 - d]) + np.uint64(_BASE[i]) * (now[i] - gone)
 
 
+def _sorted(units: np.ndarray) -> np.ndarray:
+    """The order of rows of units, by multikey quicksort on eight bytes at a time."""
+    raw = np.ascontiguousarray(units).view(np.uint8).reshape(len(units), -1)
+    if units.dtype.itemsize == 8:
+        return multikey_quicksort(units)
+    return multikey_quicksort(np.pad(raw, ((0, 0), (0, -raw.shape[1] % 8))).view(">u8").astype(np.uint64))
+
+
+def _common(rows: np.ndarray) -> np.ndarray:
+    """How many leading units each row shares with the one before it."""
+    same = rows[1:] == rows[:-1]
+    out = np.zeros(len(rows), dtype=np.int64)
+    out[1:] = np.where(same.all(axis=1), rows.shape[1], same.argmin(axis=1)) if rows.shape[1] else 0
+    return out
+
+
 def _repeats(frame: pd.DataFrame, unit: Unit) -> pd.DataFrame:
-    """Starts of repeated strings around the open anchors of one bucket, as ranges."""
+    """Starts of repeated strings around the open anchors of one bucket, as ranges.
+
+    Suffixes are sorted to the right of their anchors, and what stands before the anchors is sorted
+    backwards. Rows that agree in so many units to one side stand together in that order, between
+    neighbours that have less in common. A string that starts ``d`` units before its anchor recurs if
+    another row is in the same run on both sides: for ``length - d`` units and for ``d``.
+    """
     data, left, right = _aligned(frame, unit)
-    words = np.ascontiguousarray(data[:, unit.reach :]).view(">u8").astype(np.uint64)
-    order = multikey_quicksort(words)
-    lead = words[order, : unit.gram * unit.width // 8]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = (lead[1:] != lead[:-1]).any(axis=1)
-    group = np.cumsum(new) - 1
-    shared = np.bincount(group)[group] > 1
-    order, group = order[shared], group[shared].astype(np.uint64)
+    order = _sorted(data[:, unit.reach :])
+    joined = _common(data[order, unit.reach :]) >= unit.gram
+    order = order[joined | np.append(joined[1:], False)]  # the others share no leading units with any
     data, left, right = data[order], left[order], right[order]
+    after, before = _common(data[:, unit.reach :]), np.ascontiguousarray(data[:, : unit.reach][:, ::-1])
+    backwards = _sorted(before)
+    common_before = _common(before[backwards])
     repeated = np.zeros((len(order), unit.reach + 2), dtype=bool)
-    for d, valid, (h1, h2) in _strings(data, left, right, unit):
-        rows = np.flatnonzero(valid)
-        mixed = h1[rows] ^ _mixed(group[rows] + _ONE)
-        by = np.argsort(mixed, kind="stable")
-        rows, mixed, second = rows[by], mixed[by], h2[rows[by]]
-        same = (mixed[1:] == mixed[:-1]) & (second[1:] == second[:-1])
+    run_before = np.zeros(len(order), dtype=np.int64)
+    for d in range(unit.reach + 1):
+        run_before[backwards] = np.cumsum(common_before < d)
+        rows = np.flatnonzero((left >= d) & (right >= unit.length - d))
+        run = np.cumsum(after < unit.length - d)[rows] * (len(order) + 1) + run_before[rows]
+        by = np.argsort(run, kind="stable")
+        same = run[by][1:] == run[by][:-1]
         hit = np.zeros(len(rows), dtype=bool)
         hit[1:] |= same
         hit[:-1] |= same
-        repeated[rows[hit], d] = True
+        repeated[rows[by[hit]], d] = True
     repeated &= frame["open"].to_numpy()[order][:, None]
     edges = np.diff(repeated.astype(np.int8), axis=1, prepend=0)
     row, first = np.nonzero(edges == 1)
@@ -393,7 +416,7 @@ def repeated_spans(
     )
     contested = classes.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     wanted = (
-        classes.join(contested, "gram")
+        salted_join(classes, contested, ["gram"], spread=["one"], how="inner", salts=GRAM_SALTS)
         .select("one.id", F.struct(F.col("one.place").alias("place"), (F.col("members") == 1).alias("open"), (F.col("n") > hot_rows).alias("hot")).alias("w"))
         .groupBy("id")
         .agg(F.collect_list("w").alias("wanted"))
