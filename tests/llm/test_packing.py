@@ -42,11 +42,11 @@ def check_pieces(rows, texts):
         assert filled[-1] <= 1024 and filled[-1].bit_count() == 1
 
 
-@pytest.mark.parametrize("open_windows", [0, 3, 4096])
-def test_round_trip(spark, open_windows):
+@pytest.mark.parametrize("cut", [0, packing.CUT, 10**9])
+def test_round_trip(spark, cut):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     texts = {r.doc_id: r.text for r in documents.collect()}
-    check_pieces(packing.pack(documents, VOCABULARY, open_windows=open_windows).collect(), texts)
+    check_pieces(packing.pack(documents, VOCABULARY, cut=cut).collect(), texts)
 
 
 def test_query(spark):
@@ -72,11 +72,11 @@ def test_ids_are_those_of_the_tokenizer(text):
 
 def test_least_sum_of_squares():
     rng = np.random.default_rng(6)
-    packer = packing.Packer(32, 10_000)
+    packer = packing.Packer(32, 10**9)
     for i in range(800):
         size = int(rng.integers(1, 32))
         before = packer.counts.copy()
-        level = packer.level_for(size)
+        level, growth = packer.level_for(size)
         assert level == 0 or before[level] > 0
 
         def total(at, before=before, size=size):
@@ -86,5 +86,29 @@ def test_least_sum_of_squares():
             return int((after**2).sum())
 
         options = [at for at in range(32 - size + 1) if at == 0 or before[at] > 0]
-        assert total(level) == min(map(total, options))
+        assert total(level) == min(map(total, options)) == int((before**2).sum()) + growth
         list(packer.add(i, array("I", [1] * size)))
+
+
+def test_the_rule_places_nearly_all_pieces(spark):
+    """One task with all documents of a larger table: few pieces are moved at the end."""
+    encoding = packing.load_encoding(VOCABULARY)
+    packer, pieces = packing.Packer(packing.WINDOW, packing.CUT), 0
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect():
+        ids = array("I", [*encoding.encode(r.text or "", allowed_special="all"), 0])
+        pieces += sum(map(len, packer.add(r.doc_id, ids)))
+    pieces += sum(map(len, packer.finish()))
+    assert packer.moved < 0.05 * pieces and packer.placed > 0.9 * pieces
+
+
+@pytest.mark.parametrize("sizes", [[600], [600, 601, 602], [513], [1023], list(range(500, 1024))])
+def test_windows_stay_few_whatever_the_sizes(sizes):
+    """Documents that never fit together: they are cut rather than left in windows of their own."""
+    packer, windows = packing.Packer(1024, packing.CUT), []
+    for i in range(6000):
+        windows += packer.add(i, array("I", [1] * sizes[i % len(sizes)]))
+        assert packer.counts.max() <= packing.CUT + 2
+    assert packer.counts.sum() < 2500
+    windows += packer.finish()
+    total = sum(sizes[i % len(sizes)] for i in range(6000))
+    assert sum(len(p[2]) for w in windows for p in w) == total and len(windows) <= total // 1024 + 11
