@@ -39,12 +39,13 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "body": {"head"},
 }
+#: What stands in a tag after its name: quotes open a string only right after ``=``, elsewhere they are characters.
+ATTRIBUTES = r"""(?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?)?|=)*+"""
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-    r"|<[!?/][^>]*(?:>|\Z)"
-    r"|<(?P<odd>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)",
+    rf"|<(?P<raw>script|style|template)\b{ATTRIBUTES}(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>{ATTRIBUTES})(?:>|\Z)"
+    r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)

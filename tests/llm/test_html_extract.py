@@ -78,3 +78,23 @@ def test_edges(spark, model):
     assert next(r.n_chars for r in got if r.page_id == 2) == 20_000 * 21 + 19_999 * 2 - 20_000 * 21 + 20_000 * 20
     assert html_extract.extract(pages.limit(0), model).collect() == []
     assert html_extract.train(spark.createDataFrame([], "html string, main array<string>")).label(html_extract.leaf_blocks("<p>a</p>"), {}) == [0]
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<p class=a">Hello one</p><p class=b">Hello two</p><p>three</p>', ["Hello one", "Hello two", "three"]),
+        ("<td width=5'>Main one</td><td width=6'>Main two</td>", ["Main one", "Main two"]),
+        ("<p title=\"a > b\" class='x>y'>one</p><p a= \"q>\" b =c d>two</p>", ["one", "two"]),
+        ("<p title=it's>one</p><p data-x=5\">two's</p><p =>three</p>", ["one", "two's", "three"]),
+        ('<script src="a>b">no</script><script data=x">no</script><p/ id=m/>yes</p>', ["yes"]),
+        ('<p class="open>one</p><p>two</p>', ["one", "two"]),
+    ],
+)
+def test_quotes_open_strings_only_after_equals_signs(page, want):
+    assert [b.text for b in html_extract.leaf_blocks(page)] == want
+
+
+def test_long_broken_tags_take_no_long_time():
+    for page in ('<p ' + 'a="' * 60_000, "<p" + " a=b" * 60_000, "<" * 60_000, "<a " * 30_000, "<p " + "='" * 60_000):
+        html_extract.leaf_blocks(page)
