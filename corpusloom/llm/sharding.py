@@ -51,14 +51,15 @@ def shuffle_into_shards(
     )
     # At most n_shards rows reach the driver.
     held = {r.shard: r.bytes for r in placed.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()}
-    buckets = F.array(*(F.lit(max(1, -(-held.get(i, 0) // bucket_bytes))) for i in range(n_shards)))
+    n_buckets = [max(1, -(-held.get(i, 0) // bucket_bytes)) for i in range(n_shards)]
+    buckets = F.array(*map(F.lit, n_buckets))
     scattered = placed.select(
         "row",
         "shard",
         F.pmod(
             F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.element_at(buckets, F.col("shard") + 1)
         ).alias("bucket"),
-    ).repartition("shard", "bucket")
+    ).repartition(sum(n_buckets), "shard", "bucket")  # a task holds few buckets
     shuffled = (
         scattered.groupBy("shard", "bucket")
         .agg(F.collect_list("row").alias("held"))

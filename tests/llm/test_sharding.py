@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import struct
+import zlib
 from collections import Counter, defaultdict
 
+import xxhash
 from llm_fixtures import SF, edge_docs, no_docs  # noqa: F401
 
 from corpusloom.llm import sharding
@@ -48,3 +51,22 @@ def test_hot_key_is_scattered(spark):
 def test_write(spark, tmp_path):
     sharding.write_shards(QUERIES["op8_sharding"](spark, SF), str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+def weight(seed, shard, key):
+    """The hash that one shard has with a key: a chain over the numbers' bytes."""
+    h = 42
+    for value, form in ((seed, "<i"), (shard, "<i"), (key, "<q")):
+        h = xxhash.xxh64_intdigest(struct.pack(form, value), h)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_query_columns(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op8_sharding"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs) and _slots_are_gapless(rows)
+    for r in rows:
+        data = (docs[r.doc_id] or "").encode()
+        weights = [weight(42, i, r.doc_id) for i in range(9)]
+        assert (r["size"], r.text_crc32, r.law) == (len(data) + 1, zlib.crc32(data), "key")
+        assert r.shard == weights.index(max(weights[:8])) and r.grown_shard == weights.index(max(weights))
