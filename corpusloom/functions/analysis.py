@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusloom.functions.wordbreak import GAP, HAN, HIRAGANA, KATAKANA, WORD, settle_marks
+
 # The customary English stop words of the "stop" analyzer.
 ENGLISH_STOP_WORDS = (
     "a an and are as at be but by for if in into is it no not of on or such that the their "
@@ -37,11 +39,6 @@ HALF_SEMI_VOICED_MARK = "ﾟ"
 FULL_WIDTH_ASCII = "".join(chr(0xFF01 + i) for i in range(94))
 ASCII = "".join(chr(0x21 + i) for i in range(94))
 
-# Character ranges of the Japanese scripts. Ranges, as looking up the script of
-# every character is slow.
-HAN = r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{323AF}々〇"
-HIRAGANA = r"\x{3041}-\x{3096}\x{309D}-\x{309F}"
-KATAKANA = r"\x{30A1}-\x{30FA}\x{30FC}-\x{30FF}\x{31F0}-\x{31FF}\x{FF66}-\x{FF9F}"
 CJK = f"[{HAN}{HIRAGANA}{KATAKANA}]"
 OTHER_WORD = rf"[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}{KATAKANA}]]+"
 
@@ -101,11 +98,8 @@ def tok_pattern(text: Column) -> Column:
 
 
 def tok_standard(text: Column) -> Column:
-    """Runs of letters and digits, lower-cased; each Han or Hiragana character alone.
-
-    Near the Unicode word-break rules: apostrophes and dots inside a word split it here.
-    """
-    return _matches(lower_text(text), rf"[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}]]+|[{HAN}{HIRAGANA}]")
+    """Words by the Unicode rules, lower-cased: ``can't`` and ``3.14`` are one token; see ``wordbreak``."""
+    return _matches(settle_marks(lower_text(text)), WORD)
 
 
 #: Analyzers that cut the text into tokens and what lies between: the case folding, a token, a
@@ -116,12 +110,7 @@ RUNS = {
     "stop": (lower_text, r"\p{L}+", r"[^\p{L}]+", ENGLISH_STOP_WORDS),
     "keyword": (lambda text: text, r"(?s:.+)", r"(?!)", ()),
     "pattern": (lower_text, r"[a-z0-9_]+", r"[^a-z0-9_]+", ()),
-    "standard": (
-        lower_text,
-        rf"(?:[\p{{L}}\p{{N}}&&[^{HAN}{HIRAGANA}]]+|[{HAN}{HIRAGANA}])",
-        rf"[^\p{{L}}\p{{N}}{HAN}{HIRAGANA}]+",
-        (),
-    ),
+    "standard": (lambda text: settle_marks(lower_text(text)), WORD, GAP, ()),
 }
 
 

@@ -12,11 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import TAXONOMY_RULE
+from corpusloom.session import materialize, salted_join
 
 # Names given to a page that no rule matches.
 OTHER = "その他"
 UNCLASSIFIED = "未分類"
 
+#: Characters of the longest gram by which keywords are found.
+GRAM = 3
+
 _RULE = "struct<rule_ord:int,l1:string,l2:string,keywords:array<string>>"
 
 
@@ -79,3 +83,87 @@ def classify_taxonomy(articles: DataFrame, rules: DataFrame) -> DataFrame:
         .withColumn("taxonomy_l3", level3)
         .drop("_corpus", "_rules", "_rule", "_matched")
     )
+
+
+def _grams(text: Column, sizes: Column) -> Column:
+    """The distinct substrings of a text that have one of the ``sizes``."""
+    of_size = lambda n: F.when(
+        F.char_length(text) >= n,
+        F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda at: F.substring(text, at, n)),
+    ).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
+
+
+def keyword_matches(texts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """``(text, keyword)`` for every keyword that a text holds, without trying each keyword on each text.
+
+    ``texts`` has distinct ``text``, ``keywords`` distinct ``keyword`` of at least one character. Each
+    keyword is indexed under that of its grams which the fewest texts hold; a keyword with a gram
+    that no text holds is out at once. Texts meet the keywords of the grams they hold, and only
+    then are searched.
+    """
+    size = F.least(F.char_length("keyword"), F.lit(GRAM))
+    sizes = keywords.agg(F.collect_set(size).alias("sizes")).select("sizes").scalar()
+    of_texts = materialize(
+        texts.withColumn("sizes", sizes).select("text", F.explode(_grams(F.col("text"), F.coalesce("sizes", F.array()))).alias("gram")), "grams"
+    )
+    of_keywords = materialize(keywords.select("keyword", F.explode(_grams(F.col("keyword"), F.array(size))).alias("gram")), "keyword-grams")
+    held = of_texts.groupBy("gram").agg(F.count("*").alias("texts"))
+    ranked = of_keywords.join(held, "gram", "left").groupBy("keyword").agg(
+        F.min(F.struct("texts", "gram")).alias("rarest"), F.bool_and(F.col("texts").isNotNull()).alias("possible")
+    )
+    index = ranked.filter("possible").select("keyword", F.col("rarest.gram").alias("gram"))
+    # Even the rarest gram of some keyword may be in a large share of all texts.
+    met = salted_join(of_texts, index, ["gram"], spread=["text"], how="inner")
+    return met.filter(F.contains("text", "keyword")).select("text", "keyword")
+
+
+def classify_by_index(articles: DataFrame, rules: DataFrame, key: str = "page_id") -> DataFrame:
+    """The same rows as ``classify_taxonomy``, for rule tables of very many keywords; ``key`` must be unique.
+
+    Titles and category names repeat, so keywords are looked up once per distinct name. A keyword
+    without a space that stands in the searched text stands in one name of it; only keywords with
+    a space are also looked up in the whole text. Neither rules nor matches are gathered.
+    """
+    rule = F.struct(F.col("rule_ord").cast("int").alias("rule_ord"), "l1", "l2").alias("rule")
+    words = materialize(rules.filter(F.col("keyword").isNotNull()).select(rule, "keyword").distinct(), "keywords")
+    ever = lambda condition: F.coalesce(words.agg(F.max(condition).alias("ever")).select("ever").scalar(), F.lit(False))
+    empty = ever(F.col("keyword") == "")
+    # Names are joined by spaces; the empty keyword is in every text, that without names too.
+    wide = ever(F.contains("keyword", F.lit(" ")) | (F.col("keyword") == ""))
+    part = lambda kind, pos, text: F.struct(F.lit(kind).alias("kind"), pos.alias("pos"), text.alias("text"))
+    listed = lambda kind, names: F.coalesce(F.transform(names, lambda n, i: part(kind, i, n)), F.array())
+    whole = F.array(part(3, F.lit(0), F.concat_ws(" ", "title", "categories_all")))
+    every = F.concat(
+        F.array(part(0, F.lit(0), F.col("title"))),
+        listed(1, F.col("categories_direct")),
+        listed(2, F.col("categories_all")),
+        F.when(wide, whole).otherwise(F.array()),
+    )
+    names = materialize(
+        articles.select(F.col(key).alias("key"), F.explode(every).alias("n")).select("key", "n.*").filter(F.col("text").isNotNull()), "names"
+    )
+    texts = names.select("text").distinct()
+    matches = keyword_matches(texts, words.select("keyword").filter("keyword <> ''").distinct())
+    with_empty = matches.unionByName(texts.filter(empty).select("text", F.lit("").alias("keyword")))
+    found = materialize(with_empty.join(words, "keyword"), "matches")
+    # A category may belong to a large share of all pages.
+    of_text = found.groupBy("text").agg(F.min("rule").alias("rule"))
+    first = salted_join(names.filter("kind <> 1"), of_text, ["text"], spread=["key"], how="inner")
+    ruled = materialize(first.groupBy("key").agg(F.min("rule").alias("rule")), "page-rules")
+    hits = materialize(salted_join(names.join(ruled, "key"), found, ["text", "rule"], spread=["key"], how="inner"), "hits")
+    matched = hits.filter("kind <> 1").select("key", "keyword").distinct()
+    third = (
+        hits.filter("kind in (1, 2)")
+        .join(matched, ["key", "keyword"], "left_semi")
+        .groupBy("key")
+        .agg(F.min_by("text", F.struct("kind", "pos")).alias("name"))
+    )
+    joined = articles.join(ruled.withColumnRenamed("key", key), key, "left").join(third.withColumnRenamed("key", key), key, "left")
+    level3 = F.coalesce("name", F.try_element_at("categories_direct", F.lit(1)), "rule.l2", F.lit(UNCLASSIFIED))
+    return joined.select(
+        *(F.col(f"`{c}`") for c in articles.columns),
+        F.coalesce("rule.l1", F.lit(OTHER)).alias("taxonomy_l1"),
+        F.coalesce("rule.l2", F.lit(UNCLASSIFIED)).alias("taxonomy_l2"),
+        level3.alias("taxonomy_l3"),
+    )

@@ -47,6 +47,21 @@ FIXTURES = {
     "fx_rules": """
         SELECT * FROM (VALUES (0,'A','a1','src1'),(0,'A','a1','src2'),(1,'A','a2','src5 fr'),(1,'A','a2','src5 es'),
           (2,'B','b1','src7'),(2,'B','b1','src8'),(3,'B','b2','src9 '),(4,'C','c1','doc/9')) AS t(rule_ord, l1, l2, keyword)""",
+    # Articles named by the first words of their text, and very many keywords cut out of all texts.
+    "fx_named": """
+        SELECT doc_id AS page_id, substr(text, 1, 60) AS title, concat(source, '|', source, ' ', lang) AS direct,
+          concat(source, '|', source, ' ', lang, '|', substr(text, 61, 30), '|', lang) AS everything FROM documents""",
+    "fx_keywords": """
+        SELECT CAST(min(doc_id % 97) AS INT) AS rule_ord, concat('L', CAST(min(doc_id % 97) % 7 AS STRING)) AS l1,
+          concat('M', CAST(min(doc_id % 97) AS STRING)) AS l2, keyword
+        FROM (SELECT doc_id, substr(text, o, n) AS keyword FROM documents
+          JOIN (VALUES (3, 7),(11, 8),(25, 7),(60, 9),(90, 8),(120, 7),(150, 8),(200, 7),(260, 8),(320, 9)) AS t(o, n) ON length(text) > o + n) AS cut
+        GROUP BY keyword""",
+    # Texts with marks inside words and numbers, and words of several scripts joined by connectors.
+    "fx_marked": """
+        SELECT doc_id, concat(replace(replace(replace(text, 's ', '''s '), 'e ', 'e.'), 'n ', 'n:'), ' can''t ', CAST(n_chars AS STRING), '.14,5 ',
+          lang, '_カタカナabc', source, ' 3.', CAST(doc_id AS STRING), ',x _', lang, '_ __ 12:30 a.1 "', source, '" カ_') AS text
+        FROM documents""",
     "fx_facets": """
         SELECT p_partkey AS page_id, p_name AS title, p_type AS taxonomy_l1, p_brand AS taxonomy_l2,
           concat(p_brand, '/', CAST(p_size AS STRING)) AS taxonomy_l3 FROM part""",
@@ -81,7 +96,29 @@ FIXTURES = {
     "fx_item_judgements": """
         SELECT 'w0' AS workspace_id, CAST(b.item_id AS STRING) AS scenario_id, 'documents' AS idx, l.doc_id AS doc_id,
           2 * l.quality + (1 - l.toxic) AS rating
-        FROM labels l JOIN benchmark b ON b.item_id = l.doc_id % 40""",
+        FROM (SELECT *, doc_id % (SELECT count(*) FROM benchmark) AS place FROM labels) AS l JOIN benchmark b ON b.item_id = l.place""",
+    # Ratings over time: every event rates a document, errors take the rating back.
+    "fx_rating_history": """
+        SELECT 'w0' AS workspace_id, d.lang AS scenario_id, 'documents' AS idx, d.doc_id AS doc_id, e.ts AS rated_at, e.event_id AS seq,
+          CASE WHEN e.event_type = 'error' THEN NULL ELSE CAST(floor(e.value) AS INT) % 4 END AS rating
+        FROM (SELECT *, event_id % (SELECT count(*) FROM documents) AS place FROM events) AS e JOIN documents d ON d.doc_id = e.place""",
+    # Hits of evaluations, at the time of each.
+    "fx_timed_hits": """
+        SELECT 'w0' AS workspace_id, e.event_type AS strategy_id, e.event_id AS evaluation_id, d.lang AS scenario_id, 'documents' AS idx,
+          d.doc_id AS doc_id, e.ts AS created_at
+        FROM (SELECT *, (7 * event_id + 3) % (SELECT count(*) FROM documents) AS place FROM events) AS e
+        JOIN documents d ON d.doc_id = e.place""",
+    # Corrected documents: good ones have their text twice.
+    "fx_corrected": """
+        SELECT d.doc_id AS doc_id, concat(d.text, ' ', d.text) AS text FROM documents d JOIN labels l ON l.doc_id = d.doc_id
+        WHERE l.quality = 1 AND l.toxic = 0""",
+    "fx_withdrawn": "SELECT doc_id FROM labels WHERE toxic = 1",
+    "fx_added": "SELECT 900000000 + page_id AS doc_id, concat(url, ' ', html) AS text FROM pages",
+    # Six files of events: one slice of time each, an eighth of the slice before again, and a tenth of the one three before.
+    "fx_event_files": """
+        SELECT event_id, ts, user_id, slice + again AS file FROM (
+          SELECT event_id, date_trunc('MILLISECOND', ts) AS ts, user_id, CAST(floor(6 * event_id / (SELECT count(*) FROM events)) AS INT) AS slice FROM events) AS s
+        JOIN (VALUES (0, 1, 0), (1, 8, 3), (3, 10, 1)) AS t(again, parts, part) ON event_id % parts = part AND slice + again < 6""",
     # One scenario per conversation turn; only users give the turn as a parameter, and system turns give none.
     "fx_scenarios": """
         SELECT concat('w', CAST(conv_id % 2 AS STRING)) AS workspace_id,

@@ -7,6 +7,8 @@ character classes are spelled out, hierarchies are plain joins.
 from __future__ import annotations
 
 from corpusloom.functions import analysis as an
+from corpusloom.functions import wordbreak as wb
+from corpusloom.operators import collocations, comparison, segmentation
 from corpusloom.operators.search import B, K1
 from corpusloom.plans.fixtures import with_fixtures
 from corpusloom.plans.queries import K, MAX_RATING, NOW
@@ -191,6 +193,21 @@ _TAX = """,
         coalesce(i.name, f.name, l2, '未分類') AS taxonomy_l3
       FROM art LEFT JOIN rule USING (page_id) LEFT JOIN in_list i USING (page_id) LEFT JOIN first_direct f USING (page_id))"""
 ORACLES["classify_taxonomy"] = _hier(_TAX + " SELECT page_id, taxonomy_l1, taxonomy_l2, taxonomy_l3 FROM classified", "fx_rules")
+ORACLES["classify_by_index"] = ORACLES["classify_taxonomy"]
+ORACLES["classify_many_keywords"] = with_fixtures(
+    """WITH art AS (SELECT page_id, title, string_split(direct, '|') AS direct, string_split(everything, '|') AS everything FROM fx_named),
+      corpus AS (SELECT page_id, concat_ws(' ', title, array_to_string(everything, ' ')) AS corpus FROM art),
+      found AS (SELECT page_id, rule_ord, l1, l2, keyword FROM corpus, fx_keywords WHERE contains(corpus, keyword)),
+      hit AS (SELECT * FROM found WHERE (page_id, rule_ord) IN (SELECT (page_id, min(rule_ord)) FROM found GROUP BY page_id)),
+      names AS (SELECT page_id, unnest(direct) AS name, generate_subscripts(direct, 1) AS place FROM art
+        UNION ALL SELECT page_id, unnest(everything), 1000 + generate_subscripts(everything, 1) FROM art),
+      third AS (SELECT page_id, arg_min(name, place) AS name FROM names JOIN hit USING (page_id) WHERE contains(name, keyword) GROUP BY page_id),
+      rule AS (SELECT DISTINCT page_id, l1, l2 FROM hit)
+    SELECT page_id, coalesce(l1, 'その他') AS taxonomy_l1, coalesce(l2, '未分類') AS taxonomy_l2, coalesce(name, direct[1]) AS taxonomy_l3
+    FROM art LEFT JOIN rule USING (page_id) LEFT JOIN third USING (page_id)""",
+    "fx_named",
+    "fx_keywords",
+)
 ORACLES["build_articles"] = _hier(
     _TAX
     + f""" SELECT c.page_id, c.title, body, {_URL.format('c.title')} AS url, categories_all,
@@ -314,6 +331,17 @@ ORACLES["pack_requests"] = with_fixtures(
     SELECT page_id, printf('%08d-%06d', bucket, part) AS part_no, request FROM p""",
     "fx_corpus",
 )
+ORACLES["pack_requests_uncapped"] = with_fixtures(
+    """WITH RECURSIVE s AS (SELECT page_id, strlen(body) AS bytes, page_id // 300 AS bucket,
+        row_number() OVER (PARTITION BY page_id // 300 ORDER BY page_id) AS i FROM fx_corpus),
+      p AS (SELECT page_id, bucket, i, CAST(0 AS BIGINT) AS request, CAST(bytes AS BIGINT) AS asked FROM s WHERE i = 1
+        UNION ALL
+        SELECT s.page_id, s.bucket, s.i, CASE WHEN p.asked + s.bytes > 9000 THEN p.request + 1 ELSE p.request END,
+          CASE WHEN p.asked + s.bytes > 9000 THEN s.bytes ELSE p.asked + s.bytes END
+        FROM p JOIN s ON s.bucket = p.bucket AND s.i = p.i + 1)
+    SELECT page_id, bucket, request FROM p""",
+    "fx_corpus",
+)
 ORACLES["reject_bulk_ndjson"] = with_fixtures(
     """SELECT problem, count(*) AS n, CAST(sum(CASE WHEN problem = '' THEN length(body) ELSE 0 END) AS BIGINT) AS chars
     FROM (SELECT body, CASE page_id % 5 WHEN 2 THEN 'the action names no document id'
@@ -396,8 +424,23 @@ ORACLES["tok_simple"] = _tokens(_SIMPLE)
 ORACLES["tok_stop"] = _tokens(f"list_filter({_SIMPLE}, lambda w: w NOT IN ({_quoted(an.ENGLISH_STOP_WORDS)}))")
 ORACLES["tok_keyword"] = _tokens("CASE WHEN text = '' THEN [] ELSE [text] END")
 ORACLES["tok_pattern"] = _tokens("regexp_extract_all(lower(text), '[a-z0-9_]+')")
-_ALONE = r"regexp_replace(lower(text), '([\p{Han}\p{Hiragana}])', ' \1 ', 'g')"
-ORACLES["tok_standard"] = _tokens(rf"regexp_extract_all({_ALONE}, '[\p{{L}}\p{{N}}]+')", "fx_ja")
+#: The word-break rules as a grammar: letters joined by marks between letters, digits by marks between digits.
+_MARKED_LETTERS = r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Nl}]"
+
+
+def _word_grammar() -> str:
+    letter, extend = _MARKED_LETTERS, f"[{wb.EXTEND}]"
+    letters, digits = rf"{letter}(?:{letter}|{extend})*", rf"[{wb.NUMERIC}][{wb.NUMERIC}{wb.EXTEND}]*"
+    between_letters, between_digits = f"[{wb.MID_LETTER}{wb.MID_NUM_LET}]{extend}*", f"[{wb.MID_NUM}{wb.MID_NUM_LET}]{extend}*"
+    plain = f"(?:{letters}(?:{between_letters}{letters})*|{digits}(?:{between_digits}{digits})*)+"
+    core = f"(?:{plain}|[{wb.KANA}][{wb.KANA}{wb.EXTEND}]*)"
+    joint = f"[{wb.EXTEND_NUM_LET}]{extend}*"
+    return f"(?:{joint})*{core}(?:(?:{joint})+{core})*(?:{joint})*|[{wb.HAN}{wb.HIRAGANA}]{extend}*".replace("'", "''")
+
+
+_WORD = _word_grammar()
+ORACLES["tok_standard"] = _tokens(f"regexp_extract_all(lower(text), '{_WORD}')", "fx_ja")
+ORACLES["tok_standard_marks"] = _tokens(f"regexp_extract_all(lower(text), '{_WORD}')", "fx_marked")
 _BIGRAMS = rf"""flatten(list_transform(regexp_extract_all(text, '{CJK}+|[\p{{Latin}}\p{{N}}]+'),
     lambda run: CASE WHEN regexp_full_match(run, '{CJK}{{2,}}')
       THEN list_transform(range(1, length(run)), lambda i: substr(run, i, 2)) ELSE [run] END))"""
@@ -438,16 +481,9 @@ _TOKEN_ROWS = r"""runs AS (SELECT doc_id, unnest(m) AS piece, generate_subscript
     ends AS (SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY run) AS BIGINT) AS end_offset FROM runs),
     toks AS (SELECT doc_id, piece AS token, row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS position,
         end_offset - length(piece) AS start_offset, end_offset
-      FROM ends WHERE NOT regexp_matches(piece, '^\s')),
-    spanned AS (SELECT *, CASE WHEN length(token) > 8 THEN 2 ELSE 1 END AS span FROM toks)"""
+      FROM ends WHERE NOT regexp_matches(piece, '^\s'))"""
 ORACLES["token_table"] = f"""WITH {_TOKEN_ROWS}
     SELECT doc_id, token, position, 1 AS position_length, start_offset, end_offset, 'word' AS type FROM toks"""
-ORACLES["token_graph_nodes"] = f"""WITH {_TOKEN_ROWS},
-    nodes AS (SELECT doc_id, position AS node FROM spanned UNION SELECT doc_id, position + span FROM spanned)
-    SELECT doc_id, node, row_number() OVER (PARTITION BY doc_id ORDER BY node) - 1 AS index FROM nodes"""
-ORACLES["token_graph_edges"] = f"""WITH {_TOKEN_ROWS}
-    SELECT doc_id, token, position AS src, position + span AS dst, span, span > 1 AS is_multi,
-      row_number() OVER (PARTITION BY doc_id, position, position + span ORDER BY start_offset) - 1 AS parallel FROM spanned"""
 
 
 def _token_table(token: str, gap: str, source: str = "documents", fold: str = "lower(text)", dropped: list[str] = (), graph: bool = False) -> str:
@@ -469,9 +505,100 @@ ORACLES["token_table_simple"] = _token_table(r"\p{L}+", r"[^\p{L}]+")
 ORACLES["token_table_stop"] = _token_table(r"\p{L}+", r"[^\p{L}]+", dropped=an.ENGLISH_STOP_WORDS)
 ORACLES["token_graph_stop"] = _token_table(r"\p{L}+", r"[^\p{L}]+", dropped=an.ENGLISH_STOP_WORDS, graph=True)
 ORACLES["token_table_pattern"] = _token_table("[a-z0-9_]+", "[^a-z0-9_]+")
-ORACLES["token_table_standard"] = _token_table(
-    r"[\p{Han}\p{Hiragana}]|[\p{Katakana}\p{Latin}\p{N}ーﾞ]+", r"[^\p{L}\p{N}]+", "fx_ja"
+for _query, _source in (("token_table_standard", "fx_ja"), ("token_table_marks", "fx_marked")):
+    ORACLES[_query] = _token_table(_WORD, "(?s:.)", _source)
+
+_LONGEST_WORD = range(1, segmentation.LONGEST + 1)
+_SEGMENT = rf"""pcs AS (SELECT doc_id, unnest(m) AS piece, generate_subscripts(m, 1) AS run
+      FROM (SELECT doc_id, regexp_extract_all(text, '{CJK}+|[\p{{Latin}}\p{{N}}]+|(?s:.)') AS m FROM fx_ja)),
+    offs AS (SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY run) AS BIGINT) - length(piece) AS start_offset FROM pcs),
+    words AS (SELECT * FROM offs WHERE regexp_matches(piece, '^(?:{CJK}|[\p{{Latin}}\p{{N}}])')),
+    runs AS (SELECT piece, count(*) AS n FROM words WHERE regexp_matches(piece, '^{CJK}') GROUP BY piece),
+    subs AS (SELECT piece, n, e, l, substr(piece, CAST(e - l + 1 AS BIGINT), CAST(l AS BIGINT)) AS word
+      FROM (SELECT piece, n, unnest(range(1, length(piece) + 1)) AS e FROM runs) JOIN (SELECT unnest(range(1, {segmentation.LONGEST + 1})) AS l) ON l <= e),
+    total AS (SELECT sum(n * length(piece)) AS total FROM runs),
+    counted AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM subs GROUP BY word),
+    lexicon AS (SELECT word, n, CAST(floor(1000 * ln(total / n)) AS BIGINT) AS cost FROM counted, total
+      WHERE length(word) = 1 OR n >= {segmentation.MIN_COUNT})"""
+_LATTICE = f"""{_SEGMENT},
+    opts AS (SELECT piece, e, {', '.join(f'max(CASE WHEN l = {k} THEN cost END) AS c{k}' for k in _LONGEST_WORD)}
+      FROM subs LEFT JOIN lexicon USING (word) GROUP BY piece, e),
+    ways AS (
+      SELECT piece, CAST(0 AS BIGINT) AS e, CAST(0 AS BIGINT) AS s1, {', '.join(f'CAST(NULL AS BIGINT) AS s{k}' for k in _LONGEST_WORD if k > 1)},
+        CAST([] AS INT[]) AS lasts FROM runs
+      UNION ALL
+      SELECT piece, e, best, {', '.join(f's{k}' for k in _LONGEST_WORD if k < segmentation.LONGEST)},
+        list_append(lasts, CASE {' '.join(f'WHEN s{k} + c{k} = best THEN {k}' for k in reversed(_LONGEST_WORD))} END)
+      FROM (SELECT w.piece, o.e, {', '.join(f's{k}, c{k}' for k in _LONGEST_WORD)}, lasts, least({', '.join(f's{k} + c{k}' for k in _LONGEST_WORD)}) AS best
+        FROM ways w JOIN opts o ON o.piece = w.piece AND o.e = w.e + 1)),
+    back AS (
+      SELECT piece, e, lasts FROM ways WHERE e = length(piece)
+      UNION ALL
+      SELECT piece, e - lasts[e], lasts FROM back WHERE e > 0),
+    cut AS (SELECT piece, e, lasts[e] AS l FROM back WHERE e > 0),
+    segmented AS (SELECT doc_id, start_offset + coalesce(e - l, 0) AS start_offset,
+        CASE WHEN e IS NULL THEN piece ELSE substr(piece, CAST(e - l + 1 AS BIGINT), CAST(l AS BIGINT)) END AS token
+      FROM words LEFT JOIN cut USING (piece)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start_offset) - 1 AS position FROM segmented)"""
+ORACLES["segment_lexicon"] = with_fixtures(f"WITH {_SEGMENT} SELECT word, n, cost FROM lexicon", "fx_ja")
+ORACLES["segment_japanese"] = with_fixtures(
+    f"""WITH RECURSIVE {_LATTICE} SELECT doc_id, token, position, 1 AS position_length, start_offset,
+      start_offset + length(token) AS end_offset, 'word' AS type FROM placed""",
+    "fx_ja",
 )
+ORACLES["analyze_segmented"] = with_fixtures(
+    f"""WITH RECURSIVE {_LATTICE}, folded AS (SELECT {_fold('token')} AS w, position FROM placed)
+    SELECT lower({_STEM.format('w')}) AS token, count(*) AS n, CAST(sum(position) AS BIGINT) AS positions FROM folded WHERE w {_JA_STOP} GROUP BY 1""",
+    "fx_ja",
+)
+
+# Compounds of the words of all documents.
+_SEQUENCES = " UNION ALL ".join(
+    f"""SELECT doc_id, position, start_offset, {k} AS size, [token, {', '.join(f'lead(token, {i}) OVER w' for i in range(1, k))}] AS words,
+      lead(end_offset, {k - 1}) OVER w AS end_offset FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY position)"""
+    for k in range(2, collocations.LONGEST + 1)
+)
+_COMPOUNDS = rf"""runs AS (SELECT doc_id, unnest(m) AS piece, generate_subscripts(m, 1) AS run
+      FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{{L}}+|[^\p{{L}}]+') AS m FROM documents)),
+    ends AS (SELECT *, CAST(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY run) AS BIGINT) AS end_offset FROM runs),
+    toks AS (SELECT doc_id, piece AS token, row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1 AS position,
+        end_offset - length(piece) AS start_offset, end_offset FROM ends WHERE regexp_matches(piece, '^\p{{L}}')),
+    seqs AS (SELECT * FROM ({_SEQUENCES}) WHERE end_offset IS NOT NULL),
+    counts AS (SELECT token, count(*) AS n FROM toks GROUP BY token),
+    often AS (SELECT words, size, count(*) AS n FROM seqs GROUP BY words, size HAVING count(*) >= {collocations.MIN_COUNT}),
+    single AS (SELECT words, size, o.n, sum(CAST(ln(c.n) AS DECIMAL(18, 9))) AS single
+      FROM (SELECT *, unnest(words) AS token FROM often) o JOIN counts c USING (token) GROUP BY words, size, o.n),
+    compounds AS (SELECT array_to_string(words, ' ') AS token, words, size, n,
+        round(CAST(CAST(ln(n) AS DECIMAL(18, 9)) + CAST(ln((SELECT count(*) FROM toks)) AS DECIMAL(18, 9)) * (size - 1) - single AS DOUBLE) / (size - 1), 6) AS pmi
+      FROM single),
+    kept AS (SELECT * FROM compounds WHERE pmi >= {collocations.MIN_PMI}),
+    graph AS (SELECT doc_id, token, position, 1 AS position_length, start_offset, end_offset, 'word' AS type FROM toks
+      UNION ALL SELECT doc_id, token, position, s.size, start_offset, end_offset, 'compound' FROM seqs s JOIN kept k USING (words))"""
+ORACLES["collocations"] = f"WITH {_COMPOUNDS} SELECT token, size, n, pmi FROM kept"
+ORACLES["token_table_compounds"] = f"WITH {_COMPOUNDS} SELECT * FROM graph"
+ORACLES["token_graph_nodes"] = f"""WITH {_COMPOUNDS},
+    nodes AS (SELECT doc_id, position AS node FROM graph UNION SELECT doc_id, position + position_length FROM graph)
+    SELECT doc_id, node, row_number() OVER (PARTITION BY doc_id ORDER BY node) - 1 AS index FROM nodes"""
+ORACLES["token_graph_edges"] = f"""WITH {_COMPOUNDS}
+    SELECT doc_id, token, position AS src, position + position_length AS dst, position_length AS span, position_length > 1 AS is_multi,
+      row_number() OVER (PARTITION BY doc_id, position, position_length ORDER BY start_offset) - 1 AS parallel FROM graph"""
+_INTO = ", ".join(f"count(*) FILTER (position_length = {k}) AS i{k}" for k in range(1, collocations.LONGEST + 1))
+_WAYS = " + ".join(f"w{k} * i{k}" for k in range(1, collocations.LONGEST + 1))
+ORACLES["token_graph_paths"] = f"""WITH RECURSIVE {_COMPOUNDS},
+    spanned AS (SELECT DISTINCT doc_id, unnest(range(position + 1, position + position_length)) AS node FROM graph WHERE position_length > 1),
+    nodes AS (SELECT doc_id, position AS node FROM graph UNION SELECT doc_id, position + position_length FROM graph),
+    cuts AS (SELECT doc_id, node AS dst, lag(node) OVER (PARTITION BY doc_id ORDER BY node) AS src
+      FROM nodes WHERE (doc_id, node) NOT IN (SELECT (doc_id, node) FROM spanned)),
+    stretches AS (SELECT doc_id, src, dst FROM cuts WHERE dst - src > 1),
+    inside AS (SELECT s.doc_id, s.src, s.dst, count(*) AS edges FROM stretches s JOIN graph g
+        ON g.doc_id = s.doc_id AND g.position >= s.src AND g.position + g.position_length <= s.dst GROUP BY ALL),
+    into_ AS (SELECT doc_id, position + position_length AS node, {_INTO} FROM graph GROUP BY ALL),
+    walk AS (SELECT doc_id, src, dst, src AS here, CAST(1 AS BIGINT) AS w1, CAST(0 AS BIGINT) AS w2, CAST(0 AS BIGINT) AS w3 FROM stretches
+      UNION ALL
+      SELECT walk.doc_id, walk.src, walk.dst, node, ({_WAYS}) % {collocations.WAYS}, w1, w2
+      FROM walk JOIN into_ i ON i.doc_id = walk.doc_id AND i.node = walk.here + 1 WHERE here < dst)
+    SELECT inside.doc_id, inside.src, inside.dst, edges, w1 AS ways
+    FROM inside JOIN walk ON walk.doc_id = inside.doc_id AND walk.src = inside.src AND walk.here = inside.dst"""
 ORACLES["token_table_keyword"] = """
     SELECT doc_id, text AS token, CAST(0 AS BIGINT) AS position, 1 AS position_length, CAST(0 AS BIGINT) AS start_offset,
       length(text) AS end_offset, 'word' AS type FROM documents WHERE text <> ''"""
@@ -505,7 +632,7 @@ def _scoped(workspace: str) -> str:
         concat_ws(' ', replace(params, ',', ' '), replace(tags, ',', ' '), text) AS text
         FROM fx_scenarios WHERE workspace_id = '{workspace}'),
       asked AS (SELECT query_id, text FROM fx_scoped_queries WHERE workspace_id = '{workspace}'),
-      """ + _bm25("rec", "asked", "record_id", r"[\p{L}\p{N}]+") + ")"
+      """ + _bm25("rec", "asked", "record_id", _WORD) + ")"
 
 
 ORACLES["bm25_topk"] = with_fixtures("WITH " + _bm25("documents", "fx_queries", "doc_id", r"\p{L}+"), "fx_queries")
@@ -667,3 +794,76 @@ ORACLES["model_usage"] = with_fixtures(
       max(time_to_last_token) AS max_time_to_last_token FROM fx_rounds GROUP BY inference_id""",
     "fx_rounds",
 )
+
+_SIGN = "CASE WHEN substr(digits, 1, 1) < '8' THEN 1 ELSE -1 END"
+_WEIGHT = "(" + " + ".join(f"CASE WHEN substr(digits, 2, {comparison.DIGITS}) >= '{limit}' THEN 1 ELSE 0 END" for limit in comparison.poisson_limits()) + ")"
+_LONG = " UNION ALL ".join(
+    f"SELECT workspace_id, strategy_id, scenario_id, '{m}' AS metric, CAST({m} AS DECIMAL(20, 9)) AS value FROM m"
+    for m in ("precision", "recall", "mrr", "dcg", "ndcg", "err")
+)
+ORACLES["compare_strategies"] = with_fixtures(
+    f"""{_RUN}, long AS ({_LONG}),
+      pairs AS (SELECT a.workspace_id, a.strategy_id AS strategy_a, b.strategy_id AS strategy_b, metric, scenario_id, b.value - a.value AS d
+        FROM long a JOIN long b USING (workspace_id, scenario_id, metric) WHERE a.strategy_id < b.strategy_id),
+      whole AS (SELECT workspace_id, strategy_a, strategy_b, metric, count(*) AS scenarios, sum(d) AS total FROM pairs GROUP BY ALL),
+      drawn AS (SELECT *, md5(concat_ws('|', '0', workspace_id, scenario_id, CAST(r AS VARCHAR))) AS digits
+        FROM pairs, (SELECT unnest(range(1, {comparison.ROUNDS + 1})) AS r)),
+      rounds AS (SELECT workspace_id, strategy_a, strategy_b, metric, r, sum(d * {_SIGN}) AS turned,
+          CASE WHEN sum({_WEIGHT}) > 0 THEN CAST(sum(d * {_WEIGHT}) AS DOUBLE) / sum({_WEIGHT}) ELSE 0 END AS mean FROM drawn GROUP BY ALL),
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY workspace_id, strategy_a, strategy_b, metric ORDER BY mean) AS place
+        FROM rounds JOIN whole USING (workspace_id, strategy_a, strategy_b, metric))
+    SELECT workspace_id, strategy_a, strategy_b, metric, any_value(scenarios) AS scenarios,
+      round(CAST(any_value(total) AS DOUBLE) / any_value(scenarios), 6) AS difference,
+      round((count(*) FILTER (abs(turned) >= abs(total)) + 1) / {comparison.ROUNDS + 1}, 6) AS p_value,
+      round(max(mean) FILTER (place = {int(comparison.ROUNDS * comparison.OUTSIDE / 2) + 1}), 6) AS low,
+      round(max(mean) FILTER (place = {comparison.ROUNDS - int(comparison.ROUNDS * comparison.OUTSIDE / 2)}), 6) AS high
+    FROM ranked GROUP BY workspace_id, strategy_a, strategy_b, metric""",
+    "fx_item_judgements",
+)
+ORACLES["ratings_as_of"] = with_fixtures(
+    """SELECT evaluation_id, strategy_id, h.scenario_id, h.doc_id, arg_max(struct_pack(r := rating), (rated_at, seq)).r AS rating
+    FROM fx_timed_hits h LEFT JOIN fx_rating_history y ON y.workspace_id = h.workspace_id AND y.scenario_id = h.scenario_id
+      AND y.idx = h.idx AND y.doc_id = h.doc_id AND rated_at <= created_at
+    GROUP BY evaluation_id, strategy_id, h.scenario_id, h.doc_id""",
+    "fx_timed_hits",
+    "fx_rating_history",
+)
+_SESSIONS = """e AS (SELECT event_id, date_trunc('millisecond', ts) AS ts, user_id, value FROM events),
+    marked AS (SELECT *, CASE WHEN ts > lag(ts) OVER w + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS new FROM e
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM marked),
+    found AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
+        round(CAST(sum(CAST(value AS DECIMAL(18, 6))) AS DOUBLE), 6) AS total, max(value) AS largest, min(event_id) AS first_event
+      FROM numbered GROUP BY user_id, s),
+    shown AS (SELECT user_id, epoch_ms(session_start) AS session_start, epoch_ms(session_end) AS session_end, events, total, largest, first_event FROM found)"""
+ORACLES["usage_sessions"] = f"WITH {_SESSIONS} SELECT * FROM shown"
+ORACLES["usage_sessions_stream"] = f"""WITH {_SESSIONS}
+    SELECT * FROM shown WHERE session_end <= (SELECT epoch_ms(max(ts) - INTERVAL 10 MINUTE) FROM e)"""
+_VERSIONS = """files AS (SELECT file, max(ts) AS latest FROM fx_event_files GROUP BY file),
+    bounded AS (SELECT f.*, (SELECT max(latest) - INTERVAL 3 DAY FROM files WHERE files.file < f.file) AS bound FROM fx_event_files f),
+    timely AS (SELECT * FROM bounded WHERE bound IS NULL OR ts >= bound),
+    known AS (SELECT t.event_id, t.user_id, t.file, t.ts, (SELECT max((p.ts, p.event_id)) FROM timely p WHERE p.user_id = t.user_id AND p.file < t.file) AS held,
+        max((ts, event_id)) OVER (PARTITION BY user_id, file) AS newest FROM timely t),
+    judged AS (SELECT event_id, user_id, file AS n, CASE WHEN (ts, event_id) = held THEN 'repeated' WHEN (ts, event_id) < held OR (ts, event_id) < newest THEN 'overtaken'
+        ELSE 'newest' END AS fate, ts FROM known
+      UNION ALL SELECT event_id, user_id, file, 'late', ts FROM bounded WHERE ts < bound)"""
+ORACLES["stream_versions"] = with_fixtures(f"WITH {_VERSIONS} SELECT event_id, user_id, n, fate FROM judged", "fx_event_files")
+ORACLES["stream_newest"] = with_fixtures(
+    f"WITH {_VERSIONS} SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM judged WHERE fate <> 'late' GROUP BY user_id", "fx_event_files"
+)
+ORACLES["search_after_upserts"] = with_fixtures(
+    f"""WITH corpus AS (SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM fx_corrected)
+        AND doc_id NOT IN (SELECT doc_id FROM fx_withdrawn)
+      UNION ALL SELECT * FROM fx_corrected UNION ALL SELECT * FROM fx_added),
+    """
+    + _bm25("corpus", "fx_queries", "doc_id", LETTERS),
+    "fx_corrected",
+    "fx_withdrawn",
+    "fx_added",
+    "fx_queries",
+)
+ORACLES["sketch_facets"] = " UNION ALL ".join(
+    f"""SELECT {a} AS l_returnflag, {b} AS l_linestatus, count(*) AS rows, count(DISTINCT l_suppkey) AS n_values,
+      least({K}, count(DISTINCT l_suppkey)) AS shown, true AS within_bounds FROM lineitem GROUP BY ALL"""
+    for a, b in (("l_returnflag", "l_linestatus"), ("l_returnflag", "CAST(NULL AS VARCHAR)"), ("CAST(NULL AS VARCHAR)", "CAST(NULL AS VARCHAR)"))
+)

@@ -6,6 +6,7 @@ Lists are joined to text and dates rendered, so that any engine's result can be
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,13 +15,27 @@ from pyspark.sql import types as T
 from corpusloom import schemas
 from corpusloom.functions import analysis as an
 from corpusloom.functions import text as tx
-from corpusloom.operators import facets, filters, hierarchy, relevance, search, taxonomy, tokens
+from corpusloom.operators import (
+    collocations,
+    comparison,
+    facets,
+    filters,
+    hierarchy,
+    relevance,
+    search,
+    segmentation,
+    segments,
+    sketches,
+    taxonomy,
+    tokens,
+)
+from corpusloom.operators.history import as_of
 from corpusloom.plans.corpus import article_categories, build_articles, classify
 from corpusloom.plans.evaluation import run_benchmark, run_evaluation, search_hits
 from corpusloom.plans.fixtures import fixture, tables
-from corpusloom.session import fresh_path
+from corpusloom.session import fresh_path, materialize
 from corpusloom.sources import dump, ndjson, packing, publish, records
-from corpusloom.streaming import ingest
+from corpusloom.streaming import ingest, sessions, versions
 
 NOW = "2026-04-02 10:30:15"
 SEP = "|"
@@ -208,6 +223,21 @@ def _(spark, sf):
     return _classified(spark, sf).select("page_id", "taxonomy_l1", "taxonomy_l2", "taxonomy_l3")
 
 
+@register("classify_by_index")
+def _(spark, sf):
+    found = taxonomy.classify_by_index(
+        hierarchy.resolve_hierarchy(_articles(spark, sf), _edges(spark, sf), carry=("title",)), fixture(spark, sf, "fx_rules")
+    )
+    return found.select("page_id", "taxonomy_l1", "taxonomy_l2", "taxonomy_l3")
+
+
+@register("classify_many_keywords")
+def _(spark, sf):
+    named = fixture(spark, sf, "fx_named")
+    articles = named.select("page_id", "title", *(F.split(c, r"\|").alias(f"categories_{n}") for c, n in (("direct", "direct"), ("everything", "all"))))
+    return taxonomy.classify_by_index(articles, fixture(spark, sf, "fx_keywords")).select("page_id", "taxonomy_l1", "taxonomy_l2", "taxonomy_l3")
+
+
 @register("category_coverage")
 def _(spark, sf):
     pages = fixture(spark, sf, "fx_pages").unionByName(fixture(spark, sf, "fx_category_pages"))
@@ -416,7 +446,15 @@ def _(spark, sf):
     """Requests inside the files of an export, both with small caps."""
     rows = fixture(spark, sf, "fx_corpus").select("page_id", F.octet_length("body").alias("bytes"))
     filed = packing.with_part_no(rows, "bytes", cap=60_000, bucket_keys=300)
-    return packing.pack_requests(filed, "bytes", cap=9_000).select("page_id", "part_no", "request")
+    return packing.pack_requests(filed, "bytes", cap=9_000, bucket_keys=300).select("page_id", "part_no", "request")
+
+
+@register("pack_requests_uncapped")
+def _(spark, sf):
+    """Requests of an export without files: packed by buckets of keys."""
+    rows = fixture(spark, sf, "fx_corpus").select("page_id", F.octet_length("body").alias("bytes"))
+    filed = packing.with_part_no(rows, "bytes", cap=0)
+    return packing.pack_requests(filed, "bytes", cap=9_000, bucket_keys=300).select("page_id", "bucket", "request")
 
 
 CORPUS = ["page_id", "title", "body", "taxonomy_l1"]
@@ -581,22 +619,60 @@ def _token_table(analyzer: str, source: str) -> Query:
 for _name in ("simple", "stop", "keyword", "pattern"):
     QUERIES[f"token_table_{_name}"] = _token_table(_name, "documents")
 QUERIES["token_table_standard"] = _token_table("standard", "fx_ja")
+QUERIES["tok_standard_marks"] = _analyzed("standard", "fx_marked")
+QUERIES["token_table_marks"] = _token_table("standard", "fx_marked")
+
 
+@register("segment_lexicon")
+def _(spark, sf):
+    cut = segmentation.pieces(fixture(spark, sf, "fx_ja"), "text").filter(F.rlike("piece", F.lit(f"^{an.CJK}")))
+    return segmentation.count_lexicon(cut.groupBy("piece").agg(F.count("*").alias("n")))
 
-def _spanned(spark, sf) -> DataFrame:
-    """Tokens where a long word spans two positions."""
-    table = tokens.token_table(tables(spark, sf, "documents"), "text")
-    return table.withColumn("position_length", F.when(F.char_length("token") > 8, 2).otherwise(1))
+
+@register("segment_japanese")
+def _(spark, sf):
+    return segmentation.segment_corpus(fixture(spark, sf, "fx_ja"), "text")
+
+
+@register("analyze_segmented")
+def _(spark, sf):
+    rows = segmentation.filter_japanese(segmentation.segment_corpus(fixture(spark, sf, "fx_ja"), "text"))
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("position").alias("positions"))
+
+
+@register("collocations")
+def _(spark, sf):
+    return collocations.collocations(_simple_tokens(spark, sf)).select("token", "size", "n", "pmi")
+
+
+def _simple_tokens(spark, sf) -> DataFrame:
+    return tokens.token_table(tables(spark, sf, "documents"), "text", analyzer="simple")
+
+
+def _compounds(spark, sf) -> DataFrame:
+    """Words of all documents, and their collocations as tokens of several positions."""
+    table = materialize(_simple_tokens(spark, sf), "tokens")
+    return collocations.add_compounds(table, collocations.collocations(table))
+
+
+@register("token_table_compounds")
+def _(spark, sf):
+    return _compounds(spark, sf)
 
 
 @register("token_graph_nodes")
 def _(spark, sf):
-    return tokens.token_graph_nodes(_spanned(spark, sf))
+    return tokens.token_graph_nodes(_compounds(spark, sf))
 
 
 @register("token_graph_edges")
 def _(spark, sf):
-    return tokens.token_graph_edges(_spanned(spark, sf))
+    return tokens.token_graph_edges(_compounds(spark, sf))
+
+
+@register("token_graph_paths")
+def _(spark, sf):
+    return collocations.path_counts(_compounds(spark, sf))
 
 
 @register("token_graph_stop")
@@ -892,3 +968,116 @@ def _(spark, sf):
 @register("model_usage")
 def _(spark, sf):
     return _rounded(relevance.model_usage(fixture(spark, sf, "fx_rounds")), "avg_time_to_first_token")
+
+
+@register("compare_strategies")
+def _(spark, sf):
+    found = comparison.compare_strategies(_evaluation(spark, sf)["metrics"])
+    return _rounded(found, "difference", "p_value", "low", "high")
+
+
+@register("ratings_as_of")
+def _(spark, sf):
+    hits, history = fixture(spark, sf, "fx_timed_hits"), fixture(spark, sf, "fx_rating_history")
+    key = ["workspace_id", "scenario_id", "idx", "doc_id"]
+    found = as_of(hits, history, key, "created_at", "rated_at", ["rating"], "seq")
+    return found.select("evaluation_id", "strategy_id", "scenario_id", "doc_id", "rating")
+
+
+GAP, DELAY = "30 minutes", "10 minutes"
+EVENTS = "event_id long, ts timestamp, user_id long, value double"
+
+
+def _use() -> dict[str, Column]:
+    return {"total": F.sum(F.col("value").cast("decimal(18,6)")).cast("double"), "largest": F.max("value"), "first_event": F.min("event_id")}
+
+
+def _events(spark, sf) -> DataFrame:
+    """Events, to the millisecond."""
+    return tables(spark, sf, "events").select("event_id", F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("ts"), "user_id", "value")
+
+
+def _shown_sessions(found: DataFrame) -> DataFrame:
+    times = {c: F.unix_millis(c) for c in ("session_start", "session_end")}
+    return _rounded(found.withColumns(times), "total")
+
+
+@register("usage_sessions")
+def _(spark, sf):
+    return _shown_sessions(sessions.sessions(_events(spark, sf), ["user_id"], "ts", GAP, _use()))
+
+
+def _written_by_file(rows: DataFrame, files: Column, n: int, root: str) -> str:
+    """JSON files in the order of their numbers."""
+    stored = materialize(rows.withColumn("_file", files), "files")
+    for i in range(n):
+        stored.filter(F.col("_file") == i).drop("_file").coalesce(1).write.json(f"{root}/in/f{i}")
+    return f"{root}/in/*"
+
+
+@register("usage_sessions_stream")
+def _(spark, sf):
+    root, events = fresh_path(spark, "sessions"), _events(spark, sf)
+    most = events.agg((F.max("event_id") + 1).alias("n")).select("n").scalar()
+    source = _written_by_file(events, F.floor(5 * F.col("event_id") / most), 5, root)
+    query = sessions.stream_sessions(spark, source, EVENTS, f"{root}/out", f"{root}/checkpoint", ["user_id"], "ts", GAP, DELAY, _use(), 1)
+    query.awaitTermination()
+    return _shown_sessions(spark.read.parquet(f"{root}/out"))
+
+
+def _versions(spark, sf) -> DataFrame:
+    root = fresh_path(spark, "versions")
+    rows = fixture(spark, sf, "fx_event_files").withColumn("ts", F.col("ts").cast("timestamp"))
+    source = _written_by_file(rows.select("event_id", "ts", "user_id", F.col("file").alias("n")), F.col("n"), 6, root)
+    query = versions.stream_versions(
+        spark, source, "event_id long, ts timestamp, user_id long, n int", f"{root}/out", f"{root}/checkpoint", "user_id", "ts", "event_id", "3 days", 1
+    )
+    query.awaitTermination()
+    return versions.read_versions(spark, f"{root}/out")
+
+
+@register("stream_versions")
+def _(spark, sf):
+    return _versions(spark, sf).select("event_id", "user_id", "n", "fate")
+
+
+@register("stream_newest")
+def _(spark, sf):
+    return versions.newest_versions(_versions(spark, sf), "user_id").select("user_id", "event_id")
+
+
+@register("search_after_upserts")
+def _(spark, sf):
+    """Documents, then corrections and withdrawals, then pages, each as a segment of one index."""
+    root = fresh_path(spark, "segments")
+    segments.add_segment(tables(spark, sf, "documents").select("doc_id", "text"), root, "text")
+    segments.add_segment(fixture(spark, sf, "fx_corrected"), root, "text", deleted=fixture(spark, sf, "fx_withdrawn"))
+    segments.add_segment(fixture(spark, sf, "fx_added"), root, "text")
+    terms = search.query_terms(fixture(spark, sf, "fx_queries"), "text")
+    return search.bm25_topk(segments.live_postings(spark, root), terms, K)
+
+
+FACET_LEVELS = [["l_returnflag", "l_linestatus"], ["l_returnflag"], []]
+
+
+@register("sketch_facets")
+def _(spark, sf):
+    """Estimates from merged sketches beside exact counts, and whether they keep their bounds, for every level."""
+    leaf = ["everything", *FACET_LEVELS[0]]
+    rows = tables(spark, sf, "lineitem").select(F.lit("all").alias("everything"), *FACET_LEVELS[0], F.col("l_suppkey").alias("value"))
+    leaves = materialize(sketches.sketch_leaves(rows, leaf, "value"), "leaves")
+    out = []
+    for kept in FACET_LEVELS:
+        levels = ["everything", *kept]
+        counts = rows.groupBy(*levels, "value").agg(F.count("*").alias("exact"))
+        sizes = counts.groupBy(*levels).agg(F.sum("exact").alias("rows"), F.count("*").alias("n_values"))
+        found = sketches.estimates(sketches.merge_up(leaves, levels), levels, K).withColumnRenamed("rows", "sketched")
+        off = F.max(F.abs(F.col("n") - F.coalesce("exact", F.lit(0)))).alias("off")
+        checked = found.join(counts, [*levels, "value"], "left").groupBy(*levels).agg(
+            F.max("n_distinct").alias("n_distinct"), F.max("sketched").alias("sketched"), off, F.count("value").alias("shown")
+        )
+        near = F.abs(F.col("n_distinct") - F.col("n_values")) <= sketches.distinct_error(F.col("n_values"))
+        within = near & (F.col("off") <= sketches.frequency_error(F.col("rows"))) & (F.col("sketched") == F.col("rows"))
+        names = [F.col(c) if c in kept else F.lit(None).cast("string").alias(c) for c in FACET_LEVELS[0]]
+        out.append(checked.join(sizes, levels).select(*names, "rows", "n_values", "shown", within.alias("within_bounds")))
+    return reduce(DataFrame.unionByName, out)

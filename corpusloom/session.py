@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,29 @@ def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or [])
 
 
+def claim_path(spark: SparkSession, pattern: str, content: str) -> bool:
+    """Create a file with a short text; whether it is this call that created it.
+
+    Of several callers exactly one succeeds: a store creates the file only if it is absent.
+    """
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    system.mkdirs(path.getParent())
+    local = system.getScheme() == "file"  # whose create() looks first and creates then
+    if local and not jvm.java.io.File(path.toUri().getPath()).createNewFile():
+        return False
+    try:
+        out = system.create(path, local)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(content, "utf-8"))
+    out.close()
+    return True
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete all that this application has stored in between; whether there was any.
 

@@ -76,11 +76,15 @@ def with_part_no(
     return packed.withColumn("part_no", number).drop("bucket", "part")
 
 
-def pack_requests(docs: DataFrame, size: str, cap: int = REQUEST_CAP, key: str = "page_id", file: str = "part_no") -> DataFrame:
-    """``docs`` with ``request``: the bulk requests of each file, by next-fit in the order of its keys.
+def pack_requests(
+    docs: DataFrame, size: str, cap: int = REQUEST_CAP, key: str = "page_id", file: str = "part_no", bucket_keys: int = BUCKET_KEYS
+) -> DataFrame:
+    """``docs`` with ``bucket`` and ``request``: the bulk requests of each file and bucket of keys, by next-fit in key order.
 
-    A file is capped, so its rows of key and size fit one task; the documents meet their
-    request by key. A request exceeds ``cap`` only if it is one oversized document.
+    Files of a capped export lie in one bucket each. An export without a cap has no files, so
+    its requests are packed bucket by bucket; either way only key and size of one bucket meet
+    in a task, and documents meet their request by key. A request exceeds ``cap`` only if it is
+    one oversized document.
     """
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
@@ -91,8 +95,10 @@ def pack_requests(docs: DataFrame, size: str, cap: int = REQUEST_CAP, key: str =
                 request, used = request + 1, 0
             used += n
             out.append(request)
-        return pd.DataFrame({key: group["key"], "request": out})
+        return pd.DataFrame({key: group["key"], "bucket": group["bucket"], "request": out})
 
-    narrow = docs.select(file, F.col(key).alias("key"), F.col(size).cast("long").alias("size"))
+    bucket = _bucket(key, bucket_keys).alias("bucket")
+    narrow = docs.select(file, bucket, F.col(key).alias("key"), F.col(size).cast("long").alias("size"))
     kind = docs.schema[key].dataType.simpleString()
-    return docs.join(narrow.groupBy(file).applyInPandas(pack, f"`{key}` {kind}, request long"), key, "left")
+    packed = narrow.groupBy(file, "bucket").applyInPandas(pack, f"`{key}` {kind}, bucket long, request long")
+    return docs.join(packed, key, "left")

@@ -1,66 +1,57 @@
 """Dated snapshots behind an alias.
 
-A catalogue folder holds the snapshots and a log of small rows ``(event, alias, name, seq)``.
-The newest ``publish`` row of an alias names its current snapshot, so switching is one append
-and a failed load leaves the alias where it was. Old snapshots stay for comparison.
+A catalogue folder holds the snapshots, a small file for every name in use, and for every alias
+numbered files, the greatest of which names its current snapshot. Both kinds are created only if
+absent, so two publishers never share a name or a number, and no clock decides. Switching an
+alias is one such file, so a failed load leaves the alias where it was. Old snapshots stay for
+comparison.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from corpusloom.session import matching_paths, materialize
+from corpusloom.session import claim_path, matching_paths, materialize
 
 # Snapshot names are prefix-yyyymmdd, then -1 to -999 on collision.
 DATE_FORMAT = "%Y%m%d"
 LAST_SEQUENCE = 999
 
-_LOG = T.StructType(
-    [
-        T.StructField("event", T.StringType()),
-        T.StructField("alias", T.StringType()),
-        T.StructField("name", T.StringType()),
-        T.StructField("seq", T.LongType()),
-    ]
-)
 
+def _switches(spark: SparkSession, root: str, alias: str) -> list[str]:
+    """The numbered files of an alias, the newest first."""
+    return matching_paths(spark, f"{root}/_aliases/{quote(alias, safe='')}/*")[::-1]
 
-def _log(spark: SparkSession, root: str) -> DataFrame:
-    if not matching_paths(spark, f"{root}/_log"):
-        return spark.createDataFrame([], _LOG)
-    return spark.read.schema(_LOG).json(f"{root}/_log")
 
-
-def _append(spark: SparkSession, root: str, event: str, alias: str, name: str) -> None:
-    seq = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
-    spark.createDataFrame([(event, alias, name, seq)], _LOG).coalesce(1).write.mode("append").json(f"{root}/_log")
+def claim_name(spark: SparkSession, root: str, prefix: str, day: str | None = None) -> str:
+    """The first free dated name, taken for the caller."""
+    base = f"{prefix}-{day or datetime.now(timezone.utc).strftime(DATE_FORMAT)}"
+    for number in range(LAST_SEQUENCE + 1):
+        name = f"{base}-{number}" if number else base
+        if claim_path(spark, f"{root}/_names/{name}", name):
+            return name
+    raise RuntimeError(f"{root}: all {LAST_SEQUENCE + 1} snapshot names of {base} are in use")
 
 
-def snapshot_name(spark: SparkSession, root: str, prefix: str, day: str | None = None) -> str:
-    """The first free dated name."""
-    base = f"{prefix}-{day or datetime.now(timezone.utc).strftime(DATE_FORMAT)}"
-    numbers = spark.range(LAST_SEQUENCE + 1)
-    names = numbers.select("id", F.when(F.col("id") == 0, F.lit(base)).otherwise(F.concat_ws("-", F.lit(base), "id")).alias("name"))
-    free = names.join(_log(spark, root).select("name"), "name", "left_anti").agg(F.min_by("name", "id")).first()[0]
-    if free is None:
-        raise RuntimeError(f"{root}: all {LAST_SEQUENCE + 1} snapshot names of {base} are in use")
-    return free
+def switch_alias(spark: SparkSession, root: str, alias: str, name: str) -> None:
+    """Point the alias to a snapshot; the switch that takes the greatest number holds."""
+    found = _switches(spark, root, alias)
+    number = int(found[0].rsplit("/", 1)[1]) + 1 if found else 0
+    while not claim_path(spark, f"{root}/_aliases/{quote(alias, safe='')}/{number:012d}", name):
+        number += 1
 
 
 def current_snapshot(spark: SparkSession, root: str, alias: str) -> str | None:
     """Name of the snapshot the alias points to."""
-    row = (
-        _log(spark, root)
-        .filter((F.col("event") == "publish") & (F.col("alias") == alias))
-        .orderBy(F.desc("seq"))
-        .select("name")
-        .first()
-    )
-    return row["name"] if row else None
+    for path in _switches(spark, root, alias):
+        row = spark.read.text(path).first()
+        if row:  # a publisher that was lost in between has left an empty file
+            return row["value"]
+    return None
 
 
 def read_alias(spark: SparkSession, root: str, alias: str, view: bool = False) -> DataFrame:
@@ -84,8 +75,7 @@ def publish_snapshot(
     ranges takes a read of its own, so ``df`` is stored first.
     """
     spark = df.sparkSession
-    name = snapshot_name(spark, root, prefix, day)
-    _append(spark, root, "create", alias, name)
+    name = claim_name(spark, root, prefix, day)
     if cluster_by:
         df = materialize(df, "snapshot")  # read twice: once to find the ranges
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
@@ -93,5 +83,5 @@ def publish_snapshot(
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(f"{root}/{name}")
     rows = seen.get["rows"]
     if rows > 0:
-        _append(spark, root, "publish", alias, name)
+        switch_alias(spark, root, alias, name)
     return name, rows

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pytest
@@ -131,3 +132,29 @@ def test_rules_from_file(spark, tmp_path):
     rules = taxonomy.read_rules(spark, str(tmp_path))
     assert rules.collect() == [(1, "A", "a", "k")]
     assert rules.filter(F.col("keyword") == "k").count() == 1
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_index_finds_the_rows_that_trying_all_keywords_finds(spark, seed):
+    rng = random.Random(seed)
+    word = lambda least: "".join(rng.choices("ab c", k=rng.randrange(least, 5)))
+    rows = []
+    for i in range(150):
+        everything = [rng.choice([word(0), None] if rng.random() < 0.05 else [word(1)]) for _ in range(rng.randrange(0, 4))]
+        direct = everything[: rng.randrange(0, 3)] + ([word(1)] if rng.random() < 0.1 else [])
+        rows.append((i, None if rng.random() < 0.05 else word(0), direct, everything))
+    df = spark.createDataFrame(rows, "page_id long, title string, categories_direct array<string>, categories_all array<string>")
+    keywords = [(rng.randrange(6), rng.choice("xy"), rng.choice("mn"), rng.choice(["", None]) if rng.random() < 0.02 * seed else word(2) + rng.choice("abd")) for _ in range(12)]
+    rules = spark.createDataFrame([*keywords, (9, "last", "l", "b")], RULES)
+    want = taxonomy.classify_taxonomy(df, rules)
+    got = taxonomy.classify_by_index(df, rules)
+    assert got.columns == want.columns
+    assert sorted(got.collect(), key=lambda r: r.page_id) == sorted(want.collect(), key=lambda r: r.page_id)
+
+
+def test_index_edges(spark):
+    df = spark.createDataFrame([(1, "x", ["c"], ["c"]), (2, None, None, None)], "page_id long, title string, categories_direct array<string>, categories_all array<string>")
+    for rules in ([], [(0, "a", "b", "")], [(0, "a", "b", None)], [(1, "a", "b", "zzz"), (1, "a", "b", "c")]):
+        table = spark.createDataFrame(rules, RULES)
+        pair = (taxonomy.classify_by_index(df, table), taxonomy.classify_taxonomy(df, table))
+        assert [sorted(p.collect(), key=lambda r: r.page_id) for p in pair][0] == sorted(pair[1].collect(), key=lambda r: r.page_id)

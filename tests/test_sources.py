@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import bz2
 import json
+from concurrent.futures import ThreadPoolExecutor
 from xml.sax.saxutils import escape
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.schemas import ARTICLES
+from corpusloom.session import claim_path
 from corpusloom.sources import dump, ndjson, packing, publish, records
 
 NOW = "2026-04-02 10:30:15"
@@ -220,12 +222,43 @@ def test_own_documents_stay_unique(spark):
 
 def test_names_that_share_a_prefix(spark, tmp_path):
     root = str(tmp_path)
-    publish.publish_snapshot(spark.range(1), root, "a", "s-20260402", "1")
-    assert publish.snapshot_name(spark, root, "s", "20260402") == "s-20260402-1" or publish.snapshot_name(spark, root, "s", "20260402") == "s-20260402"
+    assert publish.publish_snapshot(spark.range(1), root, "a", "s-20260402", "1")[0] == "s-20260402-1"
     assert publish.publish_snapshot(spark.range(1), root, "a", "s", "20260402")[0] == "s-20260402"
     assert publish.publish_snapshot(spark.range(1), root, "a", "s", "20260402")[0] == "s-20260402-2"
 
 
+def test_publishers_at_the_same_time(spark, tmp_path):
+    root = str(tmp_path)
+    with ThreadPoolExecutor(8) as pool:
+        done = list(pool.map(lambda i: publish.publish_snapshot(spark.range(i + 1), root, "a/b", "s", "20260402"), range(8)))
+    assert sorted(n for n, _ in done) == sorted(["s-20260402", *(f"s-20260402-{i}" for i in range(1, 8))])
+    assert len(publish._switches(spark, root, "a/b")) == 8
+    name = publish.current_snapshot(spark, root, "a/b")
+    assert publish.read_alias(spark, root, "a/b").count() == dict(done)[name]
+    with ThreadPoolExecutor(8) as pool:
+        names = list(pool.map(lambda _: publish.claim_name(spark, root, "t", "1"), range(24)))
+    assert len(set(names)) == 24
+    assert not claim_path(spark, f"{root}/_names/{names[0]}", "again")
+    claim_path(spark, f"{root}/_aliases/a%2Fb/{10**6:012d}", "")  # lost before it wrote
+    assert publish.current_snapshot(spark, root, "a/b") == name
+
+
+@pytest.mark.parametrize("cap", [0, 700])
+def test_requests_are_packed_by_bucket(spark, cap):
+    rows = spark.range(0, 1000, numPartitions=4).select(F.col("id").alias("page_id"), (F.col("id") % 37 + 1).alias("bytes"))
+    filed = packing.with_part_no(rows, "bytes", cap=cap, bucket_keys=100)
+    got = sorted(packing.pack_requests(filed, "bytes", cap=90, bucket_keys=100).collect(), key=lambda r: r.page_id)
+    assert len(got) == 1000 and {r.bucket for r in got} == set(range(10))
+    at = None
+    for r in got:
+        if (r.part_no, r.bucket) != at:
+            at, request, used = (r.part_no, r.bucket), 0, 0
+        if used and used + r.bytes > 90:
+            request, used = request + 1, 0
+        used += r.bytes
+        assert r.request == request
+
+
 def test_encode_keeps_unicode(spark):
     df = spark.createDataFrame([(["東京", 'a"b'],)], "c array<string>")
     assert records.encode_list_columns(df, ["c"]).first().c == '["東京","a\\"b"]'
