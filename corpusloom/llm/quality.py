@@ -10,6 +10,7 @@ numpy, on a bounded sample of labelled documents.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
@@ -93,13 +94,19 @@ class Model:
     def fit(self, texts: list[str], labels: list[int]) -> Model:
         """Minimise cross-entropy by gradient steps on small random batches of documents."""
         rng = np.random.default_rng(SEED)
-        docs = []
+        # One long array for each: their memory goes back to the system at the end, that of many small ones would not.
+        every_row, every_share, bounds, shapes = array("i"), array("d"), [0], []
         for text in texts:
             words, _, shape = document_features(text)
             owner, rows = table_rows(list(words))
             rows, place = np.unique(rows, return_inverse=True)
             share = np.bincount(place, np.fromiter(words.values(), dtype=np.float64, count=len(words))[owner], len(rows))
-            docs.append((rows, share / max(share.sum(), 1.0), np.array([zlib.crc32(s.encode()) % BUCKETS for s in shape])))
+            every_row.frombytes(rows.astype(np.int32).tobytes())
+            every_share.frombytes((share / max(share.sum(), 1.0)).tobytes())
+            bounds.append(len(every_row))
+            shapes.append(np.array([zlib.crc32(s.encode()) % BUCKETS for s in shape]))
+        all_rows, all_shares = np.frombuffer(every_row, dtype=np.int32), np.frombuffer(every_share)
+        docs = [(all_rows[a:b], all_shares[a:b], shape) for a, b, shape in zip(bounds[:-1], bounds[1:], shapes, strict=True)]
         gold = np.array(labels, dtype=np.int64)
         steps = EPOCHS * max(1, -(-len(docs) // BATCH))
         step = 0
