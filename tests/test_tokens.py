@@ -145,3 +145,32 @@ def test_metadata_search(spark):
     asked = spark.createDataFrame([("w", 1, "FOX big")], "workspace_id string, query_id int, text string")
     rows = search.metadata_search(records, asked, ["name", "tags"], 10).orderBy("rank").collect()
     assert [r.record_id for r in rows] == ["r1", "r2"]
+
+
+def test_offsets_are_counted_without_sorting_tokens(docs):
+    """Token rows used to be sorted by two windows, which spilled the whole table to disk."""
+    plan = tokens.token_table(docs, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
+
+
+@pytest.mark.parametrize("share", [1, 7, 1 << 22])
+@pytest.mark.parametrize("analyzer", sorted(an.RUNS))
+def test_offsets_of_odd_texts(spark, monkeypatch, analyzer, share):
+    """Texts that hold the mark or what stands for it, wide characters, connectors, keys that repeat."""
+    monkeypatch.setattr(tokens, "SHARE", share)
+    odd = ["a\x00b cc", "𠮷\x00 ﷐x é", "__ _a _́_あ__b 3.14 it's", "カ_カ 東京a", "\x00", " ", "é" * 300 + " to x", tokens.SPARE + " y"]
+    df = spark.createDataFrame([*enumerate(odd), (100, "b c"), (100, None), (100, "b c")], "doc_id long, text string")
+    rows = tokens.token_table(df, "text", analyzer=analyzer).collect()
+    for i, t in enumerate(odd):
+        got = sorted((r.position, r.start_offset, r.end_offset, r.token) for r in rows if r.doc_id == i)
+        assert all(r[3] == an_folded(t, analyzer)[r[1] : r[2]] for r in got)
+        want = df.filter(F.col("doc_id") == i).select(an.ANALYZERS[analyzer](F.col("text")).alias("t")).first().t
+        assert [r[3] for r in got] == want
+    twice = sorted((r.position, r.start_offset, r.end_offset, r.token) for r in rows if r.doc_id == 100)
+    once = [("b c",)] if analyzer == "keyword" else [("b",), ("c",)]
+    assert [r[3] for r in twice] == [w for (w,) in once for _ in range(2)]
+    assert [r[1:3] for r in twice] == ([(0, 3), (3, 6)] if analyzer == "keyword" else [(0, 1), (1, 2), (4, 5), (5, 6)])
+
+
+def an_folded(text, analyzer):
+    return text if analyzer in ("whitespace", "keyword") else text.lower()
