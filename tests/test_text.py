@@ -118,3 +118,18 @@ def test_one_python_stage_although_filtered(spark):
     plan = filter_articles(pages)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert filter_articles(pages).select(F.col("body")).first().body == "x & y"
+
+
+def test_entities_are_replaced_a_few_texts_at_a_time(spark, monkeypatch):
+    """A whole batch of texts used to become Python strings at once."""
+    from corpusloom.functions import text as tx
+
+    seen = []
+    monkeypatch.setattr(tx.F, "arrow_udf", lambda function, kind: seen.append(function) or real(function, kind))
+    texts = [None if i % 7 == 0 else f"{i} &amp; &lt;é" for i in range(3 * tx.FEW + 5)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.u for r in df.select("i", tx.html_unescape(F.col("t")).alias("u")).collect()}
+    assert seen and got == {i: t if t is None else f"{i} & <é" for i, t in enumerate(texts)}
+
+
+real = F.arrow_udf
