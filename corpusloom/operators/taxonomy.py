@@ -145,21 +145,25 @@ def classify_by_index(articles: DataFrame, rules: DataFrame, key: str = "page_id
     )
     texts = names.select("text").distinct()
     matches = keyword_matches(texts, words.select("keyword").filter("keyword <> ''").distinct())
+    # Tables with a row per page or name compress so well that Spark would take them for small and gather them
+    # in the driver for a broadcast, eight times over where a join is salted; they are merged.
+    merged = lambda df: df.hint("merge")
     with_empty = matches.unionByName(texts.filter(empty).select("text", F.lit("").alias("keyword")))
     found = materialize(with_empty.join(words, "keyword"), "matches")
     # A category may belong to a large share of all pages.
     of_text = found.groupBy("text").agg(F.min("rule").alias("rule"))
-    first = salted_join(names.filter("kind <> 1"), of_text, ["text"], spread=["key"], how="inner")
+    first = salted_join(names.filter("kind <> 1"), merged(of_text), ["text"], spread=["key"], how="inner")
     ruled = materialize(first.groupBy("key").agg(F.min("rule").alias("rule")), "page-rules")
-    hits = materialize(salted_join(names.join(ruled, "key"), found, ["text", "rule"], spread=["key"], how="inner"), "hits")
+    hits = materialize(salted_join(names.join(merged(ruled), "key"), merged(found), ["text", "rule"], spread=["key"], how="inner"), "hits")
     matched = hits.filter("kind <> 1").select("key", "keyword").distinct()
     third = (
         hits.filter("kind in (1, 2)")
-        .join(matched, ["key", "keyword"], "left_semi")
+        .join(merged(matched), ["key", "keyword"], "left_semi")
         .groupBy("key")
         .agg(F.min_by("text", F.struct("kind", "pos")).alias("name"))
     )
-    joined = articles.join(ruled.withColumnRenamed("key", key), key, "left").join(third.withColumnRenamed("key", key), key, "left")
+    by_key = lambda df: merged(df.withColumnRenamed("key", key))
+    joined = articles.join(by_key(ruled), key, "left").join(by_key(third), key, "left")
     level3 = F.coalesce("name", F.try_element_at("categories_direct", F.lit(1)), "rule.l2", F.lit(UNCLASSIFIED))
     return joined.select(
         *(F.col(f"`{c}`") for c in articles.columns),

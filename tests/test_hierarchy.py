@@ -158,3 +158,17 @@ def test_index_edges(spark):
         table = spark.createDataFrame(rules, RULES)
         pair = (taxonomy.classify_by_index(df, table), taxonomy.classify_taxonomy(df, table))
         assert [sorted(p.collect(), key=lambda r: r.page_id) for p in pair][0] == sorted(pair[1].collect(), key=lambda r: r.page_id)
+
+
+def test_tables_with_a_row_per_page_are_not_broadcast(spark):
+    """Stored page tables compress to a few megabytes, were taken for small and gathered in the driver."""
+    from corpusloom.operators import taxonomy
+
+    articles = spark.createDataFrame(
+        [(1, "a src1", ["x"], ["x"])], "page_id long, title string, categories_direct array<string>, categories_all array<string>"
+    )
+    rules = spark.createDataFrame([(0, "A", "a1", "src1")], "rule_ord int, l1 string, l2 string, keyword string")
+    found = taxonomy.classify_by_index(articles, rules)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+    assert [tuple(r)[-3:] for r in found.collect()] == [("A", "a1", "x")]
