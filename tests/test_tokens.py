@@ -174,3 +174,11 @@ def test_offsets_of_odd_texts(spark, monkeypatch, analyzer, share):
 
 def an_folded(text, analyzer):
     return text if analyzer in ("whitespace", "keyword") else text.lower()
+
+
+def test_long_texts_of_one_key(spark):
+    """Texts of one key are cut once, not once per run."""
+    words = [f"w{i}" for i in range(3000)]
+    df = spark.createDataFrame([(1, " ".join(words))] * 2, "doc_id long, text string")
+    rows = sorted((r.position, r.token, r.end_offset) for r in tokens.token_table(df, "text").collect())
+    assert [t for _, t, _ in rows] == [w for w in words for _ in range(2)] and rows[-1][2] == 2 * len(" ".join(words))
