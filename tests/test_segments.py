@@ -58,3 +58,17 @@ def test_sketches_merge(spark):
         assert r.rows == len(mine)
         assert abs(r.n_distinct - len(set(mine))) <= max(1, sketches.DEVIATIONS * sketches.HLL_ERROR * len(set(mine)))
         assert abs(r.n - mine.count(r.value)) <= 3.5 * len(mine) / sketches.TRACKED + 1
+
+
+def test_postings_of_asked_terms(spark):
+    """A search used to count and move the postings of every term of the corpus."""
+    from corpusloom.operators import tokens
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "a b b c"), (2, "c c"), (3, ""), (4, None), (None, "b"), (2, "c d")], "doc_id long, text string")
+    asked = spark.createDataFrame([("b",), ("c",), ("x",)], "term string")
+    rows = lambda df: sorted(map(str, df.collect()))
+    every = tokens.postings_and_lengths(docs, "text")
+    assert rows(tokens.postings_and_lengths(docs, "text", terms=asked)) == rows(every.filter(F.col("term").isNull() | F.col("term").isin("b", "c")))
+    plan = every._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange hashpartitioning(doc_id" in plan
