@@ -132,3 +132,11 @@ def test_very_long_words(texts):
     assert texts(an.tok_standard, "a1" * 40_000 + "_" * 20_000) == ["a1" * 40_000 + "_" * 20_000]
     assert texts(an.tok_standard, "_" * 40_000) == []
     assert texts(an.tok_standard, "a.b'c:" * 20_000) == [("a.b'c:" * 20_000)[:-1]]
+
+
+def test_word_rules_look_at_classes_first():
+    """Looking back was tried at every character, which took most of the time on texts of single characters."""
+    from corpusloom.functions import wordbreak
+
+    assert wordbreak.WORD.startswith(f"(?:{wordbreak.ALONE}")
+    assert "(?!(?<=" not in wordbreak.WORD
