@@ -170,5 +170,5 @@ def test_tables_with_a_row_per_page_are_not_broadcast(spark):
     rules = spark.createDataFrame([(0, "A", "a1", "src1")], "rule_ord int, l1 string, l2 string, keyword string")
     found = taxonomy.classify_by_index(articles, rules)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in plan
+    assert plan.count("SortMergeJoin") == 3 and "BroadcastHashJoin" not in plan
     assert [tuple(r)[-3:] for r in found.collect()] == [("A", "a1", "x")]
