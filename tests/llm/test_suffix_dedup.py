@@ -9,6 +9,7 @@ from llm_fixtures import SF, docs, edge_docs, no_docs  # noqa: F401
 
 from corpusloom.llm import suffix_dedup
 from corpusloom.llm.queries import QUERIES
+from corpusloom.session import matching_paths, scratch_dir
 
 N = suffix_dedup.LENGTH
 
@@ -130,3 +131,12 @@ def test_strings_of_few_words_still_go(docs):
     rows = sorted(suffix_dedup.remove_repeats(docs(a, b, blob[:399], blob[200:600], blob[200:600]), words=51).collect())
     assert [r.kept_text for r in rows] == [r.kept_text for r in sorted(suffix_dedup.remove_repeats(docs(a, b, blob[:399], blob[200:600], blob[200:600])).collect())]
     assert rows[0].n_removed > 0 and rows[3].n_removed == 400
+
+
+def test_only_ranges_stay_stored(spark):
+    """The tables that the ranges are made from are gone before the texts are cut."""
+    before = set(matching_paths(spark, f"{scratch_dir(spark)}/*"))
+    rows = spark.createDataFrame([(i, "word " * 200 + str(i % 3)) for i in range(9)], "doc_id int, text string")
+    spans = suffix_dedup.repeated_spans(rows)
+    left = [p.rsplit("/", 1)[1] for p in set(matching_paths(spark, f"{scratch_dir(spark)}/*")) - before]
+    assert len(left) == 1 and left[0].startswith("spans-") and spans.count() == 3

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from corpusloom.session import fresh_path, materialize, salted_join, shared_dir
+from corpusloom.session import fresh_path, matching_paths, materialize, salted_join, shared_dir, working_tables
 
 
 def test_salted_join_is_a_join(spark):
@@ -23,3 +23,12 @@ def test_materialize_prunes(spark):
     df = materialize(spark.range(10).selectExpr("id", "repeat('x', 100) as body"), "t")
     plan = df.select("id")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<id:bigint>" in plan and df.count() == 10
+
+
+def test_working_tables_go_at_the_end_of_their_block(spark):
+    with working_tables(spark) as store:
+        stored = store(spark.range(10), "t")
+        kept = materialize(stored.selectExpr("id + 1 AS id"), "kept")
+        folder = stored.inputFiles()[0].rsplit("/", 2)[0]
+        assert matching_paths(spark, folder)
+    assert not matching_paths(spark, folder) and kept.count() == 10
