@@ -19,11 +19,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import analysis as an
+from corpusloom.operators.tokens import _let, placed
 from corpusloom.session import materialize, salted_join
 
 #: Characters of a word at most, and how often a word of several must occur.
 LONGEST = 4
 MIN_COUNT = 3
+#: Distinct runs, the most frequent ones, whose words every task holds, and characters of such a run at most.
+FREQUENT = 20000
+FREQUENT_LENGTH = 64
+#: Characters of a run whose ends are held as ASCII characters.
+SHORT = 64
 #: Positions that are handled before their results are appended.
 BLOCK = 128
 
@@ -31,13 +37,48 @@ _GAP = rf"[^\p{{L}}\p{{N}}{an.HAN}{an.HIRAGANA}{an.KATAKANA}]+"
 _JAPANESE = f"^{an.CJK}"
 
 
+def _woven(texts: Column) -> Column:
+    """(piece, gap) of several texts whose runs interleave; a gap is the number of characters since the piece before."""
+    cut = lambda t: F.regexp_extract_all(t, F.lit(f"({an.CJK}+|{an.OTHER_WORD}|{_GAP})"), F.lit(1))
+    at_place = lambda cuts, i: F.array_compact(F.transform(cuts, lambda c: F.get(c, i)))
+    weave = lambda cuts: F.flatten(F.transform(F.sequence(F.lit(0), F.array_max(F.transform(cuts, F.size))), lambda i: at_place(cuts, i)))
+    blank = lambda p: F.rlike(p, F.lit(f"^{_GAP}"))
+    none = F.struct(F.lit(0).alias("gap"), F.lit(None).cast("string").alias("piece"))
+
+    def step(state: Column, piece: Column) -> Column:
+        since = F.when(state["piece"].isNull(), state["gap"]).otherwise(0)
+        return F.when(blank(piece), F.struct((since + F.char_length(piece)).alias("gap"), F.lit(None).cast("string").alias("piece"))).otherwise(
+            F.struct(since.alias("gap"), piece.alias("piece"))
+        )
+
+    found = F.filter(_scan(_let(F.transform(texts, cut), weave), none, step, lambda s: s, "struct<gap:int,piece:string>"), lambda s: s["piece"].isNotNull())
+    return F.transform(found, lambda s: F.struct(s["piece"].alias("piece"), s["gap"].alias("gap")))
+
+
+def piece_lists(docs: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
+    """``(key, pieces)``: one row per key, its Japanese runs and other words as (piece, gap).
+
+    A gap is the number of characters since the piece before. Documents of one key count as one whose
+    runs interleave, and are held together.
+    """
+    # Every character is of a run, a word or a gap, so a match ends in a piece, or in nothing at the end of the text.
+    pattern = F.lit(f"({_GAP}+)?+({an.CJK}+|{an.OTHER_WORD}|\\z)")
+    of_key = placed(docs.select(key, F.col(text).alias("_text")), key).groupBy(key).agg(F.collect_list("_text").alias("_texts"))
+    one = F.get("_texts", F.lit(0))
+    found = F.zip_with(
+        F.regexp_extract_all(one, pattern, F.lit(2)), F.regexp_extract_all(one, pattern, F.lit(1)), lambda p, g: F.struct(p.alias("piece"), F.char_length(g).alias("gap"))
+    )
+    alone = F.filter(found, lambda p: p["piece"] != "")
+    return of_key.select(key, F.when(F.size("_texts") > 1, _woven(F.sort_array("_texts"))).otherwise(alone).alias("pieces"))
+
+
 def pieces(docs: DataFrame, text: str, key: str = "doc_id") -> DataFrame:
-    """``(key, run, piece, start_offset)``: Japanese runs and other words, without what lies between."""
-    runs = F.regexp_extract_all(F.col(text), F.lit(f"({an.CJK}+|{an.OTHER_WORD}|{_GAP})"), F.lit(1))
-    cut = docs.select(key, text).repartition(key).select(key, F.posexplode_outer(runs).alias("run", "piece"))
+    """``(key, run, piece, start_offset)``: Japanese runs and other words, without what lies between; gaps are counted as runs."""
+    rows = piece_lists(docs, text, key).select(key, F.posexplode("pieces").alias("at", "p")).select(key, "at", "p.piece", "p.gap")
+    so_far = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     length = F.char_length("piece")
-    end = F.sum(length).over(Window.partitionBy(key).orderBy("run").rowsBetween(Window.unboundedPreceding, 0))
-    return cut.withColumn("start_offset", end - length).filter(~F.rlike("piece", F.lit(f"^{_GAP}")))
+    run = (F.sum((F.col("gap") > 0).cast("int") + 1).over(so_far) - 1).cast("int")
+    return rows.select(key, run.alias("run"), "piece", (F.sum(F.col("gap") + length).over(so_far) - length).alias("start_offset"))
 
 
 def _substrings(run: Column, longest: int) -> Column:
@@ -111,19 +152,49 @@ def _word_ends(last: Column) -> Column:
     return F.reverse(F.filter(marks, lambda m: m["length"] > 0))
 
 
+def _short_words(costs: Column, longest: int) -> Column:
+    """The words of a run of up to ``SHORT`` characters, in one scan: a way is held as the text of its words' ends."""
+    big = F.lit(2**62).cast("long")
+    first = F.struct(
+        *(F.lit(0 if k == 1 else None).cast("long").alias(f"c{k}") for k in range(1, longest + 1)),
+        *(F.lit("" if k == 1 else None).cast("string").alias(f"p{k}") for k in range(1, longest + 1)),
+    )
+
+    def step(state: Column, options: Column) -> Column:
+        ways = F.array(*(F.struct(F.coalesce(state[f"c{k}"] + options[f"c{k}"], big).alias("cost"), F.lit(-k).alias("back")) for k in range(1, longest + 1)))
+        way = lambda best: F.concat(F.elt(-best["back"], *(state[f"p{k}"] for k in range(1, longest + 1))), F.char(options["end"] + 32))
+        after = lambda best: F.struct(
+            best["cost"].alias("c1"),
+            *(state[f"c{k}"].alias(f"c{k + 1}") for k in range(1, longest)),
+            way(best).alias("p1"),
+            *(state[f"p{k}"].alias(f"p{k + 1}") for k in range(1, longest)),
+        )
+        return _let(F.array_min(ways), after)
+
+    path = F.aggregate(costs, first, step)["p1"]
+    end = lambda path, i: F.ascii(F.substring(path, i, 1)) - 32
+    word = lambda path, i: F.struct(end(path, i).alias("end"), (end(path, i) - F.when(i > 1, end(path, i - 1)).otherwise(0)).alias("length"))
+    return _let(path, lambda path: F.transform(F.sequence(F.lit(1), F.char_length(path)), lambda i: word(path, i)))
+
+
 def segment_runs(runs: DataFrame, lexicon: DataFrame, longest: int = LONGEST) -> DataFrame:
     """``(piece, words)``: for each distinct run its words as (end, length), in order.
 
     A character that the lexicon lacks costs more than any word that it holds.
     """
     unknown = lexicon.agg((F.max("cost") + 1000).alias("cost")).select("cost").scalar()
-    every = runs.select("piece", F.explode(_substrings(F.col("piece"), longest)).alias("s")).select("piece", "s.*")
+    stored = materialize(runs.select("piece", F.monotonically_increasing_id().alias("id")), "numbered-runs")
+    every = stored.select("id", F.explode(_substrings(F.col("piece"), longest)).alias("s")).select("id", "s.*")
     # One word may be in a large share of all runs.
-    priced = salted_join(every, lexicon.select("word", "cost"), ["word"], spread=["piece", "end"])
+    priced = salted_join(every, lexicon.select("word", "cost"), ["word"], spread=["id", "end"])
     cost = F.coalesce("cost", F.when(F.col("length") == 1, F.coalesce(unknown, F.lit(0))))
-    options = priced.groupBy("piece", "end").agg(*(F.max(F.when(F.col("length") == k, cost)).alias(f"c{k}") for k in range(1, longest + 1)))
-    listed = options.groupBy("piece").agg(F.array_sort(F.collect_list(F.struct("*"))).alias("costs"))
-    return listed.select("piece", _word_ends(_best_ends(F.col("costs"), longest)).alias("words"))
+    # What is no word is not moved, and a run is moved once; all that follows is of rows placed by run.
+    words = priced.select("id", "end", "length", cost.alias("cost")).filter(F.col("cost").isNotNull()).repartition("id")
+    options = words.groupBy("id", "end").agg(*(F.max(F.when(F.col("length") == k, F.col("cost"))).alias(f"c{k}") for k in range(1, longest + 1)))
+    costs = F.struct("end", *(f"c{k}" for k in range(1, longest + 1)))
+    listed = options.groupBy("id").agg(F.sort_array(F.collect_list(costs)).alias("costs"))
+    words = F.when(F.size("costs") <= SHORT, _short_words(F.col("costs"), longest)).otherwise(_word_ends(_best_ends(F.col("costs"), longest)))
+    return listed.join(stored, "id").select("piece", words.alias("words"))
 
 
 def segment_corpus(
@@ -133,28 +204,48 @@ def segment_corpus(
 
     Words of other scripts stay whole. Without a ``lexicon`` (word, cost) one is counted from ``docs``.
     """
-    cut = materialize(pieces(docs, text, key), "pieces")
-    runs = materialize(cut.filter(F.rlike("piece", F.lit(_JAPANESE))).groupBy("piece").agg(F.count("*").alias("n")), "runs")
+    cut = materialize(piece_lists(docs, text, key), "pieces")
+    single = cut.select(key, F.posexplode("pieces").alias("at", "p")).select(key, "at", "p.piece")
+    japanese = single.filter(F.rlike("piece", F.lit(_JAPANESE)))
+    runs = materialize(japanese.groupBy("piece").agg(F.count("*").alias("n")), "runs")
     known = materialize(count_lexicon(runs, longest, min_count) if lexicon is None else lexicon, "lexicon")
-    # A common run may be a large share of all pieces.
-    with_words = salted_join(cut, segment_runs(runs, known, longest), ["piece"], spread=[key, "run"])
+    words = materialize(segment_runs(runs, known, longest), "segmented")
+    # Most pieces are one of a bounded number of frequent runs, whose words every task holds. Only the others move.
+    ranked = runs.filter(F.char_length("piece") <= FREQUENT_LENGTH).orderBy(F.desc("n"), "piece").limit(FREQUENT).select("piece")
+    frequent = materialize(words.join(F.broadcast(ranked), "piece", "left_semi"), "frequent")
+    rare = japanese.join(F.broadcast(frequent.select("piece")), "piece", "left_anti").join(words, "piece")
+    found = F.struct("at", "words")
+    both = cut.select(key, "pieces", F.lit(None).cast(rare.select(found.alias("f")).schema["f"].dataType).alias("found")).unionByName(
+        rare.select(key, F.lit(None).cast(cut.schema["pieces"].dataType).alias("pieces"), found.alias("found"))
+    )
+    of_key = placed(both, key).groupBy(key).agg(F.first("pieces", ignorenulls=True).alias("pieces"), F.sort_array(F.collect_list("found")).alias("found"))
+    # The words of the rare runs at their places, with nulls between.
+    before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get("found", i - 1)["at"])
+    none = F.lit(None).cast(words.schema["words"].dataType)
+    aligned = F.flatten(F.transform("found", lambda f, i: F.concat(F.array_repeat(none, f["at"] - before(i) - 1), F.array(f["words"]))))
+    rows = (
+        of_key.select(key, "pieces", aligned.alias("words"))
+        .select(key, F.posexplode(F.zip_with("pieces", "words", lambda p, w: F.struct(p["piece"].alias("piece"), p["gap"].alias("gap"), w.alias("own")))).alias("at", "p"))
+        .select(key, "at", "p.piece", "p.gap", "p.own")
+        .join(F.broadcast(frequent), "piece", "left")
+    )
     whole = F.array(F.struct(F.char_length("piece").alias("end"), F.char_length("piece").alias("length")))
-    found = with_words.select(key, "piece", "start_offset", F.explode(F.coalesce("words", whole)).alias("w"))
-    start = F.col("start_offset") + F.col("w.end") - F.col("w.length")
-    placed = found.select(
+    with_words = rows.select(key, "at", "piece", "gap", F.coalesce("own", "words", whole).alias("words"))
+    so_far = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    length = F.char_length("piece")
+    begin = F.sum(F.col("gap") + length).over(so_far) - length
+    first = F.sum(F.size("words")).over(so_far) - F.size("words")
+    tokens = with_words.select(key, "piece", begin.alias("start"), first.cast("int").alias("first"), "words").select(
+        key, "piece", "start", "first", F.posexplode("words").alias("nth", "w")
+    )
+    start = F.col("start") + F.col("w.end") - F.col("w.length")
+    return tokens.select(
         key,
         F.substring(F.col("piece"), F.col("w.end") - F.col("w.length") + 1, F.col("w.length")).alias("token"),
+        (F.col("first") + F.col("nth")).alias("position"),
+        F.lit(1).alias("position_length"),
         start.alias("start_offset"),
         (start + F.col("w.length")).alias("end_offset"),
-    )
-    in_doc = Window.partitionBy(key).orderBy("start_offset")
-    return placed.select(
-        key,
-        "token",
-        (F.row_number().over(in_doc) - 1).alias("position"),
-        F.lit(1).alias("position_length"),
-        "start_offset",
-        "end_offset",
         F.lit("word").alias("type"),
     )
 

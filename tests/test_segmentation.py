@@ -100,3 +100,36 @@ def test_filters(spark):
     table = spark.createDataFrame(rows, "doc_id int, token string, position int, position_length int, start_offset int, end_offset int, type string")
     assert [(r.token, r.position) for r in sg.filter_japanese(table).orderBy("position").collect()] == [("fox", 0), ("サーバ", 2), ("ab", 3)]
     assert "の" in an.JAPANESE_STOP_WORDS
+
+
+def test_tokens_are_numbered_where_their_document_lies(spark):
+    """Documents are placed by key, as lists; neither pieces nor tokens are shuffled for their numbers."""
+    docs = spark.createDataFrame(corpus(3), "doc_id int, text string")
+    plan = sg.segment_corpus(docs, "text")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and plan.index("Generate posexplode", plan.index("Window")) < plan.index("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("longest", [1, 2, 4])
+def test_short_and_long_runs_are_cut_alike(spark, monkeypatch, longest):
+    docs = spark.createDataFrame(corpus(7), "doc_id int, text string")
+    rows = lambda: sorted(map(tuple, sg.segment_corpus(docs, "text", longest=longest).collect()))
+    short = rows()
+    monkeypatch.setattr(sg, "SHORT", 0)
+    assert rows() == short and short
+
+
+def test_rare_runs_are_numbered_like_frequent_ones(spark, monkeypatch):
+    docs = spark.createDataFrame([*corpus(8), (None, "東京 は"), (None, "の ガ")], "doc_id int, text string")
+    rows = lambda: sorted(map(str, sg.segment_corpus(docs, "text").collect()))
+    every = rows()
+    for frequent in (1, 7):
+        monkeypatch.setattr(sg, "FREQUENT", frequent)
+        assert rows() == every
+
+
+def test_documents_of_one_key_interleave(spark):
+    docs = spark.createDataFrame([(1, "東 abc。"), (1, "東 abc。"), (2, " 。 "), (3, " x ")], "doc_id int, text string")
+    got = sorted((r.doc_id, r.position, r.token, r.start_offset) for r in sg.segment_corpus(docs, "text").collect())
+    assert got == [(1, 0, "東", 0), (1, 1, "東", 1), (1, 2, "abc", 4), (1, 3, "abc", 7), (3, 0, "x", 1)]
+    pieces = sorted((r.doc_id, r.run, r.piece, r.start_offset) for r in sg.pieces(docs.filter("doc_id = 3"), "text").collect())
+    assert pieces == [(3, 1, "x", 1)]
