@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.operators.collocations import may_hold
 from corpusloom.schemas import TAXONOMY_RULE
 from corpusloom.session import materialize, salted_join
 
@@ -18,8 +19,9 @@ from corpusloom.session import materialize, salted_join
 OTHER = "その他"
 UNCLASSIFIED = "未分類"
 
-#: Characters of the longest gram by which keywords are found.
-GRAM = 3
+#: Characters of the longest gram by which keywords are found, and characters of a text that are cut into grams at once.
+GRAM = 16
+BLOCK = 128
 
 _RULE = "struct<rule_ord:int,l1:string,l2:string,keywords:array<string>>"
 
@@ -85,37 +87,37 @@ def classify_taxonomy(articles: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def _grams(text: Column, sizes: Column) -> Column:
-    """The distinct substrings of a text that have one of the ``sizes``."""
-    of_size = lambda n: F.when(
-        F.char_length(text) >= n,
-        F.transform(F.sequence(F.lit(1), F.char_length(text) - n + 1), lambda at: F.substring(text, at, n)),
-    ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
+def _anchors(keywords: DataFrame) -> DataFrame:
+    """``(keyword, gram)``: a keyword is found by itself, one of over ``GRAM`` characters by that of its grams which the fewest keywords hold."""
+    long = keywords.filter(F.char_length("keyword") > GRAM)
+    starts = F.sequence(F.lit(1), F.char_length("keyword") - GRAM + 1)
+    grams = long.select("keyword", F.explode(F.array_distinct(F.transform(starts, lambda at: F.substring("keyword", at, F.lit(GRAM))))).alias("gram"))
+    held = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = grams.join(held, "gram").groupBy("keyword").agg(F.min(F.struct("n", "gram"))["gram"].alias("gram"))
+    return keywords.filter(F.char_length("keyword") <= GRAM).select("keyword", F.col("keyword").alias("gram")).unionByName(rarest)
 
 
 def keyword_matches(texts: DataFrame, keywords: DataFrame) -> DataFrame:
-    """``(text, keyword)`` for every keyword that a text holds, without trying each keyword on each text.
+    """``(id, keyword)`` for every keyword that a text holds, without trying each keyword on each text.
 
-    ``texts`` has distinct ``text``, ``keywords`` distinct ``keyword`` of at least one character. Each
-    keyword is indexed under that of its grams which the fewest texts hold; a keyword with a gram
-    that no text holds is out at once. Texts meet the keywords of the grams they hold, and only
-    then are searched.
+    ``texts`` has distinct ``id`` and ``text``, ``keywords`` distinct ``keyword`` of at least one character. The
+    substrings of texts that have the length of a keyword, up to ``GRAM`` characters, meet the keywords as equals; of
+    them only those are moved whose hash a keyword may have, and no text is.
     """
-    size = F.least(F.char_length("keyword"), F.lit(GRAM))
-    sizes = keywords.agg(F.collect_set(size).alias("sizes")).select("sizes").scalar()
-    of_texts = materialize(
-        texts.withColumn("sizes", sizes).select("text", F.explode(_grams(F.col("text"), F.coalesce("sizes", F.array()))).alias("gram")), "grams"
-    )
-    of_keywords = materialize(keywords.select("keyword", F.explode(_grams(F.col("keyword"), F.array(size))).alias("gram")), "keyword-grams")
-    held = of_texts.groupBy("gram").agg(F.count("*").alias("texts"))
-    ranked = of_keywords.join(held, "gram", "left").groupBy("keyword").agg(
-        F.min(F.struct("texts", "gram")).alias("rarest"), F.bool_and(F.col("texts").isNotNull()).alias("possible")
-    )
-    index = ranked.filter("possible").select("keyword", F.col("rarest.gram").alias("gram"))
-    # Even the rarest gram of some keyword may be in a large share of all texts.
-    met = salted_join(of_texts, index, ["gram"], spread=["text"], how="inner")
-    return met.filter(F.contains("text", "keyword")).select("text", "keyword")
+    index = materialize(_anchors(keywords), "keyword-grams")
+    sizes = index.agg(F.sort_array(F.collect_set(F.char_length("gram"))).alias("sizes")).select("sizes").scalar()
+    # Cut off a block, a gram costs no walk through the whole text.
+    begins = F.sequence(F.lit(1), F.greatest(F.char_length("text"), F.lit(1)), F.lit(BLOCK))
+    blocks = texts.select("id", "text", F.explode(begins).alias("at")).select("id", F.substring("text", F.col("at"), F.lit(BLOCK + GRAM - 1)).alias("block"))
+    places = blocks.select("id", "block", F.explode(F.sequence(F.lit(1), F.least(F.char_length("block"), F.lit(BLOCK)))).alias("at"))
+    sized = places.select("id", F.substring("block", F.col("at"), F.lit(GRAM)).alias("rest"), F.explode(F.coalesce(sizes, F.array().cast("array<int>"))).alias("n"))
+    grams = sized.filter(F.char_length("rest") >= F.col("n")).select("id", F.substring("rest", F.lit(1), F.col("n")).alias("gram"))
+    maybe = may_hold(grams, index.select(F.xxhash64("gram").alias("hash")), F.xxhash64("gram")).distinct()
+    # One keyword may be in a large share of all texts.
+    met = salted_join(maybe, index, ["gram"], spread=["id"], how="inner").select("id", "keyword")
+    short = met.filter(F.char_length("keyword") <= GRAM)
+    long = met.filter(F.char_length("keyword") > GRAM).join(texts.select("id", "text").hint("merge"), "id").filter(F.contains("text", "keyword"))
+    return short.unionByName(long.select("id", "keyword"))
 
 
 def classify_by_index(articles: DataFrame, rules: DataFrame, key: str = "page_id") -> DataFrame:
@@ -143,27 +145,33 @@ def classify_by_index(articles: DataFrame, rules: DataFrame, key: str = "page_id
     names = materialize(
         articles.select(F.col(key).alias("key"), F.explode(every).alias("n")).select("key", "n.*").filter(F.col("text").isNotNull()), "names"
     )
-    texts = names.select("text").distinct()
+    texts = materialize(names.select("text").distinct().select("text", F.monotonically_increasing_id().alias("id")), "texts")
     matches = keyword_matches(texts, words.select("keyword").filter("keyword <> ''").distinct())
     # Tables with a row per page or name compress so well that Spark would take them for small and gather them
     # in the driver for a broadcast, eight times over where a join is salted; they are merged.
     merged = lambda df: df.hint("merge")
-    with_empty = matches.unionByName(texts.filter(empty).select("text", F.lit("").alias("keyword")))
-    found = materialize(with_empty.join(words, "keyword"), "matches")
-    # A category may belong to a large share of all pages.
-    of_text = found.groupBy("text").agg(F.min("rule").alias("rule"))
-    first = salted_join(names.filter("kind <> 1"), merged(of_text), ["text"], spread=["key"], how="inner")
+    # From here on a text is a number. A category may belong to a large share of all pages.
+    numbered = materialize(salted_join(names, merged(texts), ["text"], spread=["key"], how="inner").select("key", "kind", "pos", "id"), "numbered-names")
+    with_empty = matches.unionByName(texts.filter(empty).select("id", F.lit("").alias("keyword")))
+    # One keyword may be in a large share of all texts.
+    found = materialize(salted_join(with_empty, merged(words), ["keyword"], spread=["id"], how="inner"), "matches")
+    of_text = found.groupBy("id").agg(F.min("rule").alias("rule"))
+    first = salted_join(numbered.filter("kind <> 1"), merged(of_text), ["id"], spread=["key"], how="inner")
     ruled = materialize(first.groupBy("key").agg(F.min("rule").alias("rule")), "page-rules")
-    hits = materialize(salted_join(names.join(merged(ruled), "key"), merged(found), ["text", "rule"], spread=["key"], how="inner"), "hits")
+    asked = materialize(numbered.join(merged(ruled), "key"), "ruled-names")
+    # Most keywords of a text are of other rules than that of its pages: they go before what is left is repeated per salt.
+    used = found.join(merged(asked.select("id", "rule").distinct()), ["id", "rule"], "left_semi")
+    hits = materialize(salted_join(asked, merged(used), ["id", "rule"], spread=["key"], how="inner"), "hits")
     matched = hits.filter("kind <> 1").select("key", "keyword").distinct()
     third = (
         hits.filter("kind in (1, 2)")
         .join(merged(matched), ["key", "keyword"], "left_semi")
         .groupBy("key")
-        .agg(F.min_by("text", F.struct("kind", "pos")).alias("name"))
+        .agg(F.min_by("id", F.struct("kind", "pos")).alias("id"))
     )
+    named = materialize(salted_join(third, merged(texts), ["id"], spread=["key"], how="inner").select("key", F.col("text").alias("name")), "third")
     by_key = lambda df: merged(df.withColumnRenamed("key", key))
-    joined = articles.join(by_key(ruled), key, "left").join(by_key(third), key, "left")
+    joined = articles.join(by_key(ruled), key, "left").join(by_key(named), key, "left")
     level3 = F.coalesce("name", F.try_element_at("categories_direct", F.lit(1)), "rule.l2", F.lit(UNCLASSIFIED))
     return joined.select(
         *(F.col(f"`{c}`") for c in articles.columns),

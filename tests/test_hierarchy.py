@@ -172,3 +172,18 @@ def test_tables_with_a_row_per_page_are_not_broadcast(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 3 and "BroadcastHashJoin" not in plan
     assert [tuple(r)[-3:] for r in found.collect()] == [("A", "a1", "x")]
+
+
+@pytest.mark.parametrize(("gram", "block"), [(16, 128), (3, 4)])
+def test_only_substrings_that_are_keywords_are_moved(spark, monkeypatch, gram, block):
+    """Every text used to be moved once per gram of three characters, and met all keywords with that gram."""
+    monkeypatch.setattr(taxonomy, "GRAM", gram)
+    monkeypatch.setattr(taxonomy, "BLOCK", block)
+    rng = random.Random(gram)
+    texts = ["".join(rng.choices("ab 東𠮷", k=rng.randrange(0, 30))) for _ in range(60)]
+    keywords = sorted({t[i : i + n] for t in texts for i, n in [(rng.randrange(30), rng.randrange(1, 9))]} - {""}) + ["zzz", "a" * 40, texts[0] + "x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = taxonomy.keyword_matches(df, spark.createDataFrame([(k,) for k in keywords], "keyword string"))
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i, k) for i, t in enumerate(texts) for k in keywords if k in t)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "getbit" in plan

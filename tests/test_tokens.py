@@ -182,3 +182,18 @@ def test_long_texts_of_one_key(spark):
     df = spark.createDataFrame([(1, " ".join(words))] * 2, "doc_id long, text string")
     rows = sorted((r.position, r.token, r.end_offset) for r in tokens.token_table(df, "text").collect())
     assert [t for _, t, _ in rows] == [w for w in words for _ in range(2)] and rows[-1][2] == 2 * len(" ".join(words))
+
+
+@pytest.mark.parametrize("analyzer", sorted(an.RUNS))
+def test_packed_lists_hold_the_same_words(spark, analyzer):
+    """The words of a list move as one text: odd ones, dropped words, none at all."""
+    odd = ["a\x00b the cc", "𠮷\x00 ﷐x é", "", None, "...", "to be", "\x00", tokens.SPARE + " y"]
+    df = spark.createDataFrame([*enumerate(odd), (100, "b c"), (100, None), (100, "the b c"), (None, "x y")], "doc_id long, text string")
+    lists, late = (tokens.token_lists(df, "text", analyzer=analyzer, late=late) for late in (False, True))
+    assert sorted(map(str, tokens.token_rows(late).collect())) == sorted(map(str, tokens.token_rows(lists).collect()))
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython") < plan.index("Exchange")
+    words = F.posexplode(tokens.unpacked_words(F.col("_list"))).alias("position", "token")
+    packed = tokens.packed_lists(lists).select("doc_id", words, "_list.starts").filter("token <> ''")
+    got = sorted(str(tuple(r)) for r in packed.selectExpr("doc_id", "position", "token", "get(starts, position)").collect())
+    assert got == sorted(str(tuple(r)) for r in tokens.token_rows(lists).select("doc_id", "position", "token", "start_offset").collect()) and got
