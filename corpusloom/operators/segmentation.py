@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import analysis as an
-from corpusloom.operators.tokens import _let, placed
+from corpusloom.operators.tokens import MARK, _let, placed
 from corpusloom.session import materialize, salted_join
 
 #: Characters of a word at most, and how often a word of several must occur.
@@ -209,34 +209,42 @@ def segment_corpus(
     japanese = single.filter(F.rlike("piece", F.lit(_JAPANESE)))
     runs = materialize(japanese.groupBy("piece").agg(F.count("*").alias("n")), "runs")
     known = materialize(count_lexicon(runs, longest, min_count) if lexicon is None else lexicon, "lexicon")
-    words = materialize(segment_runs(runs, known, longest), "segmented")
+    # A run's words are told by their ends.
+    ends = F.transform("words", lambda w: w["end"]).alias("ends")
+    words = materialize(segment_runs(runs, known, longest).select("piece", ends), "segmented")
     # Most pieces are one of a bounded number of frequent runs, whose words every task holds. Only the others move.
-    ranked = runs.filter(F.char_length("piece") <= FREQUENT_LENGTH).orderBy(F.desc("n"), "piece").limit(FREQUENT).select("piece")
-    frequent = materialize(words.join(F.broadcast(ranked), "piece", "left_semi"), "frequent")
+    short = runs.filter(F.char_length("piece") <= FREQUENT_LENGTH)
+    by_count = short.groupBy("n").agg(F.count("*").alias("runs"))
+    up_to = by_count.select("n", F.sum("runs").over(Window.orderBy(F.desc("n"))).alias("up_to"))
+    least = up_to.filter(F.col("up_to") <= FREQUENT).agg(F.min("n").alias("least")).select("least").scalar()
+    frequent = materialize(words.join(short.filter(F.col("n") >= least).select("piece"), "piece", "left_semi"), "frequent")
     rare = japanese.join(F.broadcast(frequent.select("piece")), "piece", "left_anti").join(words, "piece")
-    found = F.struct("at", "words")
-    both = cut.select(key, "pieces", F.lit(None).cast(rare.select(found.alias("f")).schema["f"].dataType).alias("found")).unionByName(
-        rare.select(key, F.lit(None).cast(cut.schema["pieces"].dataType).alias("pieces"), found.alias("found"))
-    )
-    of_key = placed(both, key).groupBy(key).agg(F.first("pieces", ignorenulls=True).alias("pieces"), F.sort_array(F.collect_list("found")).alias("found"))
+    found = F.struct("at", "ends").alias("found")
+    # The pieces of a document move as one text: none holds the mark.
+    listed = F.struct(F.array_join(F.col("pieces.piece"), MARK).alias("text"), F.col("pieces.gap").alias("gaps"))
+    of_doc, of_rare = cut.filter(F.size("pieces") > 0).select(key, listed.alias("listed")), rare.select(key, found)
+    none = lambda df, c: F.lit(None).cast(df.schema[c].dataType).alias(c)
+    both = of_doc.select(key, "listed", none(of_rare, "found")).unionByName(of_rare.select(key, none(of_doc, "listed"), "found"))
+    of_key = placed(both, key).groupBy(key).agg(F.first("listed", ignorenulls=True).alias("listed"), F.sort_array(F.collect_list("found")).alias("found"))
     # The words of the rare runs at their places, with nulls between.
     before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get("found", i - 1)["at"])
-    none = F.lit(None).cast(words.schema["words"].dataType)
-    aligned = F.flatten(F.transform("found", lambda f, i: F.concat(F.array_repeat(none, f["at"] - before(i) - 1), F.array(f["words"]))))
+    no_words = F.lit(None).cast(words.schema["ends"].dataType)
+    aligned = F.flatten(F.transform("found", lambda f, i: F.concat(F.array_repeat(no_words, f["at"] - before(i) - 1), F.array(f["ends"]))))
     rows = (
-        of_key.select(key, "pieces", aligned.alias("words"))
-        .select(key, F.posexplode(F.zip_with("pieces", "words", lambda p, w: F.struct(p["piece"].alias("piece"), p["gap"].alias("gap"), w.alias("own")))).alias("at", "p"))
-        .select(key, "at", "p.piece", "p.gap", "p.own")
+        of_key.select(key, "listed.gaps", F.split("listed.text", MARK).alias("pieces"), aligned.alias("own"))
+        .select(key, "gaps", "own", F.posexplode("pieces").alias("at", "piece"))
+        .select(key, "at", "piece", F.get("gaps", F.col("at")).alias("gap"), F.get("own", F.col("at")).alias("own"))
         .join(F.broadcast(frequent), "piece", "left")
     )
-    whole = F.array(F.struct(F.char_length("piece").alias("end"), F.char_length("piece").alias("length")))
-    with_words = rows.select(key, "at", "piece", "gap", F.coalesce("own", "words", whole).alias("words"))
+    with_words = rows.select(key, "at", "piece", "gap", F.coalesce("own", "ends", F.array(F.char_length("piece"))).alias("ends"))
     so_far = Window.partitionBy(key).orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     length = F.char_length("piece")
     begin = F.sum(F.col("gap") + length).over(so_far) - length
-    first = F.sum(F.size("words")).over(so_far) - F.size("words")
-    tokens = with_words.select(key, "piece", begin.alias("start"), first.cast("int").alias("first"), "words").select(
-        key, "piece", "start", "first", F.posexplode("words").alias("nth", "w")
+    first = F.sum(F.size("ends")).over(so_far) - F.size("ends")
+    tokens = (
+        with_words.select(key, "piece", begin.alias("start"), first.cast("int").alias("first"), "ends")
+        .select(key, "piece", "start", "first", "ends", F.posexplode("ends").alias("nth", "end"))
+        .select(key, "piece", "start", "first", "nth", F.struct("end", (F.col("end") - F.coalesce(F.get("ends", F.col("nth") - 1), F.lit(0))).alias("length")).alias("w"))
     )
     start = F.col("start") + F.col("w.end") - F.col("w.length")
     return tokens.select(

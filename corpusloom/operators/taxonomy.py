@@ -114,7 +114,7 @@ def keyword_matches(texts: DataFrame, keywords: DataFrame) -> DataFrame:
     grams = sized.filter(F.char_length("rest") >= F.col("n")).select("id", F.substring("rest", F.lit(1), F.col("n")).alias("gram"))
     maybe = may_hold(grams, index.select(F.xxhash64("gram").alias("hash")), F.xxhash64("gram")).distinct()
     # One keyword may be in a large share of all texts.
-    met = salted_join(maybe, index, ["gram"], spread=["id"], how="inner").select("id", "keyword")
+    met = materialize(salted_join(maybe, index, ["gram"], spread=["id"], how="inner").select("id", "keyword"), "met")
     short = met.filter(F.char_length("keyword") <= GRAM)
     long = met.filter(F.char_length("keyword") > GRAM).join(texts.select("id", "text").hint("merge"), "id").filter(F.contains("text", "keyword"))
     return short.unionByName(long.select("id", "keyword"))

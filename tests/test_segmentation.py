@@ -133,3 +133,24 @@ def test_documents_of_one_key_interleave(spark):
     assert got == [(1, 0, "東", 0), (1, 1, "東", 1), (1, 2, "abc", 4), (1, 3, "abc", 7), (3, 0, "x", 1)]
     pieces = sorted((r.doc_id, r.run, r.piece, r.start_offset) for r in sg.pieces(docs.filter("doc_id = 3"), "text").collect())
     assert pieces == [(3, 1, "x", 1)]
+
+
+def test_pieces_move_as_one_text(spark):
+    """A document's pieces used to move as rows of a list, each word of a rare run with its end and its length."""
+    docs = spark.createDataFrame([*corpus(9), (900, ""), (901, None), (902, "。 、")], "doc_id int, text string")
+    found = sg.segment_corpus(docs, "text")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan[plan.index("Exchange hashpartitioning") :].splitlines()[1:] if "listed" in line or "pieces" in line)
+    assert "listed" in exchange
+    lexicon = lexicon_of([t for _, t in docs.collect() if t], 4, 3)
+    got = sorted((r.doc_id, r.position, r.token, r.start_offset, r.end_offset) for r in found.collect())
+    assert got == sorted((i, n, *w) for i, t in docs.collect() for n, w in enumerate(brute(t, lexicon, 4)))
+
+
+def test_runs_that_occur_equally_often_are_frequent_together(spark, monkeypatch):
+    """No table is cut: of runs with one count either all are held by every task or none."""
+    docs = spark.createDataFrame(corpus(4), "doc_id int, text string")
+    rows = lambda: sorted(map(str, sg.segment_corpus(docs, "text").collect()))
+    every = rows()
+    monkeypatch.setattr(sg, "FREQUENT", 0)
+    assert rows() == every
