@@ -204,7 +204,7 @@ def segment_corpus(
 
     Words of other scripts stay whole. Without a ``lexicon`` (word, cost) one is counted from ``docs``.
     """
-    cut = materialize(piece_lists(docs, text, key), "pieces")
+    cut = materialize(piece_lists(docs, text, key), "pieces", "zstd")
     single = cut.select(key, F.posexplode("pieces").alias("at", "p")).select(key, "at", "p.piece")
     japanese = single.filter(F.rlike("piece", F.lit(_JAPANESE)))
     runs = materialize(japanese.groupBy("piece").agg(F.count("*").alias("n")), "runs")
