@@ -169,7 +169,7 @@ def classify_by_index(articles: DataFrame, rules: DataFrame, key: str = "page_id
         .groupBy("key")
         .agg(F.min_by("id", F.struct("kind", "pos")).alias("id"))
     )
-    named = materialize(salted_join(third, merged(texts), ["id"], spread=["key"], how="inner").select("key", F.col("text").alias("name")), "third")
+    named = salted_join(materialize(third, "third"), merged(texts), ["id"], spread=["key"], how="inner").select("key", F.col("text").alias("name"))
     by_key = lambda df: merged(df.withColumnRenamed("key", key))
     joined = articles.join(by_key(ruled), key, "left").join(by_key(named), key, "left")
     level3 = F.coalesce("name", F.try_element_at("categories_direct", F.lit(1)), "rule.l2", F.lit(UNCLASSIFIED))
